@@ -44,3 +44,53 @@ oracle("contract_tenure_value", f"""
 SELECT Contract, Tenure_Bucket, count(*) AS customers,
        {r('avg(Churn_Target)', 'churn_rate')}, {r('sum(clv)', 'total_clv')}
 FROM valued GROUP BY Contract, Tenure_Bucket""", "valued")
+
+# ---- split, labels, model, scores, explanations --------------------------------
+from . import model as M  # noqa: E402,F401
+
+oracle("split_flags", """
+SELECT is_test, Churn_Target, count(*) AS customers FROM lab GROUP BY is_test, Churn_Target""", "lab")
+
+oracle("window_labels", f"""
+SELECT customerID, Churn_Target, {r('days_to_churn')}, y_30d, y_60d, y_90d FROM lab""", "lab")
+
+oracle("scorecard_model", f"""
+SELECT feature, value, {r('n')}, {r('pos_c')}, {r('pos_30')}, {r('pos_60')}, {r('pos_90')},
+  {r('c_c')}, {r('c_30')}, {r('c_60')}, {r('c_90')} FROM model""", "model")
+
+oracle("scores_test", f"""
+SELECT customerID, {r('churn_prob')}, {r('risk_30d')}, {r('risk_60d')}, {r('risk_90d')} FROM scores""",
+       "scores")
+
+oracle("contributions", f"""
+SELECT customerID, fname AS feature, {r('c_c', 'contribution')} FROM contrib WHERE is_test""",
+       "contrib")
+
+oracle("reason_codes", f"""
+SELECT customerID, {r('churn_prob')}, reason_1, {r('impact_1')}, reason_2, {r('impact_2')},
+  reason_3, {r('impact_3')}, bucket_1, bucket_2, bucket_3, recommended_action FROM rc""", "rc")
+
+oracle("global_drivers", f"""
+SELECT fname AS feature,
+  {r('sum(abs(c_c)) / (SELECT count(*) FROM scores)', 'mean_abs_contribution')}
+FROM contrib WHERE is_test GROUP BY fname""", "contrib", "scores")
+
+_DEC_DOUBLES = ("churn_prob", "impact_1", "impact_2", "impact_3", "risk_30d", "risk_60d",
+                "risk_90d", "tenure", "MonthlyCharges", "TotalCharges", "monthly_margin",
+                "remaining_months_proxy", "clv", "expected_loss_30d", "expected_loss_60d",
+                "expected_loss_90d", "priority_score", "offer_cost", "roi_proxy")
+_DEC_OTHER = ("customerID", "reason_1", "reason_2", "reason_3", "bucket_1", "bucket_2",
+              "bucket_3", "recommended_action", "Contract", "PaymentMethod", "InternetService",
+              "value_segment", "intervention_type", "should_intervene")
+oracle("decision_table",
+       "SELECT " + ", ".join(list(_DEC_OTHER) + [r(c) for c in _DEC_DOUBLES]) + " FROM decision",
+       "decision")
+
+_V1 = ("customerID", "reason_1", "reason_2", "reason_3", "bucket_1", "bucket_2", "bucket_3",
+       "recommended_action")
+oracle("decision_table_v1",
+       "SELECT " + ", ".join(list(_V1) + [r(c) for c in ("churn_prob", "impact_1", "impact_2",
+                                                         "impact_3", "risk_30d", "risk_60d",
+                                                         "risk_90d")])
+       + " FROM (SELECT rc.* EXCLUDE (churn_prob), s.* EXCLUDE (customerID) "
+         "FROM rc JOIN scores s USING (customerID))", "rc", "scores")

@@ -73,4 +73,95 @@ def q_contract_tenure_value(spark, sf):
         F.count(F.lit(1)).alias("customers"),
         F.avg("Churn_Target").alias("churn_rate"),
         F.sum("clv").alias("total_clv")))
-FLAGSHIP = "contract_tenure_value"
+
+
+# ---- split, labels, model, scores, explanations --------------------------------
+
+from .operators import explain as X  # noqa: E402
+from .operators import labels as L  # noqa: E402
+from .plans import jobs as J  # noqa: E402
+
+_MODELS: dict = {}
+
+
+def labeled(spark, sf):
+    return J.labeled(subscribers(spark, sf))
+
+
+def model(spark, sf):
+    key = (id(spark), sf)
+    if key not in _MODELS:
+        _MODELS[key] = J.fit_models(labeled(spark, sf))
+    return _MODELS[key]
+
+
+def scored(spark, sf):
+    return J.scored(labeled(spark, sf), model(spark, sf))
+
+
+@query("split_flags")
+def q_split(spark, sf):
+    """G1: id-hash split flag and class balance per side."""
+    lab = labeled(spark, sf)
+    return lab.groupBy("is_test", "Churn_Target").agg(F.count(F.lit(1)).alias("customers"))
+
+
+@query("window_labels")
+def q_window_labels(spark, sf):
+    """G11 + G12: days to churn and per-horizon labels."""
+    lab = labeled(spark, sf)
+    return rounded(lab.select("customerID", "Churn_Target", "days_to_churn",
+                              "y_30d", "y_60d", "y_90d"))
+
+
+@query("scorecard_model")
+def q_scorecard_model(spark, sf):
+    """G7a fit: per (feature, value) counts, weight of evidence, contribution."""
+    t = model(spark, sf).table
+    return rounded(t.select("feature", "value", F.col("n").cast("double").alias("n"),
+                            *[F.col(f"pos_{l}").cast("double").alias(f"pos_{k}")
+                              for l, k in (("Churn_Target", "c"), ("y_30d", "30"),
+                                           ("y_60d", "60"), ("y_90d", "90"))],
+                            *[F.col(f"c_{l}").alias(f"c_{k}")
+                              for l, k in (("Churn_Target", "c"), ("y_30d", "30"),
+                                           ("y_60d", "60"), ("y_90d", "90"))]))
+
+
+@query("scores_test")
+def q_scores(spark, sf):
+    """G4 batch scoring with G7a: churn and horizon probabilities, hold-out rows."""
+    return rounded(scored(spark, sf).select("customerID", "churn_prob", "risk_30d",
+                                            "risk_60d", "risk_90d"))
+
+
+@query("contributions")
+def q_contributions(spark, sf):
+    """G7 long table: (customer, encoded feature, contribution)."""
+    return rounded(X.long_contributions(scored(spark, sf)))
+
+
+@query("reason_codes")
+def q_reason_codes(spark, sf):
+    """G5 + G6 + G8 + G9."""
+    return rounded(J.reason_code_table(scored(spark, sf)))
+
+
+@query("global_drivers")
+def q_global_drivers(spark, sf):
+    """Mean |contribution| per encoded feature."""
+    return rounded(X.global_drivers(scored(spark, sf)))
+
+
+@query("decision_table")
+def q_decision_table(spark, sf):
+    """H9 flagship: the full retention decision table."""
+    return rounded(J.decision_table(scored(spark, sf)))
+
+
+@query("decision_table_v1")
+def q_decision_table_v1(spark, sf):
+    """Reason codes and horizon risks without valuation."""
+    return rounded(J.decision_table_v1(scored(spark, sf)))
+
+
+FLAGSHIP = "decision_table"

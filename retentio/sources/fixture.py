@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.labels import inactivity_days
 from .tables import table
 
 CUTOFF = dt.date(2000, 8, 1)
@@ -89,9 +90,8 @@ def subscribers_from(customer: DataFrame, orders: DataFrame,
     cols += [contract.alias("Contract"), payment.alias("PaymentMethod"),
              F.when(churned, "Yes").otherwise("No").alias("Churn")]
     if with_days_to_churn:
-        days = F.datediff(F.date_add(F.col("last_order"), gap_days), c)
-        cols.append(F.when(churned, F.least(F.greatest(days, F.lit(0)), F.lit(365))
-                           .cast("double")).alias("days_to_churn"))
+        cols.append(inactivity_days(churned, F.col("last_order"), cutoff, gap_days)
+                    .alias("days_to_churn"))
     return base.select(*cols)
 
 
