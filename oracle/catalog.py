@@ -94,3 +94,163 @@ oracle("decision_table_v1",
                                                          "risk_90d")])
        + " FROM (SELECT rc.* EXCLUDE (churn_prob), s.* EXCLUDE (customerID) "
          "FROM rc JOIN scores s USING (customerID))", "rc", "scores")
+
+# ---- evaluation -------------------------------------------------------------------
+from . import cte  # noqa: E402
+
+cte("ev", """
+SELECT s.customerID, l.Churn_Target AS label, s.churn_prob AS score, l.MonthlyCharges, l.tenure
+FROM scores s JOIN lab l USING (customerID)""", ("scores", "lab"))
+cte("ev_models", """
+SELECT s.customerID, 'churn_model' AS model, l.Churn_Target AS label, s.churn_prob AS score
+FROM scores s JOIN lab l USING (customerID)
+UNION ALL SELECT s.customerID, 'timing_30d', l.y_30d, s.risk_30d FROM scores s JOIN lab l USING (customerID)
+UNION ALL SELECT s.customerID, 'timing_60d', l.y_60d, s.risk_60d FROM scores s JOIN lab l USING (customerID)
+UNION ALL SELECT s.customerID, 'timing_90d', l.y_90d, s.risk_90d FROM scores s JOIN lab l USING (customerID)
+""", ("scores", "lab"))
+cte("curve", """
+SELECT g.i * CAST(0.01 AS DOUBLE) AS threshold,
+  count_if(e.score >= g.i * CAST(0.01 AS DOUBLE) AND e.label = 1) AS tp,
+  count_if(e.score >= g.i * CAST(0.01 AS DOUBLE) AND e.label <> 1) AS fp,
+  count_if(e.score < g.i * CAST(0.01 AS DOUBLE) AND e.label = 1) AS fn,
+  count_if(e.score < g.i * CAST(0.01 AS DOUBLE) AND e.label <> 1) AS tn
+FROM range(0, 101) g(i), ev e GROUP BY g.i""", ("ev",))
+cte("curve_c", "SELECT *, CAST(fn * 200.0 + fp * 50.0 AS DOUBLE) AS cost FROM curve", ("curve",))
+cte("best", "SELECT * FROM curve_c ORDER BY cost, threshold LIMIT 1", ("curve_c",))
+
+oracle("cost_curve", f"SELECT {r('threshold')}, tp, fp, fn, tn, {r('cost')} FROM curve_c", "curve_c")
+
+_RATES = ("CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0.0 END",
+          "CASE WHEN tp + fn <> 0 THEN tp / (tp + fn) ELSE 0.0 END",
+          "CASE WHEN tn + fp <> 0 THEN tn / (tn + fp) ELSE 0.0 END")
+oracle("confusion_at_best", f"""
+SELECT {r('threshold')}, {r('cost')}, tp, fp, fn, tn, {r(_RATES[0], 'precision')},
+  {r(_RATES[1], 'recall')}, {r(_RATES[2], 'specificity')} FROM best""", "best")
+
+oracle("cost_kpis", f"""
+SELECT {r('b.threshold', 'best_threshold')}, {r('b.cost', 'min_cost')},
+  {r('CAST(k.churners AS DOUBLE) * 200.0', 'do_nothing_cost')}, {r('CAST(k.churners AS DOUBLE) * 200.0 - b.cost', 'savings')},
+  {r('k.rev', 'revenue_at_risk')}
+FROM best b, (SELECT count_if(e.label = 1) AS churners,
+                     coalesce(sum(CASE WHEN e.score >= (SELECT threshold FROM best) THEN e.MonthlyCharges END), 0.0) AS rev
+              FROM ev e) k""", "best", "ev")
+
+cte("pts", """
+SELECT score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg FROM ev GROUP BY score""", ("ev",))
+cte("pr", """
+SELECT score AS threshold, pos, neg,
+  CAST(sum(pos) OVER (ORDER BY score DESC) AS DOUBLE) AS tps,
+  CAST(sum(neg) OVER (ORDER BY score DESC) AS DOUBLE) AS fps,
+  CAST(sum(pos) OVER () AS DOUBLE) AS P, CAST(sum(neg) OVER () AS DOUBLE) AS N
+FROM pts""", ("pts",))
+cte("pr2", """
+SELECT *, CASE WHEN tps + fps <> 0 THEN tps / (tps + fps) ELSE 0.0 END AS precision,
+  CASE WHEN P = 0 THEN 1.0 ELSE tps / P END AS recall FROM pr""", ("pr",))
+
+oracle("pr_curve", f"SELECT {r('threshold')}, {r('precision')}, {r('recall')} FROM pr2", "pr2")
+
+
+def _fb(b):
+    b2 = b * b
+    return (f"CASE WHEN {b2} * precision + recall <> 0 THEN (1 + {b2}) * precision * recall "
+            f"/ ({b2} * precision + recall) ELSE 0.0 END")
+
+
+_fparts = []
+for _b in (1.0, 1.5, 2.0):
+    _fparts.append(f"""(SELECT 'Beta {_b}' AS method, threshold,
+  (P - tps) * 200.0 + fps * 50.0 AS cost, recall, precision
+ FROM pr2 ORDER BY {_fb(_b)} DESC, threshold ASC LIMIT 1)""")
+_fparts.append("""(SELECT 'MIN COST' AS method, threshold, cost,
+  CASE WHEN tp + fn <> 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+  CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision FROM best)""")
+oracle("threshold_report", f"""
+SELECT method, {r('threshold')}, {r('cost')}, {r('recall')}, {r('precision')}
+FROM ({' UNION ALL '.join(_fparts)})""", "pr2", "best")
+
+cte("cm_best", """
+SELECT CAST(count_if(e.score >= b.threshold AND e.label = 1) AS DOUBLE) AS tp,
+  CAST(count_if(e.score >= b.threshold AND e.label <> 1) AS DOUBLE) AS fp,
+  CAST(count_if(e.score < b.threshold AND e.label = 1) AS DOUBLE) AS fn,
+  CAST(count_if(e.score < b.threshold AND e.label <> 1) AS DOUBLE) AS tn
+FROM ev e, best b""", ("ev", "best"))
+cte("cr0", """
+SELECT *, CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0.0 END AS p1,
+  CASE WHEN tp + fn <> 0 THEN tp / (tp + fn) ELSE 0.0 END AS r1,
+  CASE WHEN tn + fn <> 0 THEN tn / (tn + fn) ELSE 0.0 END AS p0,
+  CASE WHEN tn + fp <> 0 THEN tn / (tn + fp) ELSE 0.0 END AS r0,
+  tp + fn AS s1, tn + fp AS s0 FROM cm_best""", ("cm_best",))
+cte("cr1", """
+SELECT *, CASE WHEN p1 + r1 <> 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1,
+  CASE WHEN p0 + r0 <> 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0, s0 + s1 AS n FROM cr0""",
+    ("cr0",))
+oracle("classification_report", f"""
+SELECT class, {r('precision')}, {r('recall')}, {r('f1_score')}, CAST(support AS BIGINT) AS support FROM (
+  SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM cr1
+  UNION ALL SELECT '1', p1, r1, f1, s1 FROM cr1
+  UNION ALL SELECT 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+    CASE WHEN n <> 0 THEN (tp + tn) / n ELSE 0.0 END, n FROM cr1
+  UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM cr1
+  UNION ALL SELECT 'weighted avg', CASE WHEN n <> 0 THEN (p0 * s0 + p1 * s1) / n ELSE 0.0 END,
+    CASE WHEN n <> 0 THEN (r0 * s0 + r1 * s1) / n ELSE 0.0 END,
+    CASE WHEN n <> 0 THEN (f0 * s0 + f1 * s1) / n ELSE 0.0 END, n FROM cr1)""", "cr1")
+
+cte("mm_pts", """
+SELECT model, score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg
+FROM ev_models GROUP BY model, score""", ("ev_models",))
+cte("mm_auc", """
+SELECT model, CASE WHEN max(P) > 0 AND max(N) > 0
+  THEN sum(pos * (N - fps + neg / 2.0)) / (max(P) * max(N)) END AS auc FROM (
+  SELECT model, pos, neg,
+    CAST(sum(neg) OVER (PARTITION BY model ORDER BY score DESC) AS DOUBLE) AS fps,
+    CAST(sum(pos) OVER (PARTITION BY model) AS DOUBLE) AS P,
+    CAST(sum(neg) OVER (PARTITION BY model) AS DOUBLE) AS N FROM mm_pts)
+GROUP BY model""", ("mm_pts",))
+cte("mm_cm", """
+SELECT model, CAST(count_if(score >= 0.5 AND label = 1) AS DOUBLE) AS tp,
+  CAST(count_if(score >= 0.5 AND label <> 1) AS DOUBLE) AS fp,
+  CAST(count_if(score < 0.5 AND label = 1) AS DOUBLE) AS fn,
+  CAST(count_if(score < 0.5 AND label <> 1) AS DOUBLE) AS tn
+FROM ev_models GROUP BY model""", ("ev_models",))
+oracle("model_metrics", f"""
+SELECT model, {r('auc')}, {r('prec', 'precision')}, {r('rec', 'recall')},
+  {r('CASE WHEN prec + rec <> 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END', 'f1')},
+  CAST(0.5 AS DOUBLE) AS thr, CAST(tp + fn AS BIGINT) AS positives,
+  CAST(tp + fp + fn + tn AS BIGINT) AS n
+FROM (SELECT c.*, a.auc, CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0.0 END AS prec,
+        CASE WHEN tp + fn <> 0 THEN tp / (tp + fn) ELSE 0.0 END AS rec
+      FROM mm_cm c LEFT JOIN mm_auc a USING (model))""", "mm_cm", "mm_auc")
+
+oracle("roc_curve", f"""
+SELECT {r('threshold')}, {r('CASE WHEN N <> 0 THEN fps / N ELSE 0.0 END', 'fpr')},
+  {r('CASE WHEN P <> 0 THEN tps / P ELSE 0.0 END', 'tpr')} FROM pr""", "pr")
+
+_CAL = " + ".join(f"CAST({i} * CAST(0.1 AS DOUBLE) < score AS INTEGER)" for i in range(1, 10))
+oracle("calibration_curve", f"""
+SELECT bin, {r('avg(CAST(label AS DOUBLE))', 'prob_true')}, {r('avg(score)', 'prob_pred')},
+  count(*) AS n FROM (SELECT *, {_CAL} AS bin FROM ev) GROUP BY bin""", "ev")
+
+oracle("score_histogram", f"""
+SELECT bin, label, count(*) AS n, {r('lo + bin * (hi - lo) / 30', 'bin_lo')},
+  {r('lo + (bin + 1) * (hi - lo) / 30', 'bin_hi')}
+FROM (SELECT e.label, m.lo, m.hi,
+        CAST(CASE WHEN m.hi - m.lo = 0 THEN 0
+             ELSE least(floor((e.score - m.lo) * 30 / (m.hi - m.lo)), 29) END AS INTEGER) AS bin
+      FROM ev e, (SELECT min(score) AS lo, max(score) AS hi FROM ev) m)
+GROUP BY bin, label, lo, hi""", "ev")
+
+_QS = ", ".join(f"CAST('{repr(i * 0.1)}' AS DOUBLE)" for i in range(11))
+oracle("decile_stats", f"""
+SELECT decile, {r('avg(CAST(label AS DOUBLE))', 'actual')}, {r('avg(score)', 'pred')} FROM (
+  SELECT e.*, CAST(greatest(len(list_filter(d.edges, lambda x: x < e.score)) - 1, 0) AS INTEGER) AS decile
+  FROM ev e, (SELECT list_distinct(quantile_cont(score, [{_QS}])) AS edges FROM ev) d)
+GROUP BY decile""", "ev")
+
+oracle("class_weight", f"""
+SELECT count_if(Churn_Target = 0) AS n0, count_if(Churn_Target = 1) AS n1,
+  {r('count_if(Churn_Target = 0) / greatest(count_if(Churn_Target = 1), 1)', 'pos_weight')}
+FROM lab WHERE NOT is_test""", "lab")
+
+oracle("window_summary", f"""
+SELECT model, {r('avg(score)', 'avg_pred_risk')}, CAST(sum(label) AS BIGINT) AS positives_in_test
+FROM ev_models GROUP BY model""", "ev_models")

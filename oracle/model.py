@@ -73,8 +73,10 @@ SELECT f.customerID, f.is_test, f.fpos, f.feature, f.fname, {_cc}
 FROM feat f JOIN fmeans fm ON f.feature = fm.feature
 LEFT JOIN model m ON f.feature = m.feature AND f.value = m.value""", ("feat", "fmeans", "model"))
 
-_probs = ", ".join(f"1.0 / (1.0 + exp(-(max(b.base_{k}) + sum(c.c_{k})))) AS {RISK[k]}"
-                   for k, _ in LABELS)
+# margin = ((base + c_0) + c_1) + ... in feature order, as the Spark side adds
+_probs = ", ".join(
+    f"1.0 / (1.0 + exp(-list_reduce(list_prepend(max(b.base_{k}), list(c.c_{k} ORDER BY c.fpos)), "
+    f"lambda x, y: x + y))) AS {RISK[k]}" for k, _ in LABELS)
 cte("scores", f"""
 SELECT c.customerID, {_probs}
 FROM contrib c, base b WHERE c.is_test GROUP BY c.customerID""", ("contrib", "base"))

@@ -165,3 +165,114 @@ def q_decision_table_v1(spark, sf):
 
 
 FLAGSHIP = "decision_table"
+
+
+# ---- evaluation and threshold economics ------------------------------------------
+
+from .operators import evaluate as Ev  # noqa: E402
+
+_MODEL_PAIRS = (("churn_model", "Churn_Target", "churn_prob"),
+                ("timing_30d", "y_30d", "risk_30d"), ("timing_60d", "y_60d", "risk_60d"),
+                ("timing_90d", "y_90d", "risk_90d"))
+
+
+def eval_frame(spark, sf):
+    """Hold-out rows: label, score (churn model), MonthlyCharges."""
+    return scored(spark, sf).select("customerID", F.col("Churn_Target").alias("label"),
+                                    F.col("churn_prob").alias("score"), "MonthlyCharges",
+                                    "tenure", *[p[1] for p in _MODEL_PAIRS[1:]],
+                                    *[p[2] for p in _MODEL_PAIRS[1:]])
+
+
+def eval_models(spark, sf):
+    """The four models' hold-out predictions in one long frame."""
+    sc = scored(spark, sf)
+    arr = F.array(*[F.struct(F.lit(m).alias("model"), F.col(l).cast("int").alias("label"),
+                             F.col(s).alias("score")) for m, l, s in _MODEL_PAIRS])
+    return sc.select("customerID", F.inline(arr))
+
+
+@query("cost_curve")
+def q_cost_curve(spark, sf):
+    """101-threshold cost curve (FN 200, FP 50)."""
+    return rounded(Ev.cost_curve(eval_frame(spark, sf)))
+
+
+@query("confusion_at_best")
+def q_confusion_best(spark, sf):
+    """F1 + F3 + F6: counts and rates at the grid-optimal threshold."""
+    ev = eval_frame(spark, sf)
+    b = Ev.best_threshold(Ev.cost_curve(ev))
+    r = Ev.rates(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
+    return rounded(b.select("threshold", "cost", "tp", "fp", "fn", "tn",
+                            *[v.alias(k) for k, v in r.items()]))
+
+
+@query("cost_kpis")
+def q_cost_kpis(spark, sf):
+    """Best threshold, min cost, do-nothing cost, savings, revenue at risk."""
+    return rounded(Ev.cost_kpis(eval_frame(spark, sf)))
+
+
+@query("pr_curve")
+def q_pr_curve(spark, sf):
+    """precision-recall points over distinct scores."""
+    return rounded(Ev.pr_curve(eval_frame(spark, sf))
+                   .select("threshold", "precision", "recall"))
+
+
+@query("threshold_report")
+def q_threshold_report(spark, sf):
+    """F5 + A8: F-beta picks (1, 1.5, 2) and the grid minimum."""
+    return rounded(Ev.threshold_report(eval_frame(spark, sf)))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    """F7 at the grid-optimal threshold."""
+    ev = eval_frame(spark, sf)
+    thr = Ev.best_threshold(Ev.cost_curve(ev)).select("threshold").scalar()
+    return rounded(Ev.classification_report(Ev.confusion(ev, thr)))
+
+
+@query("model_metrics")
+def q_model_metrics(spark, sf):
+    """F8 + F9 + F10: metric records of the churn and three horizon models."""
+    return rounded(Ev.metrics_record(eval_models(spark, sf), 0.5, ["model"]))
+
+
+@query("roc_curve")
+def q_roc_curve(spark, sf):
+    """ROC points per distinct score."""
+    return rounded(Ev.roc_curve(eval_frame(spark, sf)))
+
+
+@query("calibration_curve")
+def q_calibration(spark, sf):
+    """ten uniform bins."""
+    return rounded(Ev.calibration_curve(eval_frame(spark, sf)))
+
+
+@query("score_histogram")
+def q_histogram(spark, sf):
+    """30 equal-width bins by label."""
+    return rounded(Ev.score_histogram(eval_frame(spark, sf)))
+
+
+@query("decile_stats")
+def q_deciles(spark, sf):
+    """E10 + E11: quantile deciles (duplicate edges dropped), actual vs predicted."""
+    return rounded(Ev.decile_stats(eval_frame(spark, sf)))
+
+
+@query("class_weight")
+def q_class_weight(spark, sf):
+    """Class counts and pos_weight on the training rows."""
+    lab = labeled(spark, sf).filter(~F.col("is_test"))
+    return rounded(Ev.class_weight(lab, "Churn_Target"))
+
+
+@query("window_summary")
+def q_window_summary(spark, sf):
+    """Per model, mean predicted risk and positives on the hold-out."""
+    return rounded(Ev.window_summary(eval_models(spark, sf)))
