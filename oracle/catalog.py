@@ -254,3 +254,212 @@ FROM lab WHERE NOT is_test""", "lab")
 oracle("window_summary", f"""
 SELECT model, {r('avg(score)', 'avg_pred_risk')}, CAST(sum(label) AS BIGINT) AS positives_in_test
 FROM ev_models GROUP BY model""", "ev_models")
+
+# ---- exploratory aggregates ----------------------------------------------------------
+_CATS = ("InternetService", "PhoneService", "MultipleLines", "OnlineSecurity", "OnlineBackup",
+         "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies", "Partner",
+         "Dependents", "Contract", "PaymentMethod", "Tenure_Bucket", "Payment_Simple")
+
+
+def _unpivot(src, cols, extra="Churn_Target", vtype="VARCHAR"):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS {vtype}) AS value, {extra} FROM {src}" for c in cols)
+
+
+oracle("eda_churn_rate_v1", f"""
+SELECT feature, value, {r('avg(CAST(Churn_Target AS DOUBLE))', 'churn_rate')}, count(*) AS customers
+FROM ({_unpivot('eng_v1', _CATS)}) WHERE value IS NOT NULL GROUP BY feature, value""", "eng_v1")
+
+oracle("eda_top_categories", f"""
+SELECT feature, value, {r('churn_rate')}, customers, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY feature ORDER BY churn_rate DESC, value) AS rank FROM (
+    SELECT feature, value, avg(CAST(Churn_Target AS DOUBLE)) AS churn_rate, count(*) AS customers
+    FROM ({_unpivot('eng', _CATS[:8])}) WHERE value IS NOT NULL GROUP BY feature, value))
+WHERE rank <= 12""", "eng")
+
+oracle("eda_tenure_bucket", f"""
+SELECT Tenure_Bucket, {r('avg(CAST(Churn_Target AS DOUBLE))', 'churn_rate')}, count(*) AS customers,
+  CASE Tenure_Bucket WHEN '0-1y' THEN 0 WHEN '1-2y' THEN 1 WHEN '2-4y' THEN 2 WHEN '4-6y' THEN 3
+                     WHEN '6-10y' THEN 4 END AS ordinal
+FROM eng WHERE Tenure_Bucket IS NOT NULL GROUP BY Tenure_Bucket""", "eng")
+
+_NUMS = ("tenure", "MonthlyCharges", "TotalCharges", "Churn_Target", "Service_Count",
+         "Avg_Historical_Charge")
+_corr_parts = []
+for _a in _NUMS:
+    for _b in _NUMS:
+        _corr_parts.append(f"SELECT '{_a}' AS feature_a, '{_b}' AS feature_b, "
+                           f"corr(CAST({_a} AS DOUBLE), CAST({_b} AS DOUBLE)) AS corr FROM eng")
+oracle("eda_correlation", f"SELECT feature_a, feature_b, {r('corr')} FROM ("
+       + " UNION ALL ".join(_corr_parts) + ")", "eng")
+
+_DIST = ("tenure", "MonthlyCharges", "TotalCharges", "Avg_Historical_Charge")
+oracle("eda_distribution", f"""
+SELECT Churn_Label, feature, count(*) AS n, {r('avg(value)', 'mean')}, {r('min(value)', 'min')},
+  {r('max(value)', 'max')}, {r('quantile_cont(value, 0.05)', 'p05')},
+  {r('quantile_cont(value, 0.25)', 'p25')}, {r('quantile_cont(value, 0.5)', 'p50')},
+  {r('quantile_cont(value, 0.75)', 'p75')}, {r('quantile_cont(value, 0.95)', 'p95')}
+FROM ({_unpivot('eng', _DIST, "CASE WHEN Churn_Target = 1 THEN 'Yes' ELSE 'No' END AS Churn_Label", 'DOUBLE')})
+WHERE value IS NOT NULL GROUP BY Churn_Label, feature""", "eng")
+
+_MED = ("tenure", "MonthlyCharges", "TotalCharges", "Service_Count", "Avg_Historical_Charge")
+oracle("eda_medians", "SELECT feature, " + r("median", "median") + " FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median FROM lab WHERE NOT is_test"
+    for c in _MED) + ")", "lab")
+
+oracle("distinct_contracts", "SELECT DISTINCT Contract FROM eng", "eng")
+
+# ---- live policy, segments, routing, queues -------------------------------------------
+CRIT, TARGET, SAFE = "'🔴 Critical Risk'", "'🟡 Target Zone'", "'🟢 Safe'"
+
+cte("results", """
+SELECT l.customerID, l.tenure, l.MonthlyCharges, l.TotalCharges, l.Contract, l.PaymentMethod,
+  l.InternetService, l.Tenure_Bucket, l.Service_Count, s.churn_prob AS Churn_Prob,
+  l.Churn_Target AS Actual_Churn
+FROM scores s JOIN lab l USING (customerID)""", ("scores", "lab"))
+cte("v1seg", f"""
+SELECT r.*,
+  CASE WHEN Churn_Prob >= 0.85 THEN {CRIT} WHEN Churn_Prob >= b.threshold THEN {TARGET} ELSE {SAFE} END AS Segment,
+  CASE WHEN Churn_Prob >= 0.85 THEN 'Call / Win-Back' WHEN Churn_Prob >= b.threshold THEN 'Send Discount'
+       ELSE 'No Action' END AS Action
+FROM results r, best b""", ("results", "best"))
+cte("capseg", f"""
+SELECT r.*,
+  CASE WHEN c.customerID IS NOT NULL THEN {CRIT} WHEN Churn_Prob >= b.threshold THEN {TARGET} ELSE {SAFE} END AS Segment,
+  CASE WHEN c.customerID IS NOT NULL THEN 'Call / Win-Back' WHEN Churn_Prob >= b.threshold THEN 'Send Discount'
+       ELSE 'No Action' END AS Action
+FROM results r CROSS JOIN best b LEFT JOIN (
+  SELECT DISTINCT customerID FROM (SELECT customerID FROM results, best
+    WHERE Churn_Prob >= best.threshold ORDER BY Churn_Prob DESC, customerID LIMIT 200)) c
+  ON r.customerID = c.customerID""", ("results", "best"))
+_COLL = ("tenure", "MonthlyCharges", "TotalCharges", "Contract", "PaymentMethod", "InternetService")
+cte("merged", f"""
+SELECT c.*, d.* EXCLUDE (customerID, churn_prob, {', '.join(_COLL)}), d.churn_prob AS churn_prob_v2,
+  {', '.join(f'd.{x} AS {x}_v2' for x in _COLL)}
+FROM capseg c LEFT JOIN decision d ON c.customerID = d.customerID""", ("capseg", "decision"))
+
+
+def _live(fixed: bool, window: str, mins: str, only: bool, cap: int, name: str):
+    base = "CAST(200.0 AS DOUBLE)" if fixed else "coalesce(clv, 0.0)"
+    basis = "'Fixed LTV'" if fixed else "'CLV proxy'"
+    cte(f"{name}_p", f"""
+SELECT *, {basis} AS value_basis_live, {base} AS value_base_live,
+  coalesce(risk_30d, 0.0) * {base} AS expected_loss_30d_live, CAST(50.0 AS DOUBLE) AS offer_cost_live,
+  CAST(coalesce(risk_30d, 0.0) * {base} > 50.0 AS INTEGER) AS should_intervene_live,
+  coalesce(risk_30d, 0.0) * {base} - 50.0 AS roi_proxy_live
+FROM merged""", ("merged",))
+    cte(f"{name}_q", f"""
+SELECT m.*, CASE WHEN clv IS NULL THEN 'unknown' WHEN clv >= q.q2 THEN 'high' WHEN clv >= q.q1 THEN 'mid'
+  ELSE 'low' END AS value_segment_live
+FROM {name}_p m, (SELECT quantile_cont(clv, 0.33) AS q1, quantile_cont(clv, 0.66) AS q2 FROM {name}_p) q""",
+        (f"{name}_p",))
+    conds = []
+    if mins == "mid":
+        conds.append("value_segment_live IN ('mid', 'high')")
+    elif mins == "high":
+        conds.append("value_segment_live IN ('high')")
+    if only:
+        conds.append("should_intervene_live = 1")
+    where = ("WHERE " + " AND ".join(conds)) if conds else ""
+    cte(f"{name}_f", f"SELECT *, coalesce({window}, 0.0) AS routing_score_live FROM {name}_q {where}",
+        (f"{name}_q",))
+    cte(name, f"""
+SELECT f.*, CASE WHEN c.customerID IS NOT NULL THEN {CRIT} WHEN should_intervene_live = 1 THEN {TARGET}
+  ELSE {SAFE} END AS routing_tier_live
+FROM {name}_f f LEFT JOIN (SELECT DISTINCT customerID FROM (SELECT customerID FROM {name}_f
+  WHERE should_intervene_live = 1 ORDER BY routing_score_live DESC, customerID LIMIT {cap})) c
+  ON f.customerID = c.customerID""", (f"{name}_f",))
+
+
+_live(False, "risk_30d", "mid", True, 200, "live")
+_live(True, "risk_60d", "all", False, 50, "livefix")
+
+oracle("v1_segments", f"SELECT customerID, {r('Churn_Prob')}, Segment, Action FROM v1seg", "v1seg")
+oracle("segment_counts", "SELECT Segment, count(*) AS count FROM v1seg GROUP BY Segment", "v1seg")
+oracle("segment_profile", f"""
+SELECT CASE WHEN r.Churn_Prob >= b.threshold THEN 'High Risk' ELSE 'Safe' END AS "Group",
+  {r('avg(r.tenure)', 'tenure')}, {r('avg(r.MonthlyCharges)', 'MonthlyCharges')}
+FROM results r, best b GROUP BY 1""", "results", "best")
+oracle("action_list_v1", f"""
+SELECT customerID, Segment, {r('Churn_Prob')}, Action, {r('tenure')}, {r('MonthlyCharges')}, Contract,
+  PaymentMethod FROM v1seg WHERE Segment IN ({CRIT}, {TARGET}) AND Contract IN ('Month-to-month')""", "v1seg")
+oracle("segment_positions", f"""
+SELECT customerID, Segment, {r('MonthlyCharges')},
+  row_number() OVER (PARTITION BY Segment ORDER BY MonthlyCharges ASC NULLS LAST, customerID) - 1 AS position
+FROM v1seg""", "v1seg")
+oracle("tenure_positions", f"""
+SELECT customerID, Segment, {r('tenure')}, {r('tenure / 12.0', 'tenure_years')},
+  CASE WHEN tenure < 12 THEN CAST(CAST(trunc(tenure) AS BIGINT) AS VARCHAR) || ' months'
+       ELSE printf('%.1f years', round_even(tenure / 12.0, 1)) END AS tenure_display,
+  row_number() OVER (PARTITION BY Segment ORDER BY tenure ASC NULLS LAST, customerID) - 1 AS position
+FROM v1seg WHERE tenure IS NOT NULL""", "v1seg")
+oracle("capacity_segments", f"SELECT customerID, {r('Churn_Prob')}, Segment, Action FROM capseg", "capseg")
+oracle("live_view", f"""
+SELECT customerID, {r('Churn_Prob')}, Segment, {r('tenure')}, {r('tenure_v2')}, {r('risk_30d')}, {r('clv')},
+  value_segment, value_segment_live, value_basis_live, {r('value_base_live')},
+  {r('expected_loss_30d_live')}, {r('offer_cost_live')}, should_intervene_live, {r('roi_proxy_live')},
+  {r('routing_score_live')}, routing_tier_live FROM live""", "live")
+oracle("live_view_fixed_ltv", f"""
+SELECT customerID, value_basis_live, {r('value_base_live')}, {r('expected_loss_30d_live')},
+  should_intervene_live, {r('roi_proxy_live')}, {r('routing_score_live')}, routing_tier_live
+FROM livefix""", "livefix")
+oracle("live_kpis", f"""
+SELECT count_if(should_intervene_live = 1) AS target_customers,
+  {r('coalesce(sum(expected_loss_30d_live), 0.0)', 'expected_loss_30d')},
+  {r('coalesce(sum(offer_cost_live), 0.0)', 'offer_cost')},
+  {r('coalesce(sum(roi_proxy_live), 0.0)', 'roi_proxy')},
+  count_if(routing_tier_live = {CRIT}) AS critical_queue,
+  count_if(routing_tier_live = {TARGET}) AS target_campaigns FROM live""", "live")
+oracle("action_list", f"""
+SELECT customerID, routing_tier_live, {r('roi_proxy_live')}, {r('risk_30d')} FROM live
+ORDER BY roi_proxy_live DESC NULLS LAST, customerID LIMIT 500""", "live")
+for _name, _tier in (("critical_queue", CRIT), ("target_queue", TARGET)):
+    oracle(_name, f"""
+SELECT customerID, {r('routing_score_live')}, {r('roi_proxy_live')} FROM live
+WHERE routing_tier_live = {_tier} ORDER BY routing_score_live DESC, customerID LIMIT 200""", "live")
+
+_CASE_TXT = ("customerID", "value_segment", "value_segment_live", "routing_tier_live", "reason_1",
+             "bucket_1", "reason_2", "bucket_2", "reason_3", "bucket_3", "recommended_action",
+             "intervention_type", "should_intervene_live")
+_CASE_DBL = ("Churn_Prob", "churn_prob_v2", "risk_30d", "risk_60d", "risk_90d", "clv",
+             "expected_loss_30d_live", "offer_cost_live", "roi_proxy_live", "impact_1", "impact_2",
+             "impact_3")
+oracle("case_file", "SELECT " + ", ".join(list(_CASE_TXT) + [r(c) for c in _CASE_DBL]) + """
+FROM live WHERE customerID = (SELECT customerID FROM live
+  ORDER BY roi_proxy_live DESC NULLS LAST, customerID LIMIT 1)""", "live")
+
+
+def _stack(src, cols, name):
+    return " UNION ALL ".join(f"SELECT nullif({c}, '') AS {name} FROM {src}" for c in cols)
+
+
+oracle("bucket_mix", f"""
+SELECT bucket, count(*) AS count FROM ({_stack('live', ['bucket_1', 'bucket_2', 'bucket_3'], 'bucket')})
+WHERE bucket IS NOT NULL GROUP BY bucket""", "live")
+oracle("top_reasons", f"""
+SELECT reason, count(*) AS count FROM ({_stack('live', ['reason_1', 'reason_2', 'reason_3'], 'reason')})
+WHERE reason IS NOT NULL GROUP BY reason ORDER BY count DESC, reason LIMIT 15""", "live")
+
+cte("dec_f", "SELECT * FROM decision WHERE value_segment IN ('mid', 'high') AND should_intervene = 1",
+    ("decision",))
+oracle("portfolio_kpis", f"""
+SELECT count(*) AS customers, {r('coalesce(sum(expected_loss_30d), 0.0)', 'expected_loss_30d')},
+  {r('coalesce(sum(offer_cost), 0.0)', 'offer_cost')}, {r('coalesce(sum(roi_proxy), 0.0)', 'roi_proxy')}
+FROM dec_f""", "dec_f")
+oracle("intervention_mix", "SELECT intervention_type, count(*) AS count FROM dec_f GROUP BY 1", "dec_f")
+oracle("risk_value_points", f"""
+SELECT customerID, {r('risk_30d')}, {r('clv')}, {r('expected_loss_30d')}, intervention_type, reason_1,
+  recommended_action FROM dec_f
+ORDER BY should_intervene DESC, priority_score DESC, expected_loss_30d DESC, customerID LIMIT 2000""", "dec_f")
+oracle("ops_top", f"""
+SELECT customerID, should_intervene, {r('priority_score')}, {r('expected_loss_30d')}, value_segment,
+  intervention_type FROM decision
+ORDER BY should_intervene DESC, priority_score DESC, expected_loss_30d DESC, customerID LIMIT 300""", "decision")
+oracle("risk_sorted", f"""
+SELECT customerID, {r('s.risk_30d', 'risk_30d')}, reason_1, recommended_action
+FROM rc JOIN scores s USING (customerID)""", "rc", "scores")
+oracle("key_profile", """
+SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys, count_if(n > 1) AS duplicate_keys
+FROM (SELECT customerID, count(*) AS n FROM decision GROUP BY customerID)""", "decision")
+oracle("clv_quantiles", f"""
+SELECT {r('quantile_cont(clv, 0.33)', 'q1')}, {r('quantile_cont(clv, 0.66)', 'q2')} FROM merged""", "merged")

@@ -80,6 +80,7 @@ def q_contract_tenure_value(spark, sf):
 from .operators import explain as X  # noqa: E402
 from .operators import labels as L  # noqa: E402
 from .plans import jobs as J  # noqa: E402
+from .plans import tables as T_  # noqa: E402
 
 _MODELS: dict = {}
 
@@ -95,8 +96,17 @@ def model(spark, sf):
     return _MODELS[key]
 
 
+def _cached(kind, spark, sf, build):
+    key = (kind, id(spark), sf)
+    if key not in _MODELS:
+        _MODELS[key] = build()
+    return _MODELS[key]
+
+
 def scored(spark, sf):
-    return J.scored(labeled(spark, sf), model(spark, sf))
+    """Scored hold-out, written once per session as a table boundary."""
+    return _cached("scored", spark, sf, lambda: T_.materialize(
+        J.scored(labeled(spark, sf), model(spark, sf)), "scored"))
 
 
 @query("split_flags")
@@ -276,3 +286,262 @@ def q_class_weight(spark, sf):
 def q_window_summary(spark, sf):
     """Per model, mean predicted risk and positives on the hold-out."""
     return rounded(Ev.window_summary(eval_models(spark, sf)))
+
+
+# ---- exploratory aggregates ----------------------------------------------------------
+
+from .operators import profile as D  # noqa: E402
+
+
+@query("eda_churn_rate_v1")
+def q_eda_rate(spark, sf):
+    """Churn rate per value of every categorical column (v1 profile)."""
+    return rounded(D.churn_rate_by_category(engineered(spark, sf, "v1")))
+
+
+@query("eda_top_categories")
+def q_eda_top(spark, sf):
+    """First 8 text columns, top 12 values by churn rate."""
+    return rounded(D.top_categories(engineered(spark, sf, "v2")))
+
+
+@query("eda_tenure_bucket")
+def q_eda_tenure(spark, sf):
+    """D3."""
+    return rounded(D.churn_by_tenure_bucket(engineered(spark, sf, "v2")))
+
+
+@query("eda_correlation")
+def q_eda_corr(spark, sf):
+    """Pairwise-complete Pearson matrix of numeric columns + target."""
+    return rounded(D.correlation_matrix(engineered(spark, sf, "v2")))
+
+
+@query("eda_distribution")
+def q_eda_dist(spark, sf):
+    """Per churn label: count, mean, min, max, 5/25/50/75/95 % points."""
+    return rounded(D.distribution_by_label(engineered(spark, sf, "v2")))
+
+
+@query("eda_medians")
+def q_eda_medians(spark, sf):
+    """Median per numeric model input on the training rows."""
+    lab = labeled(spark, sf).filter(~F.col("is_test"))
+    cols = ["tenure", "MonthlyCharges", "TotalCharges", "Service_Count", "Avg_Historical_Charge"]
+    return rounded(D.medians(lab, cols))
+
+
+@query("distinct_contracts")
+def q_distinct(spark, sf):
+    """D15."""
+    return D.distinct_values(engineered(spark, sf), "Contract")
+
+
+# ---- live policy, segments, routing, queues -------------------------------------------
+
+from .config import LiveParams  # noqa: E402
+from .operators import policy as P  # noqa: E402
+from .operators import value as V2  # noqa: E402
+
+RESULT_COLUMNS = ("customerID", "tenure", "MonthlyCharges", "TotalCharges", "Contract",
+                  "PaymentMethod", "InternetService", "Tenure_Bucket", "Service_Count")
+
+
+def results_v1(spark, sf):
+    """Scored hold-out as the apps see it: features, Churn_Prob, Actual_Churn."""
+    sc = scored(spark, sf)
+    return sc.select(*RESULT_COLUMNS, F.col("churn_prob").alias("Churn_Prob"),
+                     F.col("Churn_Target").alias("Actual_Churn"))
+
+
+def best_thr(spark, sf):
+    return Ev.best_threshold_value(eval_frame(spark, sf))
+
+
+def decisions(spark, sf):
+    """Decision table, written once per session (the dashboards read the
+    written table, as upstream)."""
+    return _cached("decisions", spark, sf, lambda: T_.materialize(
+        J.decision_table(scored(spark, sf)), "decisions"))
+
+
+def live(spark, sf, params=LiveParams()):
+    return P.live_view(results_v1(spark, sf), decisions(spark, sf), best_thr(spark, sf), params)
+
+
+@query("v1_segments")
+def q_v1_segments(spark, sf):
+    """Critical / Target / Safe with actions at the grid-optimal threshold."""
+    return rounded(P.v1_segments(results_v1(spark, sf), best_thr(spark, sf))
+                   .select("customerID", "Churn_Prob", "Segment", "Action"))
+
+
+@query("segment_counts")
+def q_segment_counts(spark, sf):
+    """D9."""
+    return P.value_counts(P.v1_segments(results_v1(spark, sf), best_thr(spark, sf)), "Segment")
+
+
+@query("segment_profile")
+def q_segment_profile(spark, sf):
+    """D11 (+ B22 cohorts): mean tenure and charges, High Risk vs Safe."""
+    return rounded(P.segment_profile(results_v1(spark, sf), best_thr(spark, sf)))
+
+
+@query("action_list_v1")
+def q_action_list_v1(spark, sf):
+    """B18 + E3: segment set AND contract set, by probability."""
+    seg = P.v1_segments(results_v1(spark, sf), best_thr(spark, sf))
+    out = B.filter_in(seg, Segment=["🔴 Critical Risk", "🟡 Target Zone"],
+                      Contract=["Month-to-month"])
+    return rounded(out.orderBy(F.col("Churn_Prob").desc(), "customerID")
+                   .select("customerID", "Segment", "Churn_Prob", "Action", "tenure",
+                           "MonthlyCharges", "Contract", "PaymentMethod"))
+
+
+@query("segment_positions")
+def q_segment_positions(spark, sf):
+    """Sorted position by MonthlyCharges within each v1 segment."""
+    seg = P.v1_segments(results_v1(spark, sf), best_thr(spark, sf))
+    return rounded(P.sorted_positions(seg, "MonthlyCharges")
+                   .select("customerID", "Segment", "MonthlyCharges", "position"))
+
+
+@query("tenure_positions")
+def q_tenure_positions(spark, sf):
+    """B24 + B25 + E8: tenure in years and display text, position by tenure."""
+    seg = P.v1_segments(results_v1(spark, sf), best_thr(spark, sf))
+    t = B.with_tenure_display(B.drop_null(seg, "tenure"))
+    return rounded(P.sorted_positions(t, "tenure")
+                   .select("customerID", "Segment", "tenure", "tenure_years",
+                           "tenure_display", "position"))
+
+
+@query("capacity_segments")
+def q_capacity_segments(spark, sf):
+    """H12 + E6 + C3: Target above the threshold, top-200 of them Critical."""
+    seg = P.capacity_segments(results_v1(spark, sf), best_thr(spark, sf), LiveParams().calls_per_week)
+    return rounded(seg.select("customerID", "Churn_Prob", "Segment", "Action"))
+
+
+@query("live_view")
+def q_live_view(spark, sf):
+    """C1 + H13 + H3 + B20 + B21 + H14: the live working table."""
+    return rounded(live(spark, sf).select(
+        "customerID", "Churn_Prob", "Segment", "tenure", "tenure_v2", "risk_30d", "clv",
+        "value_segment", "value_segment_live", "value_basis_live", "value_base_live",
+        "expected_loss_30d_live", "offer_cost_live", "should_intervene_live", "roi_proxy_live",
+        "routing_score_live", "routing_tier_live"))
+
+
+@query("live_view_fixed_ltv")
+def q_live_view_fixed(spark, sf):
+    """H13/H14 variant: fixed LTV value base, 60-day routing, no filters."""
+    p = LiveParams(use_fixed_ltv=True, risk_window="risk_60d", min_value_segment="all",
+                   only_intervene=False, calls_per_week=50)
+    return rounded(live(spark, sf, p).select(
+        "customerID", "value_basis_live", "value_base_live", "expected_loss_30d_live",
+        "should_intervene_live", "roi_proxy_live", "routing_score_live", "routing_tier_live"))
+
+
+@query("live_kpis")
+def q_live_kpis(spark, sf):
+    """D7."""
+    return rounded(P.live_kpis(live(spark, sf)))
+
+
+@query("action_list")
+def q_action_list(spark, sf):
+    """First 500 by live ROI."""
+    return rounded(P.action_list(live(spark, sf), 500)
+                   .select("customerID", "routing_tier_live", "roi_proxy_live", "risk_30d"))
+
+
+@query("critical_queue")
+def q_critical_queue(spark, sf):
+    """Critical call queue, first 200 by routing score."""
+    return rounded(P.queue(live(spark, sf), "🔴 Critical Risk", 200)
+                   .select("customerID", "routing_score_live", "roi_proxy_live"))
+
+
+@query("target_queue")
+def q_target_queue(spark, sf):
+    """Target campaign queue, first 200 by routing score."""
+    return rounded(P.queue(live(spark, sf), "🟡 Target Zone", 200)
+                   .select("customerID", "routing_score_live", "roi_proxy_live"))
+
+
+@query("case_file")
+def q_case_file(spark, sf):
+    """B23 + H15: case file of the first customer of the action list."""
+    lv = live(spark, sf)
+    first = P.action_list(lv, 1).select("customerID").scalar()
+    return rounded(P.case_file(lv, first))
+
+
+@query("bucket_mix")
+def q_bucket_mix(spark, sf):
+    """D12 + I1: bucket frequency over bucket_1..3 of the live view."""
+    return P.stacked_counts(live(spark, sf), ["bucket_1", "bucket_2", "bucket_3"], "bucket")
+
+
+@query("top_reasons")
+def q_top_reasons(spark, sf):
+    """15 most frequent reasons of the live view."""
+    return P.top_reasons(live(spark, sf), 15)
+
+
+def filtered_decisions(spark, sf):
+    """B19 (minimum segment mid) + B21 (only intervene) on the decision table."""
+    return B.only_flagged(B.min_segment_rank(decisions(spark, sf), "mid"))
+
+
+@query("portfolio_kpis")
+def q_portfolio_kpis(spark, sf):
+    """D6 over B19 + B21."""
+    return rounded(P.portfolio_kpis(filtered_decisions(spark, sf)))
+
+
+@query("intervention_mix")
+def q_intervention_mix(spark, sf):
+    """D10."""
+    return P.value_counts(filtered_decisions(spark, sf), "intervention_type")
+
+
+@query("risk_value_points")
+def q_risk_value(spark, sf):
+    """H16 + E1 + E5: first 2000 rows of the ops order."""
+    d = filtered_decisions(spark, sf)
+    return rounded(P.top_rows(d, J.ops_order(d), 2000).select(
+        "customerID", "risk_30d", "clv", "expected_loss_30d", "intervention_type",
+        "reason_1", "recommended_action"))
+
+
+@query("ops_top")
+def q_ops_top(spark, sf):
+    """E1 + E5: first 300 rows of the ops order (intervene, priority, loss)."""
+    d = decisions(spark, sf)
+    return rounded(P.top_rows(d, J.ops_order(d), 300).select(
+        "customerID", "should_intervene", "priority_score", "expected_loss_30d",
+        "value_segment", "intervention_type"))
+
+
+@query("risk_sorted")
+def q_risk_sorted(spark, sf):
+    """The earlier table sorted by near-term risk."""
+    return rounded(J.decision_table_v1(scored(spark, sf))
+                   .orderBy(F.col("risk_30d").desc(), "customerID")
+                   .select("customerID", "risk_30d", "reason_1", "recommended_action"))
+
+
+@query("key_profile")
+def q_key_profile(spark, sf):
+    """Key uniqueness of the decision table."""
+    return P.key_profile(decisions(spark, sf))
+
+
+@query("clv_quantiles")
+def q_clv_quantiles(spark, sf):
+    """CLV 33 % / 66 % points of the merged view (linear interpolation)."""
+    m = P.merge_suffixed(results_v1(spark, sf), decisions(spark, sf))
+    return rounded(V2.value_quantiles(m, "clv"))
