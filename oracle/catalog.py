@@ -463,3 +463,12 @@ SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys, count_if(n > 1
 FROM (SELECT customerID, count(*) AS n FROM decision GROUP BY customerID)""", "decision")
 oracle("clv_quantiles", f"""
 SELECT {r('quantile_cont(clv, 0.33)', 'q1')}, {r('quantile_cont(clv, 0.66)', 'q2')} FROM merged""", "merged")
+
+# ---- sources and sinks ------------------------------------------------------------------
+ORACLE["csv_roundtrip_engineered"] = ORACLE["engineered_v2"].replace(
+    "round(days_to_churn, 6) AS days_to_churn, ", "")
+ORACLE["metrics_json_roundtrip"] = ORACLE["model_metrics"]
+ORACLE["threshold_report_table"] = ORACLE["threshold_report"]
+ORACLE["export_filtered_list"] = ORACLE["action_list_v1"]
+oracle("ensure_decision_table", f"""
+SELECT customerID, {r('clv')}, intervention_type, should_intervene FROM decision""", "decision")

@@ -545,3 +545,106 @@ def q_clv_quantiles(spark, sf):
     """CLV 33 % / 66 % points of the merged view (linear interpolation)."""
     m = P.merge_suffixed(results_v1(spark, sf), decisions(spark, sf))
     return rounded(V2.value_quantiles(m, "clv"))
+
+
+# ---- MLlib gradient-boosted models (rows-only checks) -------------------------------
+
+from .operators import models as ML  # noqa: E402
+
+# the library default is 100 trees; the registered smoke checks use fewer
+CHECK_GBT = dict(maxIter=20)
+CHECK_GBT_WINDOWS = dict(maxIter=10)
+
+
+def gbt(spark, sf):
+    return _cached("gbt", spark, sf, lambda: ML.fit_churn_model(
+        labeled(spark, sf).filter(~F.col("is_test")), "Churn_Target", CHECK_GBT))
+
+
+@query("gbt_scores")
+def q_gbt_scores(spark, sf):
+    """G2 + G3 + G4: encode, fit a weighted GBT, score the hold-out."""
+    test = labeled(spark, sf).filter(F.col("is_test"))
+    return gbt(spark, sf).transform(test).select("customerID", "churn_prob")
+
+
+@query("gbt_feature_importance")
+def q_gbt_importance(spark, sf):
+    """top-20 feature importances."""
+    return gbt(spark, sf).feature_importance(spark, 20)
+
+
+@query("gbt_saved_model_scores")
+def q_gbt_saved(spark, sf):
+    """Save the pipeline to the shared folder, load it, score."""
+    m = gbt(spark, sf)
+    path = T_.scratch_path(spark, "gbt_model")
+    m.save(path)
+    loaded = ML.load_churn_model(path, m.numeric, m.categorical, m.fill, m.label)
+    test = labeled(spark, sf).filter(F.col("is_test"))
+    return loaded.transform(test).select("customerID", "churn_prob")
+
+
+@query("gbt_window_scores")
+def q_gbt_windows(spark, sf):
+    """One model per horizon (30/60/90 days), hold-out risks."""
+    lab = labeled(spark, sf)
+    models = ML.fit_window_models(lab.filter(~F.col("is_test")), params=CHECK_GBT_WINDOWS)
+    out = lab.filter(F.col("is_test")).select(*[c for c in lab.columns])
+    for w, m in models.items():
+        out = m.transform(out, f"risk_{w}d")
+    return out.select("customerID", "risk_30d", "risk_60d", "risk_90d")
+
+
+# ---- sources and sinks (round trips through the shared folder) ------------------------
+
+from .sources import tables as SRC  # noqa: E402
+
+
+@query("csv_roundtrip_engineered")
+def q_csv_roundtrip(spark, sf):
+    """A4 -> A1/A2 -> B29: subscribers exported as CSV, found by candidate
+    name, read with an explicit schema (PERMISSIVE), engineered."""
+    folder = T_.scratch_path(spark, "raw")
+    T_.write_csv(subscribers(spark, sf).drop("days_to_churn"), f"{folder}/Churn_Telco.csv")
+    schema = subscribers(spark, sf).drop("days_to_churn").schema
+    raw = SRC.load_raw(spark, folder, schema=schema)
+    return rounded(B.engineered(raw, "v2"))
+
+
+@query("metrics_json_roundtrip")
+def q_metrics_json(spark, sf):
+    """Model metric records written as JSON and read back (A3)."""
+    path = T_.scratch_path(spark, "model_metrics")
+    T_.write_json(Ev.metrics_record(eval_models(spark, sf), 0.5, ["model"]), path)
+    return rounded(spark.read.json(path))
+
+
+@query("threshold_report_table")
+def q_report_table(spark, sf):
+    """The threshold report as a table (A4) read back (A3)."""
+    path = T_.scratch_path(spark, "threshold_report")
+    T_.write_table(Ev.threshold_report(eval_frame(spark, sf)), path)
+    return rounded(SRC.read_table(spark, path))
+
+
+@query("ensure_decision_table")
+def q_ensure(spark, sf):
+    """A10: build-if-missing table (built on first use, then read)."""
+    path = T_.scratch_path(spark, "retention_table_v2")
+    T_.ensure_table(spark, path, lambda: J.decision_table(scored(spark, sf)))   # builds
+
+    def must_not_rebuild():
+        raise RuntimeError(f"{path} should exist")
+
+    table = T_.ensure_table(spark, path, must_not_rebuild)                       # reads
+    return rounded(table.select("customerID", "clv", "intervention_type", "should_intervene"))
+
+
+@query("export_filtered_list")
+def q_export(spark, sf):
+    """A5: filtered action list exported as CSV and read back."""
+    path = T_.scratch_path(spark, "filtered_churn_risk")
+    lst = q_action_list_v1(spark, sf)
+    T_.write_csv(lst, path)
+    return rounded(spark.read.schema(lst.schema).option("header", True).csv(path))
