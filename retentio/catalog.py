@@ -648,3 +648,15 @@ def q_export(spark, sf):
     lst = q_action_list_v1(spark, sf)
     T_.write_csv(lst, path)
     return rounded(spark.read.schema(lst.schema).option("header", True).csv(path))
+
+
+@query("gbt_reason_codes")
+def q_gbt_reason_codes(spark, sf):
+    """G7b + G5 + G8 + G9: sampled Shapley contributions of the GBT model on
+    the hold-out (background: training rows), then reason codes."""
+    from .operators import shapley as SH
+    lab = labeled(spark, sf)
+    long = SH.sampled_shapley(gbt(spark, sf), lab.filter(F.col("is_test")),
+                              lab.filter(~F.col("is_test")))
+    rc = X.add_reason_codes(SH.contribution_arrays(long))
+    return X.add_buckets_and_actions(rc)

@@ -77,3 +77,46 @@ def test_plans_stay_in_jvm(spark):
     ev = sc.select(F.col("Churn_Target").alias("label"), F.col("churn_prob").alias("score"))
     pr_plan = Ev.pr_curve(ev)._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in pr_plan.lower()
+
+
+def test_sampled_shapley_efficiency(spark):
+    """Per customer the contributions add up to the mean over chains of
+    margin(x) - margin(background row)."""
+    import math
+    from retentio.operators import models as ML
+    from retentio.operators import shapley as SH
+    lab = J.labeled(fixture.subscribers(spark, SF_SMALL))
+    train, test = lab.filter(~F.col("is_test")), lab.filter(F.col("is_test"))
+    m = ML.fit_churn_model(train, params=dict(maxIter=5, maxDepth=3))
+    long = SH.sampled_shapley(m, test, train, permutations=4, background_rows=16)
+    sums = {r[0]: r[1] for r in long.groupBy("customerID").agg(F.sum("contribution")).collect()}
+    feats = m.numeric + m.categorical
+    assert long.count() == test.count() * len(feats)
+    # margin(x) - E_chains[margin(z)]: recompute the chain background rows
+    px = {r["customerID"]: r["churn_prob"] for r in m.transform(test).select("customerID", "churn_prob").collect()}
+    bg = SH.background_sample(train, feats, 16)
+    pz = {r["_b"]: r["churn_prob"] for r in m.transform(bg).select("_b", "churn_prob").collect()}
+    n_bg = len(pz)
+    chains = (test.select("customerID").withColumn("_m", F.explode(F.sequence(F.lit(0), F.lit(3))))
+              .withColumn("_b", F.pmod(F.xxhash64(F.lit(42), F.col("customerID"), F.col("_m")),
+                                       F.lit(n_bg)).cast("int")).collect())
+    logit = lambda p: math.log(max(min(p, 1 - 1e-12), 1e-12) / (1 - max(min(p, 1 - 1e-12), 1e-12)))
+    want = {}
+    for r in chains:
+        want.setdefault(r["customerID"], []).append(logit(px[r["customerID"]]) - logit(pz[r["_b"]]))
+    for cid, vals in want.items():
+        assert sums[cid] == pytest.approx(sum(vals) / len(vals), abs=1e-9)
+
+
+def test_jobs_build_all_and_config(spark, tmp_path):
+    import os
+    from retentio import jobs
+    from retentio.config import RetentionPolicy
+    from retentio.sources import tables as SRC
+    cfg = os.path.join(os.path.dirname(jobs.__file__), "resources", "retention_policy.json")
+    policy = RetentionPolicy.from_dict(SRC.load_config(spark, cfg))
+    assert policy == RetentionPolicy()
+    paths = jobs.build_all(spark, str(tmp_path / "out"), SF_SMALL, policy=policy)
+    dec = spark.read.parquet(paths["decision_table"])
+    assert dec.count() == spark.read.parquet(paths["scored_holdout"]).count()
+    assert spark.read.json(paths["model_metrics"] + "_json").count() == 4
