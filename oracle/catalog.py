@@ -411,7 +411,7 @@ SELECT count_if(should_intervene_live = 1) AS target_customers,
   count_if(routing_tier_live = {CRIT}) AS critical_queue,
   count_if(routing_tier_live = {TARGET}) AS target_campaigns FROM live""", "live")
 oracle("action_list", f"""
-SELECT customerID, routing_tier_live, {r('roi_proxy_live')}, {r('risk_30d')} FROM live
+SELECT customerID, routing_tier_live, {r('roi_proxy_live')}, {r('roi_proxy')}, {r('risk_30d')} FROM live
 ORDER BY roi_proxy_live DESC NULLS LAST, customerID LIMIT 500""", "live")
 for _name, _tier in (("critical_queue", CRIT), ("target_queue", TARGET)):
     oracle(_name, f"""
@@ -472,3 +472,19 @@ ORACLE["threshold_report_table"] = ORACLE["threshold_report"]
 ORACLE["export_filtered_list"] = ORACLE["action_list_v1"]
 oracle("ensure_decision_table", f"""
 SELECT customerID, {r('clv')}, intervention_type, should_intervene FROM decision""", "decision")
+
+_MODEL_IN = ("customerID", "tenure", "MonthlyCharges", "TotalCharges", "InternetService",
+             "PhoneService", "MultipleLines", "OnlineSecurity", "OnlineBackup", "DeviceProtection",
+             "TechSupport", "StreamingTV", "StreamingMovies", "Partner", "Dependents", "Contract",
+             "PaymentMethod", "Tenure_Bucket", "Service_Count", "Avg_Historical_Charge",
+             "Payment_Simple")
+oracle("model_inputs", f"SELECT {_proj(_MODEL_IN, _ENG_DOUBLES)} FROM lab", "lab")
+oracle("carry_forward_context", f"""
+SELECT rc.customerID, {r('rc.churn_prob', 'churn_prob')}, reason_1, {r('impact_1')}, reason_2,
+  {r('impact_2')}, reason_3, {r('impact_3')}, bucket_1, bucket_2, bucket_3, recommended_action,
+  {r('l.tenure', 'tenure')}, {r('l.MonthlyCharges', 'MonthlyCharges')},
+  {r('l.TotalCharges', 'TotalCharges')}, l.Contract, l.PaymentMethod, l.InternetService
+FROM rc LEFT JOIN lab l USING (customerID)""", "rc", "lab")
+oracle("high_risk_drilldown", f"""
+SELECT r.customerID, {r('r.Churn_Prob', 'Churn_Prob')} FROM results r, best b
+WHERE r.Churn_Prob > b.threshold""", "results", "best")

@@ -350,8 +350,9 @@ RESULT_COLUMNS = ("customerID", "tenure", "MonthlyCharges", "TotalCharges", "Con
 def results_v1(spark, sf):
     """Scored hold-out as the apps see it: features, Churn_Prob, Actual_Churn."""
     sc = scored(spark, sf)
-    return sc.select(*RESULT_COLUMNS, F.col("churn_prob").alias("Churn_Prob"),
-                     F.col("Churn_Target").alias("Actual_Churn"))
+    out = sc.select(*RESULT_COLUMNS, F.col("churn_prob").alias("Churn_Prob"),
+                    F.col("Churn_Target").alias("Actual_Churn"))
+    return B.normalize_keys(out)                                   # B16
 
 
 def best_thr(spark, sf):
@@ -453,8 +454,9 @@ def q_live_kpis(spark, sf):
 @query("action_list")
 def q_action_list(spark, sf):
     """First 500 by live ROI."""
-    return rounded(P.action_list(live(spark, sf), 500)
-                   .select("customerID", "routing_tier_live", "roi_proxy_live", "risk_30d"))
+    return rounded(B.project_existing(P.action_list(live(spark, sf), 500),           # B28
+                                      ["customerID", "routing_tier_live", "roi_proxy_live",
+                                       "roi_proxy", "risk_30d"]))
 
 
 @query("critical_queue")
@@ -660,3 +662,25 @@ def q_gbt_reason_codes(spark, sf):
                               lab.filter(~F.col("is_test")))
     rc = X.add_reason_codes(SH.contribution_arrays(long))
     return X.add_buckets_and_actions(rc)
+
+
+@query("model_inputs")
+def q_model_inputs(spark, sf):
+    """The model frame without label/leak columns (absent names ignored)."""
+    lab = labeled(spark, sf)
+    return rounded(B.drop_columns(lab, list(B.LEAK_COLUMNS) + ["is_test", "not_a_column"]))
+
+
+@query("carry_forward_context")
+def q_carry_forward(spark, sf):
+    """B17 + C2: context columns joined onto the reason codes by key (only
+    the ones missing there), never by position."""
+    rc = J.reason_code_table(scored(spark, sf))
+    return rounded(B.carry_forward(rc, labeled(spark, sf), J.CONTEXT_COLUMNS + ("churn_prob",)))
+
+
+@query("high_risk_drilldown")
+def q_high_risk(spark, sf):
+    """The drill-down cohort uses a strict p > threshold."""
+    return rounded(B.cohort(results_v1(spark, sf), "Churn_Prob", best_thr(spark, sf), "above")
+                   .select("customerID", "Churn_Prob"))

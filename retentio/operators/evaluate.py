@@ -249,15 +249,19 @@ def score_histogram(df: DataFrame, bins: int = HIST_BINS) -> DataFrame:
                           "bin_hi": lo + (F.col("bin") + 1) * width / bins}))
 
 
-def decile_edges(df: DataFrame, exact: bool = True, accuracy: int = 1_000_000) -> Column:
-    """E10 edges: distinct quantiles at 0, .1, ..., 1 (one aggregate)."""
+def decile_edges(df: DataFrame, exact: bool | None = None, accuracy: int = 1_000_000) -> Column:
+    """E10 edges: distinct quantiles at 0, .1, ..., 1 (one aggregate);
+    exact up to the profile row limit (counted), approximate above."""
+    if exact is None:
+        from .profile import use_exact
+        exact = use_exact(df, None)
     probs = F.array(*[F.lit(float(p)) for p in DECILE_PROBS])
     q = (F.percentile(F.col("score"), probs) if exact
          else F.percentile_approx(F.col("score"), probs, accuracy))
     return df.agg(F.array_distinct(q).alias("e")).select("e").scalar()
 
 
-def with_decile(df: DataFrame, exact: bool = True) -> DataFrame:
+def with_decile(df: DataFrame, exact: bool | None = None) -> DataFrame:
     """qcut(score, 10, duplicates='drop'): bin i holds (e_i, e_i+1],
     the lowest edge included in bin 0."""
     edges = decile_edges(df, exact)
@@ -269,7 +273,7 @@ def with_decile(df: DataFrame, exact: bool = True) -> DataFrame:
     return df.withColumn("decile", F.greatest(below - 1, F.lit(0)).cast("int"))
 
 
-def decile_stats(df: DataFrame, exact: bool = True) -> DataFrame:
+def decile_stats(df: DataFrame, exact: bool | None = None) -> DataFrame:
     """Mean actual and mean predicted per decile."""
     return (with_decile(df, exact).groupBy("decile")
             .agg(F.avg(F.col("label").cast("double")).alias("actual"),

@@ -101,7 +101,7 @@ def live_policy(merged: DataFrame, params: LiveParams = LiveParams()) -> DataFra
         "roi_proxy_live": loss - cost})
 
 
-def live_value_segments(df: DataFrame, exact: bool = True) -> DataFrame:
+def live_value_segments(df: DataFrame, exact: bool | None = None) -> DataFrame:
     """H3 on the merged view, kept beside the policy segment."""
     if "clv" not in df.columns:
         return df.withColumn("value_segment_live", F.lit("unknown"))

@@ -55,8 +55,13 @@ def add_value_segment(df: DataFrame, high_value_clv: float = 1000.0,
 
 
 def value_quantiles(df: DataFrame, col: str = "clv", probs=VALUE_QUANTILES,
-                    exact: bool = True, accuracy: int = 1_000_000) -> DataFrame:
-    """One-row frame with q1, q2 (linear interpolation = pandas)."""
+                    exact: bool | None = None, accuracy: int = 1_000_000) -> DataFrame:
+    """One-row frame with q1, q2 (linear interpolation = pandas).
+    `exact=None` counts the rows: exact up to the profile limit, else
+    approximate (bounded memory per task)."""
+    if exact is None:
+        from .profile import use_exact
+        exact = use_exact(df, None)
     x = F.col(col).cast("double")
     arr = F.array(*[F.lit(float(p)) for p in probs])
     q = F.percentile(x, arr) if exact else F.percentile_approx(x, arr, accuracy)
@@ -65,7 +70,7 @@ def value_quantiles(df: DataFrame, col: str = "clv", probs=VALUE_QUANTILES,
 
 
 def value_segment_quantile(df: DataFrame, col: str = "clv", out: str = "value_segment",
-                           exact: bool = True) -> DataFrame:
+                           exact: bool | None = None) -> DataFrame:
     """H3: >= q66 high, >= q33 mid, else low, NULL -> unknown.
 
     The two cut points are scalar sub-queries over a one-row aggregate:
