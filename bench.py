@@ -43,9 +43,10 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t, 3)
         return out
 
+    spark.range(1).count()          # session start-up is not query time
     raw = fixture.subscribers(spark, sf_dir)
-    lab = J.labeled(raw)
-    timed("engineer_label", lambda: run(lab))
+    # the engineered table is a stage boundary, written once as upstream
+    lab = timed("engineer_label", lambda: T.materialize(J.labeled(raw), "bench_engineered"))
     model = timed("fit_scorecards", lambda: J.fit_models(lab))
     everyone = timed("score_all", lambda: T.materialize(
         J.scored(lab, model, test_only=False), "bench_scored"))
