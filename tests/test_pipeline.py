@@ -120,3 +120,20 @@ def test_jobs_build_all_and_config(spark, tmp_path):
     dec = spark.read.parquet(paths["decision_table"])
     assert dec.count() == spark.read.parquet(paths["scored_holdout"]).count()
     assert spark.read.json(paths["model_metrics"] + "_json").count() == 4
+
+
+def test_salted_lookup_path_equals_broadcast(spark):
+    """Above the broadcast limit the scorecard lookups go through salted
+    shuffle joins; results must not change."""
+    from pyspark.sql.functions import round as fround
+    lab = J.labeled(fixture.subscribers(spark, SF_SMALL))
+    model = J.fit_models(lab)
+    a = J.scored(lab, model).select("customerID", fround("churn_prob", 12).alias("p"),
+                                    fround("risk_90d", 12).alias("r"))
+    model.max_broadcast_rows = 0
+    salted = J.scored(lab, model)
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
+    b = salted.select("customerID", fround("churn_prob", 12).alias("p"), fround("risk_90d", 12).alias("r"))
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert b.count() == lab.filter("is_test").count()
