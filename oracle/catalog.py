@@ -488,3 +488,4 @@ FROM rc LEFT JOIN lab l USING (customerID)""", "rc", "lab")
 oracle("high_risk_drilldown", f"""
 SELECT r.customerID, {r('r.Churn_Prob', 'Churn_Prob')} FROM results r, best b
 WHERE r.Churn_Prob > b.threshold""", "results", "best")
+ORACLE["metrics_json_document"] = ORACLE["model_metrics"]

@@ -684,3 +684,14 @@ def q_high_risk(spark, sf):
     """The drill-down cohort uses a strict p > threshold."""
     return rounded(B.cohort(results_v1(spark, sf), "Churn_Prob", best_thr(spark, sf), "above")
                    .select("customerID", "Churn_Prob"))
+
+
+@query("metrics_json_document")
+def q_metrics_document(spark, sf):
+    """J7 + A7: metric records encoded as one JSON document keyed by model,
+    written as text, read back and decoded."""
+    path = T_.scratch_path(spark, "model_metrics_doc")
+    doc = Ev.metrics_document(Ev.metrics_record(eval_models(spark, sf), 0.5, ["model"]))
+    doc.write.mode("overwrite").text(path)
+    back = spark.read.text(path).withColumnRenamed("value", "document")
+    return rounded(Ev.parse_metrics_document(back))

@@ -310,3 +310,23 @@ def window_summary(df: DataFrame) -> DataFrame:
     """Per model/window: average predicted risk and positives."""
     return df.groupBy("model").agg(F.avg("score").alias("avg_pred_risk"),
                                    F.sum("label").cast("bigint").alias("positives_in_test"))
+
+
+# ---- J7 / A7: metrics as one JSON document ----------------------------------------
+
+METRIC_FIELDS = ("auc", "precision", "recall", "f1", "thr", "positives", "n")
+
+
+def metrics_document(records: DataFrame, key: str = "model") -> DataFrame:
+    """One JSON object keyed by model ({"churn_model": {...}, ...}); the
+    collected list holds one entry per model (bounded by the model list)."""
+    entry = F.struct(F.col(key), F.struct(*[F.col(c) for c in METRIC_FIELDS]))
+    return records.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("document"))
+
+
+def parse_metrics_document(doc: DataFrame, key: str = "model") -> DataFrame:
+    """J7 decode: the document back to one row per model."""
+    schema = ("map<string, struct<auc: double, precision: double, recall: double, f1: double, "
+              "thr: double, positives: bigint, n: bigint>>")
+    return (doc.select(F.explode(F.from_json("document", schema)).alias(key, "m"))
+            .select(key, "m.*"))

@@ -140,11 +140,10 @@ def fit_scorecard(train: DataFrame, labels, features=DEFAULT_FEATURES,
                        / F.col("n_train") for l in labels})
     t = t.withColumns({f"c_{l}": F.col(f"woe_{l}") - F.col(f"mean_{l}") for l in labels})
     if materialize:
-        # small table, cut lineage in the shared checkpoint folder (the
-        # session's; a scratch folder only when none is configured)
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(train.sparkSession)
-        t = t.checkpoint(eager=True)
+        # the small model table is written once to the shared folder (one
+        # job; lineage cut, later lookups read Parquet)
+        from ..plans.tables import materialize as write_back
+        t = write_back(t, "scorecard")
 
     # per-feature summary: one row per feature (bounded by the feature list)
     summary = t.groupBy("feature").agg(

@@ -116,3 +116,31 @@ def test_calibration_bins(spark):
     df = frame(spark, [0.0, 0.1, 0.1000001, 0.95, 1.0], [0, 0, 1, 1, 1])
     bins = {r["bin"]: r["n"] for r in Ev.calibration_curve(df).collect()}
     assert bins == {0: 2, 1: 1, 9: 2}
+
+
+def test_grid_count_property(spark):
+    """grid_count(score) equals the number of linspace(0, 1, 101) points <= score."""
+    from hypothesis import given, settings, strategies as st
+    grid = np.linspace(0, 1, 101)
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.one_of(st.floats(0, 1), st.sampled_from([float(g) for g in grid]),
+                              st.sampled_from([float(np.nextafter(g, 2)) for g in grid]),
+                              st.sampled_from([float(np.nextafter(g, -1)) for g in grid])),
+                    min_size=1, max_size=200))
+    def check(scores):
+        df = spark.createDataFrame([(s,) for s in scores], "score double")
+        got = [r[0] for r in df.select(Ev.grid_count(F.col("score"))).collect()]
+        assert got == [int(np.sum(grid <= s)) for s in scores]
+
+    check()
+
+
+def test_metrics_document_roundtrip(spark):
+    df = spark.createDataFrame([("m1", 1, 0.9), ("m1", 0, 0.2), ("m2", 1, 0.4), ("m2", 0, 0.6)],
+                               "model string, label int, score double")
+    rec = Ev.metrics_record(df, 0.5, ["model"])
+    doc = Ev.metrics_document(rec)
+    assert doc.count() == 1 and doc.first()[0].startswith('{"m1":')
+    back = {r["model"]: r for r in Ev.parse_metrics_document(doc).collect()}
+    assert back["m1"]["auc"] == 1.0 and back["m2"]["auc"] == 0.0 and back["m2"]["n"] == 2
