@@ -89,15 +89,19 @@ def labeled(spark, sf):
     return J.labeled(subscribers(spark, sf))
 
 
+def _session_key(spark):
+    """Cache key of a live session: its application and the session object."""
+    return (spark.sparkContext.applicationId, id(spark))
+
+
 def model(spark, sf):
-    key = (id(spark), sf)
-    if key not in _MODELS:
-        _MODELS[key] = J.fit_models(labeled(spark, sf))
-    return _MODELS[key]
+    return _cached("scorecard", spark, sf, lambda: J.fit_models(labeled(spark, sf)))
 
 
 def _cached(kind, spark, sf, build):
-    key = (kind, id(spark), sf)
+    """Per-session memo of fitted models and written tables (so the many
+    queries over one hold-out fit and score once per session)."""
+    key = (kind, _session_key(spark), sf)
     if key not in _MODELS:
         _MODELS[key] = build()
     return _MODELS[key]
