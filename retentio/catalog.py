@@ -109,7 +109,7 @@ def _cached(kind, spark, sf, build):
 
 def scored(spark, sf):
     """Scored hold-out, written once per session as a table boundary."""
-    return _cached("scored", spark, sf, lambda: T_.materialize(
+    return _cached("scored", spark, sf, lambda: T_.bucketed(
         J.scored(labeled(spark, sf), model(spark, sf)), "scored"))
 
 
@@ -354,9 +354,10 @@ RESULT_COLUMNS = ("customerID", "tenure", "MonthlyCharges", "TotalCharges", "Con
 def results_v1(spark, sf):
     """Scored hold-out as the apps see it: features, Churn_Prob, Actual_Churn."""
     sc = scored(spark, sf)
-    out = sc.select(*RESULT_COLUMNS, F.col("churn_prob").alias("Churn_Prob"),
-                    F.col("Churn_Target").alias("Actual_Churn"))
-    return B.normalize_keys(out)                                   # B16
+    # keys were normalised at ingest (B16), so both tables keep their
+    # customerID bucketing and the C1 merge needs no shuffle
+    return sc.select(*RESULT_COLUMNS, F.col("churn_prob").alias("Churn_Prob"),
+                     F.col("Churn_Target").alias("Actual_Churn"))
 
 
 def best_thr(spark, sf):
@@ -366,7 +367,7 @@ def best_thr(spark, sf):
 def decisions(spark, sf):
     """Decision table, written once per session (the dashboards read the
     written table, as upstream)."""
-    return _cached("decisions", spark, sf, lambda: T_.materialize(
+    return _cached("decisions", spark, sf, lambda: T_.bucketed(
         J.decision_table(scored(spark, sf)), "decisions"))
 
 

@@ -27,7 +27,7 @@ CONTEXT_COLUMNS = ("tenure", "MonthlyCharges", "TotalCharges", "Contract", "Paym
 def labeled(raw: DataFrame, profile: str = "v2", test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Engineered table + window labels + the shared id-based split flag
     (one split for every model: no leakage between churn and timing models)."""
-    eng = B.engineered(raw, profile)
+    eng = B.normalize_keys(B.engineered(raw, profile))          # B16 at ingest
     if "days_to_churn" in eng.columns:
         eng = L.make_window_labels(eng)
     return S.with_split(eng, "customerID", test_size, seed)

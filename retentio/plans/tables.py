@@ -30,6 +30,21 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.parquet(p)
 
 
+def bucketed(df: DataFrame, name: str, key: str = "customerID", buckets: int | None = None,
+             path: str | None = None) -> DataFrame:
+    """Write `df` as a table bucketed (and sorted) by `key` in the shared
+    folder. Two tables bucketed on the same key with the same bucket count
+    join without a shuffle on either side (sort-merge join over matching
+    buckets), which is how the scored rows and the decision table meet."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    p = path or scratch_path(spark, name)
+    table = f"retentio_{name}_{uuid.uuid4().hex[:12]}"
+    (df.write.bucketBy(n, key).sortBy(key).mode("overwrite").option("path", p)
+     .saveAsTable(table))
+    return spark.table(table)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)

@@ -137,3 +137,19 @@ def test_salted_lookup_path_equals_broadcast(spark):
     b = salted.select("customerID", fround("churn_prob", 12).alias("p"), fround("risk_90d", 12).alias("r"))
     assert sorted(a.collect()) == sorted(b.collect())
     assert b.count() == lab.filter("is_test").count()
+
+
+def test_bucketed_merge_has_no_shuffle(spark):
+    """Scored rows and the decision table are bucketed by customerID, so the
+    C1 merge is a sort-merge join without an Exchange on either side."""
+    from retentio import catalog as K
+    from retentio.operators import policy as P
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = P.merge_suffixed(K.results_v1(spark, SF_SMALL), K.decisions(spark, SF_SMALL))
+        plan = m._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert m.count() == K.scored(spark, SF_SMALL).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
