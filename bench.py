@@ -66,7 +66,7 @@ def steps(spark, sf_dir: str, times: dict) -> None:
     # the engineered table is a stage boundary, written once as upstream
     lab = timed("engineer_label", lambda: T.materialize(J.labeled(raw), "bench_engineered"))
     model = timed("fit_scorecards", lambda: J.fit_models(lab))
-    everyone = timed("score_all", lambda: T.materialize(
+    everyone = timed("score_all", lambda: T.bucketed(
         J.scored(lab, model, test_only=False), "bench_scored"))
     timed("decision_table", lambda: run(J.decision_table(everyone)))
     hold = everyone.filter(F.col("is_test"))
@@ -89,9 +89,10 @@ def steps(spark, sf_dir: str, times: dict) -> None:
         results = hold.select("customerID", "tenure", "MonthlyCharges", "TotalCharges", "Contract",
                               "PaymentMethod", "InternetService",
                               F.col("churn_prob").alias("Churn_Prob"))
-        dec = T.materialize(J.decision_table(hold), "bench_decisions")
+        dec = T.bucketed(J.decision_table(hold), "bench_decisions")
         thr = Ev.best_threshold_value(ev)
-        view = P.live_view(results, dec, thr, LiveParams())
+        # the working table is computed once and read by every output
+        view = T.materialize(P.live_view(results, dec, thr, LiveParams()), "bench_live")
         run(P.live_kpis(view))
         run(P.action_list(view, 500))
 

@@ -372,7 +372,11 @@ def decisions(spark, sf):
 
 
 def live(spark, sf, params=LiveParams()):
-    return P.live_view(results_v1(spark, sf), decisions(spark, sf), best_thr(spark, sf), params)
+    """The live working table, computed once per session and parameter set
+    and written as a table boundary (every dashboard output reads it)."""
+    return _cached(("live", params), spark, sf, lambda: T_.materialize(
+        P.live_view(results_v1(spark, sf), decisions(spark, sf), best_thr(spark, sf), params),
+        "live_view"))
 
 
 @query("v1_segments")

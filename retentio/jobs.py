@@ -34,9 +34,12 @@ def build_all(spark: SparkSession, out: str, sf_dir: str | None = None, raw_csv:
     raw = SRC.load_raw(spark, raw_csv) if raw_csv else fixture.subscribers(spark, sf_dir)
     paths = {}
 
-    def save(name, df, json=False):
+    def save(name, df, json=False, bucket_key=None):
         p = f"{out.rstrip('/')}/{name}"
-        T.write_table(df, p)
+        if bucket_key:
+            T.bucketed(df, name, bucket_key, path=p)       # co-located joins on the key
+        else:
+            T.write_table(df, p)
         if json:
             T.write_json(spark.read.parquet(p), p + "_json")
         paths[name] = p
@@ -45,9 +48,9 @@ def build_all(spark: SparkSession, out: str, sf_dir: str | None = None, raw_csv:
     lab = save("engineered", J.labeled(raw))
     model = J.fit_models(lab)
     save("scorecard_model", model.table)
-    scored = save("scored_holdout", J.scored(lab, model))
+    scored = save("scored_holdout", J.scored(lab, model), bucket_key="customerID")
     save("reason_codes", J.reason_code_table(scored))
-    save("decision_table", J.decision_table(scored, policy))
+    save("decision_table", J.decision_table(scored, policy), bucket_key="customerID")
     ev = scored.select(F.col("Churn_Target").alias("label"), F.col("churn_prob").alias("score"),
                        "MonthlyCharges")
     save("cost_curve", Ev.cost_curve(ev))
