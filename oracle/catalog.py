@@ -489,3 +489,10 @@ oracle("high_risk_drilldown", f"""
 SELECT r.customerID, {r('r.Churn_Prob', 'Churn_Prob')} FROM results r, best b
 WHERE r.Churn_Prob > b.threshold""", "results", "best")
 ORACLE["metrics_json_document"] = ORACLE["model_metrics"]
+
+oracle("scores_all", f"""
+SELECT customerID, {r('churn_prob')}, {r('risk_30d')}, {r('risk_60d')}, {r('risk_90d')} FROM scores_all""",
+       "scores_all")
+oracle("decision_table_all",
+       "SELECT " + ", ".join(list(_DEC_OTHER) + [r(c) for c in _DEC_DOUBLES]) + " FROM decision_all",
+       "decision_all")

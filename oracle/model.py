@@ -77,9 +77,6 @@ LEFT JOIN model m ON f.feature = m.feature AND f.value = m.value""", ("feat", "f
 _probs = ", ".join(
     f"1.0 / (1.0 + exp(-list_reduce(list_prepend(max(b.base_{k}), list(c.c_{k} ORDER BY c.fpos)), "
     f"lambda x, y: x + y))) AS {RISK[k]}" for k, _ in LABELS)
-cte("scores", f"""
-SELECT c.customerID, {_probs}
-FROM contrib c, base b WHERE c.is_test GROUP BY c.customerID""", ("contrib", "base"))
 
 # ---- reason codes --------------------------------------------------------------
 
@@ -105,22 +102,9 @@ def action(rs) -> str:
     return "coalesce(" + ", ".join(action_match(r) for r in rs) + f", {q(R.DEFAULT_ACTION)})"
 
 
-cte("rc_rank", """
-SELECT customerID, fname, c_c,
-  row_number() OVER (PARTITION BY customerID
-                     ORDER BY CASE WHEN haspos THEN -c_c ELSE -abs(c_c) END, fname) AS rk
-FROM (SELECT customerID, fname, c_c, max(c_c > 0) OVER (PARTITION BY customerID) AS haspos
-      FROM contrib WHERE is_test)
-WHERE (NOT haspos) OR c_c > 0""", ("contrib",))
-
 _rc = ", ".join(
     f"coalesce(max(CASE WHEN rk = {i} THEN {clean_name('fname')} END), '') AS reason_{i}, "
     f"coalesce(max(CASE WHEN rk = {i} THEN c_c END), 0.0) AS impact_{i}" for i in (1, 2, 3))
-cte("rc0", f"SELECT customerID, {_rc} FROM rc_rank GROUP BY customerID", ("rc_rank",))
-cte("rc", f"""
-SELECT r.*, s.churn_prob, {bucket('reason_1')} AS bucket_1, {bucket('reason_2')} AS bucket_2,
-  {bucket('reason_3')} AS bucket_3, {action(['reason_1', 'reason_2', 'reason_3'])} AS recommended_action
-FROM rc0 r JOIN scores s USING (customerID)""", ("rc0", "scores"))
 
 # ---- decision table ---------------------------------------------------------------
 
@@ -142,25 +126,49 @@ def cost(x: str, costs=OFFER_COSTS) -> str:
     return f"CASE {x} {whens} ELSE CAST(0.0 AS DOUBLE) END"
 
 
-cte("dt0", """
+def scoring_chain(sfx: str, rows: str) -> None:
+    """scores / reason codes / decision table over the rows selected by
+    `rows` (the hold-out: is_test; everyone: TRUE); CTE names end in sfx."""
+    cte(f"scores{sfx}", f"""
+SELECT c.customerID, {_probs}
+FROM contrib c, base b WHERE {rows} GROUP BY c.customerID""", ("contrib", "base"))
+    cte(f"rc_rank{sfx}", f"""
+SELECT customerID, fname, c_c,
+  row_number() OVER (PARTITION BY customerID
+                     ORDER BY CASE WHEN haspos THEN -c_c ELSE -abs(c_c) END, fname) AS rk
+FROM (SELECT customerID, fname, c_c, max(c_c > 0) OVER (PARTITION BY customerID) AS haspos
+      FROM contrib c WHERE {rows})
+WHERE (NOT haspos) OR c_c > 0""", ("contrib",))
+    cte(f"rc0{sfx}", f"SELECT customerID, {_rc} FROM rc_rank{sfx} GROUP BY customerID",
+        (f"rc_rank{sfx}",))
+    cte(f"rc{sfx}", f"""
+SELECT r.*, s.churn_prob, {bucket('reason_1')} AS bucket_1, {bucket('reason_2')} AS bucket_2,
+  {bucket('reason_3')} AS bucket_3, {action(['reason_1', 'reason_2', 'reason_3'])} AS recommended_action
+FROM rc0{sfx} r JOIN scores{sfx} s USING (customerID)""", (f"rc0{sfx}", f"scores{sfx}"))
+    cte(f"dt0{sfx}", f"""
 SELECT rc.*, s.risk_30d, s.risk_60d, s.risk_90d,
   coalesce(l.tenure, 0.0) AS tenure, coalesce(l.MonthlyCharges, 0.0) AS MonthlyCharges,
   l.TotalCharges, l.Contract, l.PaymentMethod, l.InternetService,
   coalesce(l.MonthlyCharges, 0.0) * 0.6 AS monthly_margin,
   coalesce(l.tenure, 0.0) + 12 AS remaining_months_proxy,
   coalesce(l.MonthlyCharges, 0.0) * 0.6 * (coalesce(l.tenure, 0.0) + 12) AS clv
-FROM rc JOIN scores s USING (customerID) JOIN lab l USING (customerID)""", ("rc", "scores", "lab"))
-cte("dt1", """
+FROM rc{sfx} rc JOIN scores{sfx} s USING (customerID) JOIN lab l USING (customerID)""",
+        (f"rc{sfx}", f"scores{sfx}", "lab"))
+    cte(f"dt1{sfx}", f"""
 SELECT *,
   CASE WHEN clv >= 1000.0 THEN 'high' WHEN clv >= 400.0 THEN 'mid' ELSE 'low' END AS value_segment,
   risk_30d * clv AS expected_loss_30d, risk_60d * clv AS expected_loss_60d,
   risk_90d * clv AS expected_loss_90d,
   0.6 * risk_30d + 0.3 * risk_60d + 0.1 * risk_90d AS priority_score
-FROM dt0""", ("dt0",))
-cte("dt2", f"SELECT *, {offer('recommended_action', 'value_segment')} AS intervention_type FROM dt1",
-    ("dt1",))
-cte("dt3", f"SELECT *, {cost('intervention_type')} AS offer_cost FROM dt2", ("dt2",))
-cte("decision", """
+FROM dt0{sfx}""", (f"dt0{sfx}",))
+    cte(f"dt2{sfx}", f"SELECT *, {offer('recommended_action', 'value_segment')} AS intervention_type "
+        f"FROM dt1{sfx}", (f"dt1{sfx}",))
+    cte(f"dt3{sfx}", f"SELECT *, {cost('intervention_type')} AS offer_cost FROM dt2{sfx}", (f"dt2{sfx}",))
+    cte(f"decision{sfx}", f"""
 SELECT *, CAST(coalesce(expected_loss_30d > offer_cost, false) AS INTEGER) AS should_intervene,
   expected_loss_30d - offer_cost AS roi_proxy
-FROM dt3""", ("dt3",))
+FROM dt3{sfx}""", (f"dt3{sfx}",))
+
+
+scoring_chain("", "c.is_test")
+scoring_chain("_all", "TRUE")

@@ -178,7 +178,6 @@ def q_decision_table_v1(spark, sf):
     return rounded(J.decision_table_v1(scored(spark, sf)))
 
 
-FLAGSHIP = "decision_table"
 
 
 # ---- evaluation and threshold economics ------------------------------------------
@@ -704,3 +703,26 @@ def q_metrics_document(spark, sf):
     doc.write.mode("overwrite").text(path)
     back = spark.read.text(path).withColumnRenamed("value", "document")
     return rounded(Ev.parse_metrics_document(back))
+
+
+# ---- the whole population (every customer scored, not only the hold-out) -------------
+
+def scored_all(spark, sf):
+    return _cached("scored_all", spark, sf, lambda: T_.bucketed(
+        J.scored(labeled(spark, sf), model(spark, sf), test_only=False), "scored_all"))
+
+
+@query("scores_all")
+def q_scores_all(spark, sf):
+    """G4 over every customer: churn and horizon probabilities."""
+    return rounded(scored_all(spark, sf).select("customerID", "churn_prob", "risk_30d",
+                                                "risk_60d", "risk_90d"))
+
+
+@query("decision_table_all")
+def q_decision_table_all(spark, sf):
+    """H9 over every customer (the production table)."""
+    return rounded(J.decision_table(scored_all(spark, sf)))
+
+
+FLAGSHIP = "decision_table_all"   # entry(): the full decision table (H9)
