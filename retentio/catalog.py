@@ -50,6 +50,7 @@ def engineered(spark, sf, profile="v2"):
 
 @query("fixture_subscribers")
 def q_fixture(spark, sf):
+    """Subscriber frame derived from customer + orders (FIXTURES.md §2)."""
     return rounded(subscribers(spark, sf))
 
 
