@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir, ensure_checkpoint_dir
@@ -45,18 +46,13 @@ def bucketed(df: DataFrame, name: str, key: str = "customerID", buckets: int | N
     return spark.table(table)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath.suffix("/_SUCCESS")) if fs.exists(jpath) else False
-
-
 def ensure_table(spark: SparkSession, path: str, builder) -> DataFrame:
     """A10: read the table at `path`; build and write it first when missing."""
-    if not exists(spark, path):
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
         builder().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        return spark.read.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> None:

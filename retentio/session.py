@@ -40,8 +40,7 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return jdir.get() if jdir.isDefined() else None
+    return spark.sparkContext.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -41,13 +42,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
-
-
 def load_raw(spark: SparkSession, folder: str, filename: str | None = None,
              schema: T.StructType = SUBSCRIBER_SCHEMA) -> DataFrame:
     """A1: first existing candidate file wins; the error lists all tried.
@@ -56,9 +50,11 @@ def load_raw(spark: SparkSession, folder: str, filename: str | None = None,
     malformed line becomes nulls instead of failing a 100 TB job."""
     candidates = ([filename] if filename else []) + list(RAW_CANDIDATES)
     for fn in candidates:
-        path = f"{folder.rstrip('/')}/{fn}"
-        if _exists(spark, path):
-            return read_csv(spark, path, schema)
+        try:
+            # the reader checks the path when the relation is resolved
+            return read_csv(spark, f"{folder.rstrip('/')}/{fn}", schema)
+        except AnalysisException:
+            continue
     raise FileNotFoundError(f"Missing raw dataset in {folder}. Tried: {candidates}")
 
 
@@ -77,7 +73,10 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def load_config(spark: SparkSession, path: str) -> dict:
     """A small JSON policy document, read through Spark's file system
     layer (works for any Hadoop-compatible path)."""
-    rows = spark.sparkContext.wholeTextFiles(path).take(1)
-    if not rows:
+    try:
+        row = spark.read.text(path, wholetext=True).first()
+    except AnalysisException as e:
+        raise FileNotFoundError(path) from e
+    if row is None:
         raise FileNotFoundError(path)
-    return json.loads(rows[0][1])
+    return json.loads(row[0])

@@ -76,3 +76,20 @@ def test_segment_filters(spark):
     assert sorted(r[0] for r in B.min_segment_rank(df, "mid").collect()) == ["high", "mid"]
     assert sorted(r[0] for r in B.min_segment_list(df, "high").collect()) == ["high"]
     assert B.min_segment_list(df, "all").count() == 4
+
+
+def test_load_raw_lists_candidates(spark, tmp_path):
+    import pytest
+    from retentio.sources import tables as SRC
+    with pytest.raises(FileNotFoundError) as e:
+        SRC.load_raw(spark, str(tmp_path), "mine.csv")
+    assert "mine.csv" in str(e.value) and "Churn_Telco.csv" in str(e.value)
+    (tmp_path / "telco_customer_churn.csv").write_text(
+        "customerID,tenure,TotalCharges,Churn\n a1 ,3,12.5,Yes\nb2,x,,No\n")
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("customerID", T.StringType()),
+                           T.StructField("tenure", T.DoubleType()),
+                           T.StructField("TotalCharges", T.StringType()),
+                           T.StructField("Churn", T.StringType())])
+    rows = SRC.load_raw(spark, str(tmp_path), schema=schema).collect()
+    assert [r["tenure"] for r in rows] == [3.0, None]          # malformed value -> NULL
