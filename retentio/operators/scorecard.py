@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.lookup import MAX_BROADCAST_ROWS, lookup_join
@@ -124,20 +124,23 @@ def fit_scorecard(train: DataFrame, labels, features=DEFAULT_FEATURES,
     agg = long.groupBy("feature", "value").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(l).alias(f"pos_{l}") for l in labels])
 
-    # totals are the same for every feature; windows run over the small
-    # aggregated table (features x values rows), never over row-level data
-    by_feature = Window.partitionBy("feature")
-    t = agg.withColumn("n_train", F.sum("n").over(by_feature))
+    # totals and means are per feature: aggregate to one row per feature
+    # (bounded by the feature list, so broadcasting them is safe) and join
+    # back; no window, so a feature with millions of values is not one task
+    tot = agg.groupBy("feature").agg(F.sum("n").alias("n_train"),
+                                     *[F.sum(f"pos_{l}").alias(f"P_{l}") for l in labels])
+    t = agg.join(F.broadcast(tot), "feature")
     cols = {}
     for l in labels:
-        P = F.sum(f"pos_{l}").over(by_feature)
+        P = F.col(f"P_{l}")
         N = F.col("n_train") - P
         pos, neg = F.col(f"pos_{l}"), F.col("n") - F.col(f"pos_{l}")
-        cols[f"P_{l}"] = P
         cols[f"woe_{l}"] = _ln((pos + 0.5) / (P + 1.0)) - _ln((neg + 0.5) / (N + 1.0))
     t = t.withColumns(cols)
-    t = t.withColumns({f"mean_{l}": F.sum(F.col("n") * F.col(f"woe_{l}")).over(by_feature)
-                       / F.col("n_train") for l in labels})
+    means = t.groupBy("feature").agg(*[
+        (F.sum(F.col("n") * F.col(f"woe_{l}")) / F.first("n_train")).alias(f"mean_{l}")
+        for l in labels])
+    t = t.join(F.broadcast(means), "feature")
     t = t.withColumns({f"c_{l}": F.col(f"woe_{l}") - F.col(f"mean_{l}") for l in labels})
     if materialize:
         # the small model table is written once to the shared folder (one
