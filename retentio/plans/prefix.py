@@ -12,8 +12,11 @@ tie-breaker). Then:
    (a window over that small table);
 4. running value = offset + local running sum.
 
-Range bounds are fixed once by the exchange, so a recomputed task after an
-executor loss lands every row in the same range again.
+The range id comes from a sampled range exchange, and a second execution
+of that exchange (another job, or a recomputation) may draw different
+bounds. So the rows are written once with their range id (a table in the
+shared checkpoint folder) and every later branch reads the same ids; a
+lost executor re-reads files instead of re-ranging.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .lookup import lookup_join
+from .tables import materialize
 
 
 def _ranges(df: DataFrame, ranges: int | None) -> int:
@@ -42,8 +46,9 @@ def running_totals(df: DataFrame, order: list[Column], sums: list[str],
         work = work.withColumn("_one", F.lit(1))
         sums = list(sums) + ["_one"]
     n_ranges = _ranges(df, ranges)
-    ranged = (work.repartitionByRange(n_ranges, *[F.col(c) for c in partition_by], *order)
-              .withColumn("_r", F.spark_partition_id()))
+    ranged = materialize(
+        work.repartitionByRange(n_ranges, *[F.col(c) for c in partition_by], *order)
+        .withColumn("_r", F.spark_partition_id()), "ranges")
     w_local = (Window.partitionBy(*partition_by, "_r").orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumns({f"_l_{c}": F.sum(c).over(w_local) for c in sums})

@@ -144,3 +144,22 @@ def test_metrics_document_roundtrip(spark):
     assert doc.count() == 1 and doc.first()[0].startswith('{"m1":')
     back = {r["model"]: r for r in Ev.parse_metrics_document(doc).collect()}
     assert back["m1"]["auc"] == 1.0 and back["m2"]["auc"] == 0.0 and back["m2"]["n"] == 2
+
+
+def test_grouped_running_totals_from_shuffled_input(spark):
+    """Input order after a shuffle is not stable between executions; range
+    ids must still agree between the local sums and the offsets."""
+    from retentio.plans.prefix import running_totals
+    base = spark.range(0, 40000).select((F.col("id") % 4).alias("g"), (F.col("id") % 9973).alias("k"))
+    agg = base.groupBy("g", "k").agg(F.count(F.lit(1)).alias("v"))          # shuffled order
+    out = running_totals(agg, [F.col("k").desc()], ["v"], ["g"], ranges=8, index="pos")
+    got = {(r["g"], r["k"]): (r["cum_v"], r["pos"]) for r in out.collect()}
+    pdf = agg.toPandas().sort_values(["g", "k"], ascending=[True, False])
+    pdf["cum"] = pdf.groupby("g")["v"].cumsum()
+    pdf["pos"] = pdf.groupby("g").cumcount()
+    for r in pdf.itertuples():
+        assert got[(r.g, r.k)] == (r.cum, r.pos)
+    grouped_auc = {r["model"]: r["auc"] for r in Ev.auc(
+        agg.select(F.col("g").cast("string").alias("model"), (F.col("k") % 2).cast("int").alias("label"),
+                   (F.col("k") / 9973.0).alias("score")), ["model"]).collect()}
+    assert set(grouped_auc) == {"0", "1", "2", "3"}
