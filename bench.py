@@ -5,10 +5,13 @@ Each step is forced with the `noop` sink (full computation, no collect).
 One untimed warm-up pass over the smallest tables ($BENCH_WARMUP_DIR,
 default sf0.001) runs first so JVM start-up and code compilation are not
 charged to the first query; its duration is reported as `warmup_sec`.
+Shuffle bytes written per step (`shuffle_bytes`) come from Spark's event log,
+written to a fresh scratch folder; each step's jobs carry the step's job group.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
@@ -33,29 +36,60 @@ def run(df):
     df.write.format("noop").mode("overwrite").save()
 
 
+def shuffle_bytes(event_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, from an uncompressed event log."""
+    group_of_job, job_of_stage, out = {}, {}, {}
+    for path in sorted(glob.glob(os.path.join(event_dir, "**", "*"), recursive=True)):
+        if not os.path.isfile(path) or "appstatus" in os.path.basename(path):
+            continue
+        with open(path, errors="ignore") as fh:
+            for line in fh:
+                if not line.startswith("{"):
+                    continue
+                e = json.loads(line)
+                kind = e.get("Event")
+                if kind == "SparkListenerJobStart":
+                    g = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                    group_of_job[e["Job ID"]] = g
+                    for sid in e.get("Stage IDs", []):
+                        job_of_stage[sid] = e["Job ID"]
+                elif kind == "SparkListenerTaskEnd":
+                    g = group_of_job.get(job_of_stage.get(e.get("Stage ID")))
+                    m = (e.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    if g:
+                        out[g] = out.get(g, 0) + int(m.get("Shuffle Bytes Written", 0))
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
+    events = tempfile.mkdtemp(prefix="retentio-bench-events-", dir="/tmp")
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", cpus)),
-                          app="retentio-bench")
+                          app="retentio-bench",
+                          extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": events,
+                                 "spark.eventLog.compress": "false"})
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     warmup = 0.0
     if warm_dir and os.path.isdir(warm_dir):
         t = time.perf_counter()
-        steps(spark, warm_dir, {})
+        steps(spark, warm_dir, {}, "warmup:")
         warmup = round(time.perf_counter() - t, 3)
     times: dict[str, float] = {}
     steps(spark, sf_dir, times)
     total = round(sum(times.values()), 3)
+    spark.stop()                                    # flushes the event log
+    shuffled = shuffle_bytes(events)
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
                       "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")),
-                      "cpus": cpus, "warmup_sec": warmup}))
-    spark.stop()
+                      "cpus": cpus, "warmup_sec": warmup,
+                      "shuffle_bytes": {k: shuffled.get(k, 0) for k in times}}))
 
 
-def steps(spark, sf_dir: str, times: dict) -> None:
+def steps(spark, sf_dir: str, times: dict, group_prefix: str = "") -> None:
 
     def timed(name, fn):
+        spark.sparkContext.setJobGroup(group_prefix + name, name)
         t = time.perf_counter()
         out = fn()
         times[name] = round(time.perf_counter() - t, 3)

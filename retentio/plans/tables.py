@@ -41,8 +41,10 @@ def bucketed(df: DataFrame, name: str, key: str = "customerID", buckets: int | N
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     p = path or scratch_path(spark, name)
     table = f"retentio_{name}_{uuid.uuid4().hex[:12]}"
-    (df.write.bucketBy(n, key).sortBy(key).mode("overwrite").option("path", p)
-     .saveAsTable(table))
+    # hash-partition on the key first (same hash as bucketing): one writer
+    # per bucket, so 1000 tasks x n buckets do not become 1000 x n small files
+    (df.repartition(n, key).write.bucketBy(n, key).sortBy(key).mode("overwrite")
+     .option("path", p).saveAsTable(table))
     return spark.table(table)
 
 
