@@ -4,7 +4,8 @@
 
 Stages (each writes Parquet under --out, metrics also as JSON):
 engineered, scorecard_model, scored_holdout, reason_codes, decision_table,
-cost_curve, threshold_report, model_metrics, global_drivers, eda_*.
+scored_all, decision_table_all (every customer), cost_curve,
+threshold_report, model_metrics, global_drivers, eda_*.
 On a cluster the session comes from spark-submit; --out must be shared storage.
 """
 
@@ -51,6 +52,8 @@ def build_all(spark: SparkSession, out: str, sf_dir: str | None = None, raw_csv:
     scored = save("scored_holdout", J.scored(lab, model), bucket_key="customerID")
     save("reason_codes", J.reason_code_table(scored))
     save("decision_table", J.decision_table(scored, policy), bucket_key="customerID")
+    everyone = save("scored_all", J.scored(lab, model, test_only=False), bucket_key="customerID")
+    save("decision_table_all", J.decision_table(everyone, policy), bucket_key="customerID")
     ev = scored.select(F.col("Churn_Target").alias("label"), F.col("churn_prob").alias("score"),
                        "MonthlyCharges")
     save("cost_curve", Ev.cost_curve(ev))

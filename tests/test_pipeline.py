@@ -153,3 +153,10 @@ def test_bucketed_merge_has_no_shuffle(spark):
         assert m.count() == K.scored(spark, SF_SMALL).count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_jobs_whole_population(spark, tmp_path):
+    from retentio import jobs
+    paths = jobs.build_all(spark, str(tmp_path / "all"), SF_SMALL)
+    n = fixture.subscribers(spark, SF_SMALL).count()
+    assert spark.read.parquet(paths["decision_table_all"]).count() == n
