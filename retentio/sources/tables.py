@@ -34,7 +34,9 @@ SUBSCRIBER_SCHEMA = T.StructType([
     T.StructField("Churn", T.StringType()),
 ])
 
+# ---- fixed values: raw file names tried in order ---------------------------
 RAW_CANDIDATES = ("Churn_Telco.csv", "telco_customer_churn.csv")
+# ---------------------------------------------------------------------------
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
