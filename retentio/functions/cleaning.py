@@ -79,8 +79,9 @@ def bin_ordinal(c: str | Column, bins=TENURE_BINS_V2) -> Column:
 
 
 def yes_count(cols) -> Column:
-    """Number of exact 'Yes' across the columns (NULL counts 0)."""
-    parts = [F.coalesce((F.col(c) == "Yes").cast("int"), F.lit(0)) for c in cols]
+    """Number of exact 'Yes' across the columns (names or Columns;
+    NULL counts 0)."""
+    parts = [F.coalesce((col_or(c) == "Yes").cast("int"), F.lit(0)) for c in cols]
     out = parts[0]
     for p in parts[1:]:
         out = out + p

@@ -59,12 +59,7 @@ def feature_engineer(df: DataFrame, profile: str = "v2") -> DataFrame:
     counted = [c for c in C.COUNTED_COLS if c in have]
     if counted:
         # count over the repaired values
-        parts = [F.coalesce((cols.get(c, F.col(c)) == "Yes").cast("int"), F.lit(0))
-                 for c in counted]
-        total = parts[0]
-        for p in parts[1:]:
-            total = total + p
-        cols["Service_Count"] = total
+        cols["Service_Count"] = C.yes_count([cols.get(c, F.col(c)) for c in counted])
 
     if "TotalCharges" in have and tenure is not None:
         cols["Avg_Historical_Charge"] = C.avg_historical_charge(

@@ -18,10 +18,6 @@ from ..plans.lookup import lookup_join
 from ..plans.prefix import position_in_group
 from . import value as V
 
-COLLIDING = ("tenure", "MonthlyCharges", "TotalCharges", "Contract", "PaymentMethod",
-             "InternetService")
-
-
 # ---- C1 / C5 -------------------------------------------------------------------
 
 def merge_suffixed(left: DataFrame, right: DataFrame, key: str = "customerID",
