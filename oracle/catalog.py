@@ -496,3 +496,22 @@ SELECT customerID, {r('churn_prob')}, {r('risk_30d')}, {r('risk_60d')}, {r('risk
 oracle("decision_table_all",
        "SELECT " + ", ".join(list(_DEC_OTHER) + [r(c) for c in _DEC_DOUBLES]) + " FROM decision_all",
        "decision_all")
+
+# G1 exact-count stratified split: allocation as in operators/split.class_allocation
+cte("sx_c", "SELECT Churn_Target, count(*) AS k FROM eng GROUP BY Churn_Target", ("eng",))
+cte("sx_t", "SELECT *, sum(k) OVER () AS n, CAST(ceil(0.2 * sum(k) OVER ()) AS BIGINT) AS n_test FROM sx_c",
+    ("sx_c",))
+cte("sx_f", "SELECT *, n_test * k / n AS share, CAST(floor(n_test * k / n) AS BIGINT) AS base FROM sx_t",
+    ("sx_t",))
+cte("sx_r", """
+SELECT *, row_number() OVER (ORDER BY share - base DESC, k DESC, Churn_Target) AS rk,
+  n_test - sum(base) OVER () AS lft FROM sx_f""", ("sx_f",))
+cte("sx_a", "SELECT Churn_Target, base + CASE WHEN rk <= lft THEN 1 ELSE 0 END AS alloc FROM sx_r",
+    ("sx_r",))
+cte("sx_p", """
+SELECT Churn_Target, row_number() OVER (PARTITION BY Churn_Target
+  ORDER BY ('0x' || substr(md5('42-' || customerID), 1, 8))::BIGINT / 4294967296.0, customerID) - 1 AS pos
+FROM eng""", ("eng",))
+oracle("split_exact", """
+SELECT p.pos < a.alloc AS is_test, p.Churn_Target, count(*) AS customers
+FROM sx_p p JOIN sx_a a USING (Churn_Target) GROUP BY 1, 2""", "sx_p", "sx_a")

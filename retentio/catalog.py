@@ -720,4 +720,13 @@ def q_decision_table_all(spark, sf):
     return rounded(J.decision_table(scored_all(spark, sf)))
 
 
+
+@query("split_exact")
+def q_split_exact(spark, sf):
+    """G1 exact-count stratified variant: per class counts of test rows."""
+    from .operators import split as S
+    lab = S.with_exact_split(B.engineered(subscribers(spark, sf)), "Churn_Target")
+    return lab.groupBy("is_test", "Churn_Target").agg(F.count(F.lit(1)).alias("customers"))
+
+
 FLAGSHIP = "decision_table_all"   # entry(): the full decision table (H9)

@@ -10,6 +10,8 @@ the label, each class is split 80/20 in expectation.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +38,38 @@ def train_test(df: DataFrame, key: str = "customerID", test_size: float = 0.2,
                seed: int = 42) -> tuple[DataFrame, DataFrame]:
     t = is_test(key, test_size, seed)
     return df.filter(~t), df.filter(t)
+
+
+def class_allocation(counts: dict, test_size: float = 0.2) -> dict:
+    """Test rows per class for an exact stratified split: n_test =
+    ceil(test_size * n); each class gets floor(n_test * n_c / n), and the
+    rows left over go to the classes with the largest fractional parts
+    (ties: larger class, then smaller label). `counts` has one entry per
+    class (bounded by the number of classes)."""
+    n = sum(counts.values())
+    n_test = math.ceil(test_size * n)
+    share = {c: n_test * k / n for c, k in counts.items()}
+    alloc = {c: math.floor(v) for c, v in share.items()}
+    left = n_test - sum(alloc.values())
+    order = sorted(counts, key=lambda c: (-(share[c] - alloc[c]), -counts[c], c))
+    for c in order[:left]:
+        alloc[c] += 1
+    return alloc
+
+
+def with_exact_split(df: DataFrame, label: str, key: str = "customerID", test_size: float = 0.2,
+                     seed: int = 42, out: str = "is_test") -> DataFrame:
+    """G1, exact-count variant: within each class, rows ordered by the same
+    (seed, key) hash; the first allocation-many are the test rows. Positions
+    come from range-partitioned running totals, so a class holding most rows
+    is not ranked in one task."""
+    from ..plans.prefix import position_in_group
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
+    alloc = class_allocation(counts, test_size)
+    ranked = position_in_group(df.withColumn("_u", split_fraction(key, seed)), [label],
+                               [F.col("_u").asc(), F.col(key).asc()], "_pos")
+    cut = None
+    for c, t in alloc.items():
+        cond = F.col(label) == F.lit(c)
+        cut = F.when(cond, F.lit(t)) if cut is None else cut.when(cond, F.lit(t))
+    return ranked.withColumn(out, F.col("_pos") < cut).drop("_u", "_pos")

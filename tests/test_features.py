@@ -93,3 +93,11 @@ def test_load_raw_lists_candidates(spark, tmp_path):
                            T.StructField("Churn", T.StringType())])
     rows = SRC.load_raw(spark, str(tmp_path), schema=schema).collect()
     assert [r["tenure"] for r in rows] == [3.0, None]          # malformed value -> NULL
+
+
+def test_exact_split_allocation():
+    from retentio.operators.split import class_allocation
+    # the published hold-out: 7,043 rows -> ceil(0.2 n) = 1,409 = 1,035 + 374
+    alloc = class_allocation({0: 5174, 1: 1869}, 0.2)
+    assert alloc == {0: 1035, 1: 374}
+    assert sum(class_allocation({"a": 3, "b": 3, "c": 1}, 0.5).values()) == 4
