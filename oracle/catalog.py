@@ -515,3 +515,9 @@ FROM eng""", ("eng",))
 oracle("split_exact", """
 SELECT p.pos < a.alloc AS is_test, p.Churn_Target, count(*) AS customers
 FROM sx_p p JOIN sx_a a USING (Churn_Target) GROUP BY 1, 2""", "sx_p", "sx_a")
+
+oracle("top_drivers", f"""
+SELECT fname AS feature,
+  {r('sum(abs(c_c)) / (SELECT count(*) FROM scores)', 'mean_abs_contribution')}
+FROM contrib WHERE is_test GROUP BY fname
+ORDER BY sum(abs(c_c)) / (SELECT count(*) FROM scores) DESC, fname LIMIT 20""", "contrib", "scores")

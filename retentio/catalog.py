@@ -172,6 +172,13 @@ def q_global_drivers(spark, sf):
     return rounded(X.global_drivers(scored(spark, sf)))
 
 
+@query("top_drivers")
+def q_top_drivers(spark, sf):
+    """D14 + E5: the 20 strongest global drivers (ties by feature)."""
+    g = X.global_drivers(scored(spark, sf))
+    return rounded(g.orderBy(F.col("mean_abs_contribution").desc(), "feature").limit(20))
+
+
 @query("decision_table")
 def q_decision_table(spark, sf):
     """H9 flagship: the full retention decision table."""
