@@ -36,9 +36,10 @@ def run(df):
     df.write.format("noop").mode("overwrite").save()
 
 
-def shuffle_bytes(event_dir: str) -> dict[str, int]:
-    """Shuffle bytes written per job group, from an uncompressed event log."""
-    group_of_job, job_of_stage, out = {}, {}, {}
+def event_stats(event_dir: str) -> tuple[dict[str, int], dict[str, int]]:
+    """Shuffle bytes written and number of jobs per job group, from an
+    uncompressed event log."""
+    group_of_job, job_of_stage, out, jobs = {}, {}, {}, {}
     for path in sorted(glob.glob(os.path.join(event_dir, "**", "*"), recursive=True)):
         if not os.path.isfile(path) or "appstatus" in os.path.basename(path):
             continue
@@ -51,6 +52,8 @@ def shuffle_bytes(event_dir: str) -> dict[str, int]:
                 if kind == "SparkListenerJobStart":
                     g = (e.get("Properties") or {}).get("spark.jobGroup.id")
                     group_of_job[e["Job ID"]] = g
+                    if g:
+                        jobs[g] = jobs.get(g, 0) + 1
                     for sid in e.get("Stage IDs", []):
                         job_of_stage[sid] = e["Job ID"]
                 elif kind == "SparkListenerTaskEnd":
@@ -58,7 +61,7 @@ def shuffle_bytes(event_dir: str) -> dict[str, int]:
                     m = (e.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
                     if g:
                         out[g] = out.get(g, 0) + int(m.get("Shuffle Bytes Written", 0))
-    return out
+    return out, jobs
 
 
 def main() -> None:
@@ -79,11 +82,12 @@ def main() -> None:
     steps(spark, sf_dir, times)
     total = round(sum(times.values()), 3)
     spark.stop()                                    # flushes the event log
-    shuffled = shuffle_bytes(events)
+    shuffled, jobs = event_stats(events)
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
                       "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")),
                       "cpus": cpus, "warmup_sec": warmup,
-                      "shuffle_bytes": {k: shuffled.get(k, 0) for k in times}}))
+                      "shuffle_bytes": {k: shuffled.get(k, 0) for k in times},
+                      "jobs": {k: jobs.get(k, 0) for k in times}}))
 
 
 def steps(spark, sf_dir: str, times: dict, group_prefix: str = "") -> None:
