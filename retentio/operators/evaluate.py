@@ -104,13 +104,11 @@ def score_points(df: DataFrame, group: list[str] = (), ranges: int | None = None
     group = list(group)
     by_score = df.groupBy(*group, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
-    tot = by_score.groupBy(*group).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    cum = running_totals(by_score, [F.col("score").desc()], ["pos", "neg"], group, ranges)
-    cum = cum.withColumnsRenamed({"cum_pos": "tps", "cum_neg": "fps"})
-    # totals: one row per group (bounded by the group list)
-    if group:
-        return cum.join(F.broadcast(tot), group)
-    return cum.withColumns({"P": tot.select("P").scalar(), "N": tot.select("N").scalar()})
+    # class totals ride along from the range totals (no second pass)
+    cum = running_totals(by_score, [F.col("score").desc()], ["pos", "neg"], group, ranges,
+                         totals_prefix="_tot_")
+    return cum.withColumnsRenamed({"cum_pos": "tps", "cum_neg": "fps",
+                                   "_tot_pos": "P", "_tot_neg": "N"})
 
 
 def pr_curve(df: DataFrame, group: list[str] = ()) -> DataFrame:

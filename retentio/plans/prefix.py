@@ -36,10 +36,13 @@ def _ranges(df: DataFrame, ranges: int | None) -> int:
 
 def running_totals(df: DataFrame, order: list[Column], sums: list[str],
                    partition_by: list[str] = (), ranges: int | None = None,
-                   prefix: str = "cum_", index: str | None = None) -> DataFrame:
+                   prefix: str = "cum_", index: str | None = None,
+                   totals_prefix: str | None = None) -> DataFrame:
     """Adds `prefix + c` = sum of `c` over rows up to and including this one
     in `order` within `partition_by`; `order` must be a total order (end it
-    with a unique key). `index`, when given, names a 0-based position."""
+    with a unique key). `index`, when given, names a 0-based position.
+    `totals_prefix`, when given, also adds the group total of each `c`
+    (taken from the range totals, no extra pass over the rows)."""
     partition_by = list(partition_by)
     work = df
     if index:
@@ -55,8 +58,11 @@ def running_totals(df: DataFrame, order: list[Column], sums: list[str],
     totals = ranged.groupBy(*partition_by, "_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     w_off = (Window.partitionBy(*partition_by).orderBy("_r")
              .rowsBetween(Window.unboundedPreceding, -1))
+    w_all = Window.partitionBy(*partition_by)
     offsets = totals.select(*partition_by, "_r", *[
-        F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sums])
+        F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sums],
+        *([F.sum(f"_t_{c}").over(w_all).alias(f"{totals_prefix}{c}") for c in sums
+           if c != "_one"] if totals_prefix else []))
     # without groups the offsets table has at most `n_ranges` rows: a proven
     # bound, so it is broadcast without counting; with groups it is counted
     out = lookup_join(local, offsets, partition_by + ["_r"], "inner",
