@@ -182,3 +182,10 @@ def test_gbt_encoding_unseen_category_and_names(spark):
     vals = [r[0] for r in enc.select(vector_to_array("features").alias("v")).collect()]
     assert all(all(v[i] == 0.0 for i in idx) for v in vals)
     assert m.transform(odd).filter(F.col("churn_prob").isNull()).count() == 0
+
+
+def test_entry_schema_is_stable(spark):
+    a = E.entry(spark)
+    b = E.entry(spark)
+    assert a.schema == b.schema
+    assert a.count() == b.count() == fixture.subscribers(spark, SF_SMALL).count()
