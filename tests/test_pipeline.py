@@ -189,3 +189,20 @@ def test_entry_schema_is_stable(spark):
     b = E.entry(spark)
     assert a.schema == b.schema
     assert a.count() == b.count() == fixture.subscribers(spark, SF_SMALL).count()
+
+
+def test_lookup_join_counts_and_salts_hot_keys(spark):
+    """The small side is counted when its size is not given; above the limit
+    the join is salted, and a key holding most rows still joins exactly."""
+    from retentio.plans.lookup import lookup_join
+    big = spark.range(0, 3000).select(F.col("id").cast("string").alias("customerID"),
+                                      F.when(F.col("id") < 2000, "hot").otherwise(
+                                          (F.col("id") % 7).cast("string")).alias("k"))
+    small = spark.createDataFrame([("hot", 1.0)] + [(str(i), float(i)) for i in range(7)],
+                                  "k string, w double")
+    b = lookup_join(big, small, "k", "left")
+    s = lookup_join(big, small, "k", "left", max_broadcast_rows=0, salts=16)
+    assert "_salt" in s._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" not in b._jdf.queryExecution().executedPlan().toString()
+    assert sorted(b.collect()) == sorted(s.select(*b.columns).collect())
+    assert s.filter(F.col("k") == "hot").count() == 2000
