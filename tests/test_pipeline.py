@@ -206,3 +206,19 @@ def test_lookup_join_counts_and_salts_hot_keys(spark):
     assert "_salt" not in b._jdf.queryExecution().executedPlan().toString()
     assert sorted(b.collect()) == sorted(s.select(*b.columns).collect())
     assert s.filter(F.col("k") == "hot").count() == 2000
+
+
+def test_sampled_shapley_is_deterministic(spark):
+    """Chains come from hashes of (seed, key, permutation): a second run (or a
+    recomputed task) yields the same contributions."""
+    from retentio.operators import models as ML
+    from retentio.operators import shapley as SH
+    lab = J.labeled(fixture.subscribers(spark, SF_SMALL))
+    train, test = lab.filter(~F.col("is_test")), lab.filter(F.col("is_test"))
+    m = ML.fit_churn_model(train, params=dict(maxIter=3, maxDepth=2))
+
+    def run():
+        long = SH.sampled_shapley(m, test, train, permutations=3, background_rows=8)
+        return sorted((r[0], r[1], round(r[2], 12)) for r in long.collect())
+
+    assert run() == run()
