@@ -50,3 +50,11 @@ def test_plan_shape(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
+
+
+def test_only_model_fits_lack_an_oracle():
+    """Every registered query has DuckDB oracle SQL except the MLlib GBT
+    fits (rows-only by nature)."""
+    missing = sorted(n for n in NAMES if n not in ORACLE)
+    assert missing and all(n.startswith("gbt_") for n in missing), missing
+    assert E.entry.__doc__ and "flagship" in E.entry.__doc__.lower()
