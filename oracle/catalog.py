@@ -223,7 +223,8 @@ FROM (SELECT c.*, a.auc, CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) ELSE 0.0 END
 
 oracle("roc_curve", f"""
 SELECT {r('threshold')}, {r('CASE WHEN N <> 0 THEN fps / N ELSE 0.0 END', 'fpr')},
-  {r('CASE WHEN P <> 0 THEN tps / P ELSE 0.0 END', 'tpr')} FROM pr""", "pr")
+  {r('CASE WHEN P <> 0 THEN tps / P ELSE 0.0 END', 'tpr')} FROM pr
+UNION ALL SELECT CAST('inf' AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE)""", "pr")
 
 _CAL = " + ".join(f"CAST({i} * CAST(0.1 AS DOUBLE) < score AS INTEGER)" for i in range(1, 10))
 oracle("calibration_curve", f"""

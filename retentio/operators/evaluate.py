@@ -167,11 +167,18 @@ def auc(df: DataFrame, group: list[str] = ()) -> DataFrame:
 
 
 def roc_curve(df: DataFrame, group: list[str] = ()) -> DataFrame:
-    """(threshold, fpr, tpr) per distinct score."""
+    """(threshold, fpr, tpr) per distinct score, plus the origin
+    (threshold +inf, 0, 0) that a ROC curve starts from."""
+    group = list(group)
     pts = score_points(df, group)
-    return pts.select(*group, F.col("score").alias("threshold"),
-                      _safe_div(F.col("fps"), F.col("N")).alias("fpr"),
-                      _safe_div(F.col("tps"), F.col("P")).alias("tpr"))
+    curve = pts.select(*group, F.col("score").alias("threshold"),
+                       _safe_div(F.col("fps"), F.col("N")).alias("fpr"),
+                       _safe_div(F.col("tps"), F.col("P")).alias("tpr"))
+    origin_cols = [F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
+                   F.lit(0.0).alias("tpr")]
+    # one origin row per group (one row per group, or one in total)
+    origin = (df.select(*group).distinct() if group else df.agg(F.count(F.lit(1)).alias("_n")))
+    return curve.unionByName(origin.select(*group, *origin_cols))
 
 
 # ---- F7 / F8 / F10 ----------------------------------------------------------------
