@@ -110,8 +110,10 @@ def with_recipes(docs: DataFrame, text: str = "text") -> DataFrame:
 def exact_groups(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row."""
     rows = with_recipes(docs, text)
-    groups = rows.groupBy("recipe", "ranks").agg(F.max("doc_id").alias("keep_id"),
-                                                 F.count("*").alias("group_size"))
+    # written, so that the join reads a table and AQE can split a large group
+    groups = materialize(
+        rows.groupBy("recipe", "ranks").agg(F.max("doc_id").alias("keep_id"),
+                                            F.count("*").alias("group_size")), "copy_groups")
     return (rows.alias("d").join(groups.alias("g"), [
         F.col("d.recipe") == F.col("g.recipe"), F.col("d.ranks").eqNullSafe(F.col("g.ranks"))])
         .select("d.doc_id", "g.keep_id", "g.group_size",

@@ -56,9 +56,11 @@ def _place(doc_id: str, line: str) -> Column:
 def removed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per document that loses lines: _k1, _k2, the lines that go."""
     found = windows(docs, text)
-    first = (found.groupBy("h1", "h2")
-             .agg(F.min(_place("doc_id", "line")).alias("first"), F.count("*").alias("n"))
-             .filter(F.col("n") > 1).drop("n"))
+    # written, so that the join reads a table and AQE can split a hot window
+    first = materialize(
+        found.groupBy("h1", "h2")
+        .agg(F.min(_place("doc_id", "line")).alias("first"), F.count("*").alias("n"))
+        .filter(F.col("n") > 1).drop("n"), "repeated_windows")
     later = (found.join(first, ["h1", "h2"])
              .filter(_place("doc_id", "line") != F.col("first")))
     return (later.groupBy(*KEY).agg(F.collect_set("line").alias("starts"))

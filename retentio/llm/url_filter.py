@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retentio.plans.tables import materialize
+
 from .common import ROW
 
 DEFAULT = "allow"
@@ -93,11 +95,12 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url",
             .filter((F.col("digest") == F.col("rule_digest"))
                     & F.col("path").startswith(F.col("rule_path"))))
     size = F.length("rule_host") + F.length("rule_path")
-    best = fits.groupBy("host", "path").agg(F.max(F.struct(
+    # written, so that the join reads a table and AQE can split a hot place
+    best = materialize(fits.groupBy("host", "path").agg(F.max(F.struct(
         size.alias("size"), F.length("rule_host").alias("host_size"),
         (F.col("rule_verdict") == "block").alias("blocks"),
         F.concat("rule_host", "rule_path").alias("rule"),
-        F.col("rule_verdict").alias("verdict"))).alias("best"))
+        F.col("rule_verdict").alias("verdict"))).alias("best")), "url_verdicts")
     return (read.join(best, ["host", "path"], "left")
             .select(f"{ROW}.*", "host", "path", "best.rule",
                     F.coalesce("best.verdict", F.lit(default)).alias("verdict")))
