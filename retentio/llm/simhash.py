@@ -86,7 +86,8 @@ def links(prints: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> DataFram
     keyed = prints.select("fp", F.explode(F.array(*[
         F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
         for t, m in enumerate(masks)])).alias("k")).select("fp", "k.t", "k.key")
-    shared = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    shared = materialize(keyed.groupBy("t", "key").agg(F.count("*").alias("n"))
+                         .filter(F.col("n") > 1), "simhash_shared")
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     member = materialize(
         keyed.join(shared, ["t", "key"])
@@ -121,9 +122,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
     joined = nodes.join(label, "fp", "inner").join(degree, "fp")
     least = joined.groupBy("label").agg(F.min("first").alias("component_id"))
     linked = joined.join(least, "label").select("fp", "component_id", "n_links")
-    known = nodes.join(linked, "fp", "left").select(
+    # written, so that the join reads a table and AQE can split a hot print
+    known = materialize(nodes.join(linked, "fp", "left").select(
         "fp", F.coalesce("component_id", "first").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "simhash_components")
     return prints.join(known, "fp")
 
 
