@@ -37,8 +37,10 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 #: bound of each worker's memos: a half of it for words, a quarter for pieces
-MEMO = 500_000
+MEMO = 400_000
 
 # Fixed value: white space as the tokenizer's patterns see it.
 SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
@@ -221,6 +223,7 @@ def model_of(document: str) -> WordBpe:
 def read_tokenizer(spark: SparkSession, path: str):
     """The tokenizer file as a broadcast string; its size is the size of the
     vocabulary file (1.7 MB), whatever the corpus."""
+    bounded_batches(spark)
     with open(path, encoding="utf-8") as f:
         return spark.sparkContext.broadcast(f.read())
 

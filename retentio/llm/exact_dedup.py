@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from retentio.plans.tables import materialize
 
-from .common import KEY, row_key
+from .common import KEY, bounded_batches, row_key
 
 #: bytes: smallest and largest chunk, and the mean distance of cuts between
 LEAST, MOST, MEAN = 512, 8192, 1024
@@ -83,6 +83,7 @@ def chunk_column(text: Column) -> Column:
 def with_recipes(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, _k1, _k2, text_sha256, recipe, ranks: the ordered verified
     identifiers of each row's chunks. `ranks` is null where all are 0."""
+    bounded_batches(docs.sparkSession)
     t = F.col(f"`{text}`")
     key = row_key(F.col("doc_id"), t)
     cut = docs.select("doc_id", *key, F.sha2(F.coalesce(t, F.lit("")).cast("binary"), 256)

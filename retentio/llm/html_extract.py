@@ -28,6 +28,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from .html_examples import PAGES
 
 FEATURES = ["words", "link_density", "words_before", "density_before", "words_after",
@@ -252,6 +253,7 @@ def extract(pages: DataFrame, tree: str | None = None, html: str = "html",
             out: str = "main_text") -> DataFrame:
     """`pages` with `out`, the main text (never null; replaced where it
     exists)."""
+    bounded_batches(pages.sparkSession)
     tree = tree or fit(pages.sparkSession)
     kept = F.filter(block_column(F.col(f"`{html}`")), lambda b: tree_column(tree, b["x"]) == 1.0)
     return pages.withColumn(out, F.array_join(F.transform(kept, lambda b: b["text"]), "\n"))

@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 from retentio.plans.tables import materialize
 
+from .common import bounded_batches
+
 SAMPLE_PER_LANGUAGE = 600
 LANGUAGES = 200
 FEATURES = 2048
@@ -162,6 +164,7 @@ class LanguageModel:
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, languages: int = LANGUAGES,
         text: str = "text", label: str = "lang") -> LanguageModel:
+    bounded_batches(docs.sparkSession)
     sample = training_sample(docs, per_language, languages, text, label)
     known = sorted(r["label"] for r in sample.select("label").distinct().collect())
     family = F.create_map(*[F.lit(v) for x in known for v in (x, family_of(x))]) if known else None

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from retentio.plans.tables import materialize
 
-from .common import KEY, ROW, row_key, whole_row
+from .common import KEY, ROW, bounded_batches, row_key, whole_row
 from .components import connected_components
 
 SHINGLE, BITS, BLOCKS = 3, 3, 6
@@ -111,6 +111,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
                     blocks: int = BLOCKS, text: str = "text") -> DataFrame:
     """doc_id, _k1, _k2, fp, component_id, n_links: one row per row of
     `docs`; n_links counts the different fingerprints linked to its own."""
+    bounded_batches(docs.sparkSession)
     prints = materialize(
         docs.select("doc_id", *row_key(F.col("doc_id"), F.col(f"`{text}`")),
                     fingerprint_column(F.col(f"`{text}`"), shingle).alias("fp")), "simhash")
