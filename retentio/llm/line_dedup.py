@@ -75,7 +75,9 @@ def dedup_lines(docs: DataFrame, text: str = "text",
     Other columns stay as they are."""
     gone = materialize(removed_lines(docs, text), "line_dedup")
     t = F.col(f"`{text}`")
-    keyed = docs.select(whole_row(), *row_key(F.col("doc_id"), t)).join(gone, KEY, "left")
+    keyed = docs.select(whole_row(), *row_key(F.col("doc_id"), t))
+    # by shuffle at every size: the lines that go grow with the corpus
+    keyed = keyed.join(gone.hint("merge"), KEY, "left")
     # the split text is a column of its own, so that it is made once a row
     split = keyed.withColumn("_lines", F.when(F.col("_gone").isNotNull(),
                                               _lines(F.col(ROW)[text])))
