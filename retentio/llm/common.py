@@ -26,7 +26,7 @@ def bounded_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of this session in bytes: a run of long texts
     then takes no more of a Python worker's memory than one of short ones."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(name, str(1 << 62)).rstrip("b")) > BATCH_BYTES:
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
