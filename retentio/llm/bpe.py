@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches
 
-#: bound of each worker's memos: a half of it for words, a quarter for pieces
-MEMO = 400_000
+#: entries of each worker's memo (in two generations), and of its known pairs
+MEMO = 200_000
 
 # Fixed value: white space as the tokenizer's patterns see it.
 SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
@@ -119,7 +119,8 @@ class WordBpe:
             self.automaton.add_word("".join(map(chr, body)), (i, len(body)))
         self.automaton.make_automaton()
         self._pairs: dict[int, bool] = {}
-        self._pieces, self._words = Memo(MEMO // 4), Memo(MEMO // 2)
+        # a piece that is one pre-token has that pre-token's ids: one memo for both
+        self._memo = Memo(MEMO // 2)
 
     # -- the dynamic programme -------------------------------------------
     def compatible(self, left: int, right: int) -> bool:
@@ -167,7 +168,7 @@ class WordBpe:
 
     def piece(self, raw: str) -> bytes:
         """Ids of a stretch without white space or special tokens."""
-        ids = self._pieces.get(raw)
+        ids = self._memo.get(raw)
         if ids is not None:
             return ids
         if raw.isascii():
@@ -178,13 +179,15 @@ class WordBpe:
             words = self.pieces.findall(text)
         found = []
         for w in words:
-            ids = self._words.get(w)
+            ids = self._memo.get(w)
             if ids is None:
                 ids = array("I", self.word(w.encode("utf-8"))).tobytes()
-                self._words.put(w, ids)
+                self._memo.put(w, ids)
             found.append(ids)
+        if len(words) == 1 and words[0] == raw:
+            return ids
         ids = b"".join(found)
-        self._pieces.put(raw, ids)
+        self._memo.put(raw, ids)
         return ids
 
     # -- documents --------------------------------------------------------
@@ -204,7 +207,7 @@ class WordBpe:
             if k % 2:
                 out.append(self.special[part].to_bytes(4, "little"))
                 continue
-            recent = self._pieces.recent
+            recent = self._memo.recent
             out += [recent.get(p) or self.piece(p) for p in self.split(part)]
         return b"".join(out)
 

@@ -19,7 +19,7 @@ def row_key(*cols: Column) -> list[Column]:
 
 
 #: bytes of one Arrow batch that goes to a Python worker
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
