@@ -565,14 +565,9 @@ def q_clv_quantiles(spark, sf):
 # ---- MLlib gradient-boosted models (rows-only checks) -------------------------------
 
 
-# the library default is 100 trees; the registered smoke checks use fewer
-CHECK_GBT = dict(maxIter=20)
-CHECK_GBT_WINDOWS = dict(maxIter=10)
-
-
 def gbt(spark, sf):
     return _cached("gbt", spark, sf, lambda: ML.fit_churn_model(
-        labeled(spark, sf).filter(~F.col("is_test")), "Churn_Target", CHECK_GBT))
+        labeled(spark, sf).filter(~F.col("is_test")), "Churn_Target"))
 
 
 @query("gbt_scores")
@@ -603,7 +598,7 @@ def q_gbt_saved(spark, sf):
 def q_gbt_windows(spark, sf):
     """One model per horizon (30/60/90 days), hold-out risks."""
     lab = labeled(spark, sf)
-    models = ML.fit_window_models(lab.filter(~F.col("is_test")), params=CHECK_GBT_WINDOWS)
+    models = ML.fit_window_models(lab.filter(~F.col("is_test")))
     out = lab.filter(F.col("is_test")).select(*[c for c in lab.columns])
     for w, m in models.items():
         out = m.transform(out, f"risk_{w}d")

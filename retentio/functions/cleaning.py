@@ -30,7 +30,9 @@ def col_or(c: str | Column) -> Column:
 
 def lenient_double(c: str | Column) -> Column:
     """B1: text -> double, anything unparsable -> NULL (ANSI-safe)."""
-    return col_or(c).cast("string").try_cast("double")
+    text = F.trim(col_or(c).cast("string"))
+    number = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+    return F.when(text.rlike(number), text.try_cast("double"))
 
 
 def churn_target(c: str | Column = "Churn", case_sensitive: bool = False) -> Column:
@@ -54,7 +56,7 @@ def in_range_or_null(c: str | Column, lo: float, hi: float) -> Column:
 def non_negative_or_null(c: str | Column) -> Column:
     """B7."""
     x = col_or(c)
-    return F.when(x >= 0, x)
+    return F.when((x >= 0) & ~F.isnan(x), x)
 
 
 def right_closed_bins(c: str | Column, bins=TENURE_BINS_V2) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import COST_FN, COST_FP
 from ..plans.prefix import running_totals
+from ..plans.quantiles import exact_quantiles
 
 GRID_STEPS = 100                          # thresholds i * 0.01, i = 0..100
 BETAS = (1.0, 1.5, 2.0)
@@ -159,11 +160,11 @@ def auc(df: DataFrame, group: list[str] = ()) -> DataFrame:
     pos * (negatives below + negatives tied / 2) / (P * N); NULL when one
     class is absent."""
     pts = score_points(df, group)
-    contrib = F.col("pos") * (F.col("N") - F.col("fps") + F.col("neg") / 2.0)
+    contrib = F.col("pos").cast("double") * (F.col("N") - F.col("fps") + F.col("neg") / 2.0)
     return (pts.groupBy(*group)
             .agg(F.sum(contrib).alias("_s"), F.first("P").alias("P"), F.first("N").alias("N"))
             .select(*group, F.when((F.col("P") > 0) & (F.col("N") > 0),
-                                   F.col("_s") / (F.col("P") * F.col("N"))).alias("auc")))
+                                   F.col("_s") / (F.col("P").cast("double") * F.col("N"))).alias("auc")))
 
 
 def roc_curve(df: DataFrame, group: list[str] = ()) -> DataFrame:
@@ -254,22 +255,16 @@ def score_histogram(df: DataFrame, bins: int = HIST_BINS) -> DataFrame:
                           "bin_hi": lo + (F.col("bin") + 1) * width / bins}))
 
 
-def decile_edges(df: DataFrame, exact: bool | None = None, accuracy: int = 1_000_000) -> Column:
-    """E10 edges: distinct quantiles at 0, .1, ..., 1 (one aggregate);
-    exact up to the profile row limit (counted), approximate above."""
-    if exact is None:
-        from .profile import use_exact
-        exact = use_exact(df, None)
-    probs = F.array(*[F.lit(float(p)) for p in DECILE_PROBS])
-    q = (F.percentile(F.col("score"), probs) if exact
-         else F.percentile_approx(F.col("score"), probs, accuracy))
-    return df.agg(F.array_distinct(q).alias("e")).select("e").scalar()
+def decile_edges(df: DataFrame) -> Column:
+    """E10 edges: distinct exact quantiles at 0, .1, ..., 1."""
+    q = exact_quantiles(df, F.col("score"), DECILE_PROBS)
+    return q.select(F.array_distinct("q").alias("e")).scalar()
 
 
-def with_decile(df: DataFrame, exact: bool | None = None) -> DataFrame:
+def with_decile(df: DataFrame) -> DataFrame:
     """qcut(score, 10, duplicates='drop'): bin i holds (e_i, e_i+1],
     the lowest edge included in bin 0."""
-    edges = decile_edges(df, exact)
+    edges = decile_edges(df)
     # at most 11 edges: count those below the score (missing ones count 0)
     below = None
     for i in range(len(DECILE_PROBS)):
@@ -278,9 +273,9 @@ def with_decile(df: DataFrame, exact: bool | None = None) -> DataFrame:
     return df.withColumn("decile", F.greatest(below - 1, F.lit(0)).cast("int"))
 
 
-def decile_stats(df: DataFrame, exact: bool | None = None) -> DataFrame:
+def decile_stats(df: DataFrame) -> DataFrame:
     """Mean actual and mean predicted per decile."""
-    return (with_decile(df, exact).groupBy("decile")
+    return (with_decile(df).groupBy("decile")
             .agg(F.avg(F.col("label").cast("double")).alias("actual"),
                  F.avg("score").alias("pred")))
 

@@ -70,11 +70,11 @@ class ChurnModel:
 
 
 def fit_churn_model(train: DataFrame, label: str = "Churn_Target", params: dict | None = None,
-                    exclude=EXCLUDE, exact_medians: bool | None = None) -> ChurnModel:
+                    exclude=EXCLUDE) -> ChurnModel:
     """G2 + G3 (+ D16 class weight, D17 medians)."""
     num, cat = split_by_dtype(train.drop(*[c for c in exclude if c in train.columns]))
     fill = {r["feature"]: (r["median"] if r["median"] is not None else 0.0)
-            for r in medians(train, num, exact_medians).collect()}
+            for r in medians(train, num).collect()}
     counts = train.agg(F.count_if(F.col(label) == 0).alias("n0"),
                        F.count_if(F.col(label) == 1).alias("n1")).first()
     pos_weight = counts["n0"] / max(counts["n1"], 1)

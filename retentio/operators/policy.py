@@ -97,11 +97,11 @@ def live_policy(merged: DataFrame, params: LiveParams = LiveParams()) -> DataFra
         "roi_proxy_live": loss - cost})
 
 
-def live_value_segments(df: DataFrame, exact: bool | None = None) -> DataFrame:
+def live_value_segments(df: DataFrame) -> DataFrame:
     """H3 on the merged view, kept beside the policy segment."""
     if "clv" not in df.columns:
         return df.withColumn("value_segment_live", F.lit("unknown"))
-    return V.value_segment_quantile(df, "clv", "value_segment_live", exact)
+    return V.value_segment_quantile(df, "clv", "value_segment_live")
 
 
 def live_filters(df: DataFrame, params: LiveParams = LiveParams(),

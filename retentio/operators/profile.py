@@ -3,9 +3,7 @@
 Every per-column profile is ONE job: columns are unpivoted into
 (feature, value) pairs and aggregated together, instead of one job per
 column. Aggregates are partial per task, so a hot value costs one partial
-row per task. Exact quantiles buffer every value of a group in one task,
-so they are used only up to `EXACT_QUANTILE_ROWS` rows (checked with a
-count); above that the bounded-memory `percentile_approx` is used.
+row per task. Quantiles are exact at every size (`plans/quantiles.py`).
 """
 
 from __future__ import annotations
@@ -14,24 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
+from ..plans.quantiles import exact_quantiles
 from .features import split_by_dtype
 
-EXACT_QUANTILE_ROWS = 20_000_000
-APPROX_ACCURACY = 1_000_000
 IGNORE_V1 = ("customerID", "Churn", "Churn_Target")
 IGNORE_V2 = ("customerID", "Churn")
 DIST_PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
-def use_exact(df: DataFrame, exact: bool | None) -> bool:
-    return exact if exact is not None else df.count() <= EXACT_QUANTILE_ROWS
-
-
-def quantiles(x: Column, probs, exact: bool) -> Column:
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    return F.percentile(x, arr) if exact else F.percentile_approx(x, arr, APPROX_ACCURACY)
-
-
 def _long(df: DataFrame, cols, keep, value_type: str = "string") -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast(value_type).alias("value"))
                       for c in cols])
@@ -96,18 +84,19 @@ def correlation_matrix(df: DataFrame, cols=None, exclude=("days_to_churn", "y_30
 
 def distribution_by_label(df: DataFrame, cols=("tenure", "MonthlyCharges", "TotalCharges",
                                                "Avg_Historical_Charge"),
-                          target: str = "Churn_Target", exact: bool | None = None) -> DataFrame:
+                          target: str = "Churn_Target") -> DataFrame:
     """Per churn label and feature: count, mean, min, quantiles, max."""
     cols = [c for c in cols if c in df.columns]
-    ex = use_exact(df, exact)
     long = (_long(df, cols, [C.churn_label_text(target).alias("Churn_Label")], "double")
             .filter(F.col("value").isNotNull()))
-    q = quantiles(F.col("value"), DIST_PROBS, ex)
+    q = exact_quantiles(long, F.col("value"), DIST_PROBS, ["Churn_Label", "feature"])
     out = long.groupBy("Churn_Label", "feature").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"), q.alias("_q"))
-    return out.select("Churn_Label", "feature", "n", "mean", "min", "max",
-                      *[F.col("_q")[i].alias(f"p{int(p * 100):02d}") for i, p in enumerate(DIST_PROBS)])
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    # two tables of one row per label and feature
+    return out.join(q, ["Churn_Label", "feature"]).select(
+        "Churn_Label", "feature", "n", "mean", "min", "max",
+        *[F.col("q")[i].alias(f"p{int(p * 100):02d}") for i, p in enumerate(DIST_PROBS)])
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -115,15 +104,10 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
-def medians(df: DataFrame, cols=None, exact: bool | None = None) -> DataFrame:
+def medians(df: DataFrame, cols=None) -> DataFrame:
     """Per numeric column median (the imputation statistic), long."""
     if cols is None:
         cols = split_by_dtype(df)[0]
-    ex = use_exact(df, exact)
-    med = [(F.median(F.col(c).cast("double")) if ex
-            else F.percentile_approx(F.col(c).cast("double"), 0.5, APPROX_ACCURACY)).alias(f"m{i}")
-           for i, c in enumerate(cols)]
-    one = df.agg(*med)
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"m{i}").alias("median"))
-        for i, c in enumerate(cols)])))
+    q = exact_quantiles(_long(df, cols, [], "double"), F.col("value"), [0.5], ["feature"])
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+    return names.join(q, "feature", "left").select("feature", F.col("q")[0].alias("median"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import RetentionPolicy, VALUE_QUANTILES
+from ..plans.quantiles import exact_quantiles
 
 
 def _num_or_zero(df: DataFrame, c: str) -> Column:
@@ -45,6 +46,7 @@ def add_clv(df: DataFrame, margin_rate: float = 0.6, expected_future_months: int
 def value_segment_fixed(clv: Column, high: float = 1000.0, mid: float = 400.0) -> Column:
     """H2: >= high -> high, >= mid -> mid, else low (NULL -> low, as a
     NaN comparison is false upstream)."""
+    clv = F.when(~F.isnan(clv), clv)
     return F.when(clv >= high, "high").when(clv >= mid, "mid").otherwise("low")
 
 
@@ -54,29 +56,19 @@ def add_value_segment(df: DataFrame, high_value_clv: float = 1000.0,
                          value_segment_fixed(F.col("clv"), high_value_clv, mid_value_clv))
 
 
-def value_quantiles(df: DataFrame, col: str = "clv", probs=VALUE_QUANTILES,
-                    exact: bool | None = None, accuracy: int = 1_000_000) -> DataFrame:
-    """One-row frame with q1, q2 (linear interpolation = pandas).
-    `exact=None` counts the rows: exact up to the profile limit, else
-    approximate (bounded memory per task)."""
-    if exact is None:
-        from .profile import use_exact
-        exact = use_exact(df, None)
-    x = F.col(col).cast("double")
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    q = F.percentile(x, arr) if exact else F.percentile_approx(x, arr, accuracy)
-    return df.agg(q.alias("_q")).select(
-        *[F.col("_q")[i].alias(f"q{i + 1}") for i in range(len(probs))])
+def value_quantiles(df: DataFrame, col: str = "clv", probs=VALUE_QUANTILES) -> DataFrame:
+    """One-row frame with exact q1, q2 (linear interpolation)."""
+    q = exact_quantiles(df, F.col(col), probs)
+    return q.select(*[F.col("q")[i].alias(f"q{i + 1}") for i in range(len(probs))])
 
 
-def value_segment_quantile(df: DataFrame, col: str = "clv", out: str = "value_segment",
-                           exact: bool | None = None) -> DataFrame:
+def value_segment_quantile(df: DataFrame, col: str = "clv", out: str = "value_segment") -> DataFrame:
     """H3: >= q66 high, >= q33 mid, else low, NULL -> unknown.
 
     The two cut points are scalar sub-queries over a one-row aggregate:
     Spark runs the aggregate once and inlines both values, so the big side
     is never joined or shuffled."""
-    qs = value_quantiles(df, col, exact=exact)
+    qs = value_quantiles(df, col)
     q1 = qs.select("q1").scalar()
     q2 = qs.select("q2").scalar()
     x = F.col(col)

@@ -82,11 +82,13 @@ def decision_table_v1(sc: DataFrame, k: int = 3) -> DataFrame:
 def add_expected_loss(df: DataFrame, windows=RISK_WINDOWS) -> DataFrame:
     """H4."""
     return df.withColumns({f"expected_loss_{w}d": F.col(f"risk_{w}d") * F.col("clv")
-                           for w in windows})
+                           for w in windows if f"risk_{w}d" in df.columns})
 
 
 def add_priority(df: DataFrame, w30: float, w60: float, w90: float) -> DataFrame:
-    """H5."""
+    """H5; without horizon risks there is no priority."""
+    if not all(f"risk_{w}d" in df.columns for w in RISK_WINDOWS):
+        return df
     return df.withColumn("priority_score", F.lit(w30) * F.col("risk_30d")
                          + F.lit(w60) * F.col("risk_60d") + F.lit(w90) * F.col("risk_90d"))
 
@@ -97,6 +99,8 @@ def add_intervention_and_roi(df: DataFrame, costs: dict) -> DataFrame:
     act = F.col("recommended_action") if "recommended_action" in df.columns else F.lit("")
     out = df.withColumn("intervention_type", R.choose_intervention(act, seg))
     out = out.withColumn("offer_cost", R.offer_cost(F.col("intervention_type"), costs))
+    if "expected_loss_30d" not in out.columns:
+        return out
     loss, cost = F.col("expected_loss_30d"), F.col("offer_cost")
     return out.withColumns({
         "should_intervene": F.coalesce((loss > cost).cast("int"), F.lit(0)),

@@ -59,13 +59,16 @@ def running_totals(df: DataFrame, order: list[Column], sums: list[str],
     w_off = (Window.partitionBy(*partition_by).orderBy("_r")
              .rowsBetween(Window.unboundedPreceding, -1))
     w_all = Window.partitionBy(*partition_by)
-    offsets = totals.select(*partition_by, "_r", *[
+    group = F.struct(*partition_by) if partition_by else F.lit(0)
+    local = local.withColumn("_grp", group)
+    offsets = totals.select(group.alias("_grp"), "_r", *[
         F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sums],
         *([F.sum(f"_t_{c}").over(w_all).alias(f"{totals_prefix}{c}") for c in sums
            if c != "_one"] if totals_prefix else []))
     # without groups the offsets table has at most `n_ranges` rows: a proven
     # bound, so it is broadcast without counting; with groups it is counted
-    out = lookup_join(local, offsets, partition_by + ["_r"], "inner",
+    # a struct of the group columns equals itself where they are null
+    out = lookup_join(local, offsets, ["_grp", "_r"], "inner",
                       small_rows=None if partition_by else n_ranges)
     cols = {}
     for c in sums:
@@ -74,7 +77,7 @@ def running_totals(df: DataFrame, order: list[Column], sums: list[str],
         else:
             cols[prefix + c] = F.col(f"_o_{c}") + F.col(f"_l_{c}")
     out = out.withColumns(cols)
-    return out.drop("_r", "_one", *[f"_l_{c}" for c in sums], *[f"_o_{c}" for c in sums])
+    return out.drop("_r", "_one", "_grp", *[f"_l_{c}" for c in sums], *[f"_o_{c}" for c in sums])
 
 
 def position_in_group(df: DataFrame, partition_by: list[str], order: list[Column],

@@ -50,11 +50,20 @@ def bucketed(df: DataFrame, name: str, key: str = "customerID", buckets: int | N
 
 def ensure_table(spark: SparkSession, path: str, builder) -> DataFrame:
     """A10: read the table at `path`; build and write it first when missing."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    if not _committed(spark, path):
         builder().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    """True when the writer's commit marker stands in the folder."""
+    try:
+        spark.read.format("binaryFile").load(f"{path.rstrip('/')}/_SUCCESS").schema
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> None:

@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     (local tests) create a fresh scratch folder."""
     d = checkpoint_dir(spark)
     if d is None:
+        if not fallback and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = fallback or tempfile.mkdtemp(prefix="retentio-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(d)
     return d

@@ -6,6 +6,7 @@ import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Raw subscriber layout. Numbers that the source writes as text
@@ -62,9 +63,17 @@ def load_raw(spark: SparkSession, folder: str, filename: str | None = None,
 
 def read_csv(spark: SparkSession, path: str,
              schema: T.StructType = SUBSCRIBER_SCHEMA) -> DataFrame:
-    """A2: fixed-name CSV scan with header."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("mode", "PERMISSIVE").csv(path))
+    """A2: fixed-name CSV scan. Columns are taken by their header names, so
+    their order in the file does not matter; names the schema has and the
+    file lacks are null."""
+    header = spark.read.option("header", True).csv(path)
+    have = {c.lower(): c for c in header.columns}
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header.columns])
+    raw = (spark.read.schema(text).option("header", True).option("enforceSchema", False)
+           .option("mode", "PERMISSIVE").csv(path))
+    return raw.select(*[
+        (F.col(f"`{have[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in have
+         else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
