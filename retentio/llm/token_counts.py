@@ -41,68 +41,88 @@ def count(model: WordBpe, segment: str) -> int:
     return len(model.encode(piece)) // 4 if piece else 0
 
 
-class SegmentTree:
-    """Characters and tokens of segments, summed over a binary tree. A leaf
-    may hold several segments after an edit, or none."""
+#: counts of recent segments, of one Python worker
+_KNOWN: dict[str, int] = {}
+KNOWN = 150_000
+
+
+def counts(model: WordBpe, parts: list[str]) -> list[int]:
+    out = list(map(_KNOWN.get, parts))
+    if None in out:
+        for i, n in enumerate(out):
+            if n is None:
+                out[i] = n = count(model, parts[i])
+                if len(parts[i]) <= 32:
+                    if len(_KNOWN) >= KNOWN:
+                        _KNOWN.clear()
+                    _KNOWN[parts[i]] = n
+    return out
 
-    def __init__(self, parts: list[str], tokens: list[int]):
-        self.leaves = [[p] for p in parts] or [[]]
-        self.tokens = [[t] for t in tokens] or [[]]
-        self.size = 1 << max(0, (len(self.leaves) - 1).bit_length())
+
+class SegmentTree:
+    """Characters and tokens of segments, summed over a binary tree. After
+    an edit a leaf may stand for several segments (in `changed`), or none."""
+
+    def __init__(self, text: str, chars, tokens):
+        self.text = text
+        self.leaves = np.array([chars, tokens], dtype=np.int64).reshape(2, -1).T
+        n = max(1, len(self.leaves))
+        self.n, self.size = n, 1 << (n - 1).bit_length()
+        self.changed: dict[int, tuple[list[int], list[int]]] = {}
         self.sums = np.zeros((2 * self.size, 2), dtype=np.int64)
-        self.sums[self.size:self.size + len(parts), 0] = list(map(len, parts))
-        self.sums[self.size:self.size + len(parts), 1] = tokens
+        self.sums[self.size:self.size + len(self.leaves)] = self.leaves
         level = self.size
         while level > 1:
             half = level // 2
             self.sums[half:level] = self.sums[level:2 * level].reshape(half, 2, 2).sum(axis=1)
             level = half
 
-    def leaf_at(self, char: int) -> tuple[int, int]:
-        """The leaf that holds a character, and the characters before it."""
+    def leaf_at(self, char: int) -> int:
+        """The leaf that holds a character."""
         node, before, sums = 1, 0, self.sums
         while node < self.size:
             node *= 2
             if char - before >= sums[node, 0]:
                 before += int(sums[node, 0])
                 node += 1
-        return min(node - self.size, len(self.leaves) - 1), before
+        return min(node - self.size, self.n - 1)
 
-    def put(self, first: int, last: int, parts: list[str], tokens: list[int]) -> None:
+    def _put(self, first: int, last: int, chars: list[int], tokens: list[int]) -> None:
         """Leaves first..last become one leaf with these segments."""
         for i in range(first, last + 1):
-            self.leaves[i], self.tokens[i] = [], []
-        self.leaves[first], self.tokens[first] = parts, tokens
+            self.changed[i] = ([], [])
+        self.changed[first] = (chars, tokens)
         low, high = first + self.size, last + self.size
         self.sums[low:high + 1] = 0
-        self.sums[low] = sum(map(len, parts)), sum(tokens)
+        self.sums[low] = sum(chars), sum(tokens)
         while low > 1:
             low, high = low // 2, high // 2
             self.sums[low:high + 1] = self.sums[2 * low:2 * high + 2].reshape(-1, 2, 2).sum(axis=1)
 
     def edit(self, model: WordBpe, start: int, length: int, replacement: str) -> int:
         """Apply one edit; the number of segments encoded anew."""
-        total = int(self.sums[1, 0])
+        total = len(self.text)
         start = min(max(start, 0), total)
         stop = min(start + max(length, 0), total)
-        first, _ = self.leaf_at(max(start - 1, 0))
-        last, _ = self.leaf_at(min(stop, max(total - 1, 0)))
-        # one leaf with text on each side: the edit may join it to the region
-        first = self._filled(first - 1, -1, first)
-        last = self._filled(last + 1, 1, last)
-        before = self._chars_before(first)
-        region = "".join(p for leaf in self.leaves[first:last + 1] for p in leaf)
-        region = region[:start - before] + replacement + region[stop - before:]
+        # the leaves it touches, and one with text on each side: the edit may
+        # join their segments to the region
+        first = self._filled(self.leaf_at(max(start - 1, 0)), -1)
+        last = self._filled(self.leaf_at(min(stop, max(total - 1, 0))), 1)
+        before, after = self._chars_before(first), self._chars_before(last)
+        after += int(self.sums[last + self.size, 0])
+        region = self.text[before:start] + replacement + self.text[stop:after]
+        self.text = self.text[:start] + replacement + self.text[stop:]
         parts = segments(region)
-        self.put(first, last, parts, [count(model, p) for p in parts])
+        self._put(first, last, list(map(len, parts)), counts(model, parts))
         return len(parts)
 
-    def _filled(self, at: int, step: int, otherwise: int) -> int:
-        while 0 <= at < len(self.leaves):
-            if self.leaves[at]:
+    def _filled(self, leaf: int, step: int) -> int:
+        at = leaf + step
+        while 0 <= at < self.n:
+            if self.sums[at + self.size, 0]:
                 return at
             at += step
-        return otherwise
+        return leaf
 
     def _chars_before(self, leaf: int) -> int:
         node, before = leaf + self.size, 0
@@ -112,6 +132,15 @@ class SegmentTree:
             node //= 2
         return before
 
+    def segments(self) -> np.ndarray:
+        """Characters and tokens of all segments, in order."""
+        out, at = [], 0
+        for leaf in sorted(self.changed):
+            out.append(self.leaves[at:leaf])
+            out.append(np.array(self.changed[leaf], dtype=np.int64).reshape(2, -1).T)
+            at = leaf + 1
+        return np.concatenate([*out, self.leaves[at:]])
+
 
 def state_column(tokenizer, text: Column) -> Column:
     """struct(text, seg_chars, seg_tokens, n_tokens) of a text."""
@@ -120,8 +149,9 @@ def state_column(tokenizer, text: Column) -> Column:
         model, rows = model_of(tokenizer.value), []
         for text in texts:
             parts = segments(text or "")
-            tokens = [count(model, p) for p in parts]
-            rows.append((text or "", list(map(len, parts)), tokens, sum(tokens)))
+            tokens = counts(model, parts)
+            rows.append((text or "", np.fromiter(map(len, parts), np.int32, len(parts)),
+                         np.array(tokens, dtype=np.int32), sum(tokens)))
         return pd.DataFrame(rows, columns=["text", "seg_chars", "seg_tokens", "n_tokens"])
 
     return state(text)
@@ -134,19 +164,17 @@ def edited_column(tokenizer, state: Column, edits: Column) -> Column:
         model, rows = model_of(tokenizer.value), []
         for text, chars, tokens, edit_list in zip(
                 before["text"], before["seg_chars"], before["seg_tokens"], edit_lists):
-            text = text or ""
-            ends = np.cumsum(chars if chars is not None else [], dtype=np.int64).tolist()
-            parts = [text[a:b] for a, b in zip([0, *ends], ends)]
-            tree = SegmentTree(parts, [int(t) for t in tokens] if tokens is not None else [])
+            tree = SegmentTree(text or "", chars if chars is not None else [],
+                               tokens if tokens is not None else [])
             made = done = 0
             for e in (edit_list if edit_list is not None else []):
                 if e is not None:
                     made += tree.edit(model, int(e["start"] or 0), int(e["length"] or 0),
                                       e["replacement"] or "")
                     done += 1
-            parts = [p for leaf in tree.leaves for p in leaf]
-            tokens = [t for leaf in tree.tokens for t in leaf]
-            rows.append(("".join(parts), list(map(len, parts)), tokens, int(tree.sums[1, 1]),
+            parts = tree.segments().astype(np.int32)
+            rows.append((tree.text, np.ascontiguousarray(parts[:, 0]),
+                         np.ascontiguousarray(parts[:, 1]), int(tree.sums[1, 1]),
                          done, made, len(parts)))
         return pd.DataFrame(rows, columns=["text", "seg_chars", "seg_tokens", "n_tokens",
                                            "n_edits", "segments_encoded", "n_segments"])
