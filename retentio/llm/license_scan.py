@@ -3,17 +3,17 @@
 A sparse multinomial logistic regression over word unigrams and bigrams is
 fitted (MLlib) on the labelled table of `license_examples.py`: licence
 families, `unknown` (licence-like text of no listed family) and `none`. A
-paragraph's score is a sum of the weights of the grams it holds: grams are
-exploded as hashes, meet the weight table in an equi-join, and are summed
-per paragraph and class. Grams without weight leave at the join, so only
-paragraphs that hold some licence word are aggregated. A family counts when
-its probability reaches a threshold that is calibrated on the half of the
-labelled table a first fit has not seen, and when the paragraph's five-word
-shingles (digits as 0) are found in the family's templates to 0.8 or more;
-else the paragraph is `unknown`.
-
-All on the main path is DataFrame functions. The weight and template tables
-are bounded by the labelled table (some thousand rows), whatever the corpus.
+paragraph's grams that the model knows become a sparse vector, which the
+fitted model scores in the same stage as the scan: nothing is exploded or
+shuffled for it, and a paragraph without a known gram is `none`. A family
+counts when its probability reaches a threshold that is calibrated on the
+half of the labelled table a first fit has not seen, and when the
+paragraph's five-word shingles (digits as 0) are found in the family's
+templates to 0.8 or more; else the paragraph is `unknown`.
+
+All on the main path is DataFrame functions and fitted MLlib models. The
+vocabulary and the templates are bounded by the labelled table (some
+thousand entries), whatever the corpus.
 
 Defined cases: null and empty texts have no paragraph; blank lines are
 skipped; a paragraph of fewer than five words is one shingle; very long
@@ -22,9 +22,9 @@ lines are scored whole; rows that repeat doc_id and text are one document.
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,27 +67,22 @@ def _shingles(w: Column, size: int = SHINGLE) -> Column:
 
 
 class LicenseModel:
-    """Classes, gram weights, intercepts, threshold, templates."""
-
-    def __init__(self, classes, weights, intercepts, threshold):
-        self.classes, self.weights = classes, weights
-        self.intercepts, self.threshold = intercepts, threshold
-
-    def scored(self, grams: DataFrame, by: list[str]) -> DataFrame:
-        """by, family, probability for every group of rows (by, h) that
-        holds a weighted gram."""
-        spark = grams.sparkSession
-        names = [f"c{i}" for i in range(len(self.classes))]
-        table = spark.createDataFrame(
-            [(h, *map(float, w)) for h, w in self.weights.items()],
-            "h long, " + ", ".join(f"{n} double" for n in names))
-        sums = grams.join(table, "h").groupBy(*by).agg(*[
-            (F.sum(n) + F.lit(float(b))).alias(n) for n, b in zip(names, self.intercepts)])
-        top = F.greatest(*names)
-        total = sum((F.exp(F.col(n) - top) for n in names), F.lit(0.0))
-        best = F.array_max(F.array(*[F.struct(F.col(n).alias("s"), F.lit(c).alias("c"))
-                                     for n, c in zip(names, self.classes)]))
-        return sums.select(*by, best["c"].alias("family"), (1 / total).alias("probability"))
+    """Classes, vocabulary, fitted regression, threshold."""
+
+    def __init__(self, classes: list[str], vectors: CountVectorizerModel,
+                 regression: LogisticRegressionModel, threshold: float):
+        self.classes, self.vectors = classes, vectors
+        self.regression, self.threshold = regression, threshold
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """`rows` with their `grams` replaced by family and probability."""
+        kept = [c for c in rows.columns if c != "grams"]
+        rows = rows.withColumn("grams", F.col("grams").cast("array<string>"))
+        p = vector_to_array("probability")
+        best = F.array_max(F.arrays_zip(p.alias("p"), F.array(*map(F.lit, self.classes)).alias("c")))
+        return (self.regression.transform(self.vectors.transform(rows))
+                .select(*kept, best.alias("best"))
+                .select(*kept, F.col("best.p").alias("probability"), F.col("best.c").alias("family")))
 
 
 def _table(spark: SparkSession) -> DataFrame:
@@ -97,17 +92,17 @@ def _table(spark: SparkSession) -> DataFrame:
             .select("id", "family", _grams(words(F.col("text"))).alias("grams")).coalesce(1))
 
 
-def _fit(rows: DataFrame, classes: list[str]) -> tuple[dict, list[float]]:
+def _fit(rows: DataFrame, classes: list[str]) -> tuple[CountVectorizerModel, LogisticRegressionModel]:
     label = F.coalesce(*[F.when(F.col("family") == c, F.lit(float(i)))
                          for i, c in enumerate(classes)])
     named = rows.select(F.col("grams").cast("array<string>").alias("grams"), label.alias("label"))
     vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(named)
-    fitted = LogisticRegression(family="multinomial", regParam=3e-3, maxIter=60,
-                                standardization=False).fit(vectors.transform(named))
-    matrix = fitted.coefficientMatrix.toArray()
-    weights = {int(g): matrix[:, i] for i, g in enumerate(vectors.vocabulary)
-               if np.abs(matrix[:, i]).max() > 1e-3}
-    return weights, fitted.interceptVector.toArray().tolist()
+    regression = LogisticRegression(family="multinomial", regParam=3e-3, maxIter=60,
+                                    standardization=False)
+    fitted = regression.fit(vectors.transform(named))
+    if classes[int(fitted.interceptVector.argmax())] != NONE:
+        raise ValueError("a paragraph without a known gram must be of no licence")
+    return vectors, fitted
 
 
 def fit(spark: SparkSession) -> LicenseModel:
@@ -116,9 +111,8 @@ def fit(spark: SparkSession) -> LicenseModel:
     rows = _table(spark)
     classes = list(EXAMPLES)
     half = LicenseModel(classes, *_fit(rows.filter("id % 2 = 0"), classes), 0.0)
-    other = rows.filter("id % 2 = 1")
-    seen = (half.scored(other.select("id", F.explode("grams").alias("h")), ["id"])
-            .join(other.select("id", F.col("family").alias("truth")), "id")
+    other = rows.filter("id % 2 = 1").withColumnRenamed("family", "truth")
+    seen = (half.scored(other.select("truth", "grams"))
             .filter(~F.col("family").isin(NONE, UNKNOWN)).collect())
     threshold = 0.5
     for step in range(50, 100):
@@ -143,23 +137,13 @@ def scan(docs: DataFrame, model: LicenseModel | None = None, text: str = "text")
     spark = docs.sparkSession
     model = model or fit(spark)
     place = [*KEY, "line"]
-    listed = paragraphs(docs, text).select(*place, words(F.col("paragraph")).alias("w"))
-    grams = listed.select(*place, F.explode(_grams(F.col("w"))).alias("h"))
-    found = materialize(
-        model.scored(grams, place)
-        .filter(F.col("family") != NONE)
-        .groupBy(*KEY).agg(F.collect_list(F.struct("line", "family", "probability")).alias("found")),
-        "license_lines")
-    t = F.col(f"`{text}`")
-    # only documents with a licence line meet it; their other lines go
-    lines = (docs.select("doc_id", *row_key(F.col("doc_id"), t), t.alias("text")).join(found, KEY)
-             .select("doc_id", *KEY, "found", F.split("text", "\n", -1).alias("ls"))
-             .select("doc_id", *KEY, F.explode(F.transform("found", lambda x: F.struct(
-                 x["line"].alias("line"), x["family"].alias("family"),
-                 x["probability"].alias("probability"),
-                 F.get(F.col("ls"), x["line"]).alias("paragraph")))).alias("x"))
-             .select("doc_id", *KEY, "x.*").dropDuplicates(place))
-    lines = materialize(lines, "license_paragraphs")
+    # the word list is a lambda's variable: a filter that Spark pushes below
+    # this projection then still cuts a paragraph into words once
+    grams = F.get(F.transform(F.array(words(F.col("paragraph"))), _grams), 0)
+    graded = model.scored(paragraphs(docs, text).withColumn("grams", grams))
+    # only licence lines cross the network
+    lines = materialize(graded.filter(F.col("family") != NONE).dropDuplicates(place),
+                        "license_paragraphs")
     templates = spark.createDataFrame(
         [(f, t) for f, texts in EXAMPLES.items() if f not in (NONE, UNKNOWN) for t in texts],
         "family string, text string").select(
