@@ -41,9 +41,9 @@ def count(model: WordBpe, segment: str) -> int:
     return len(model.encode(piece)) // 4 if piece else 0
 
 
-#: counts of recent segments, of one Python worker
+#: counts of recent segments, of one Python worker; KNOWN short entries take some 100 MB
 _KNOWN: dict[str, int] = {}
-KNOWN = 150_000
+KNOWN = 600_000
 
 
 def counts(model: WordBpe, parts: list[str]) -> list[int]:
