@@ -166,17 +166,19 @@ class WordBpe:
             at = back[at]
         return out[::-1]
 
+    def words(self, raw: str) -> list[str]:
+        """Pre-tokens of a stretch without white space or special tokens."""
+        if raw.isascii():
+            text = raw.lower()
+            return [text] if text.isalpha() else self.pieces.findall(text)
+        return self.pieces.findall("".join(map(str.lower, unicodedata.normalize("NFC", raw))))
+
     def piece(self, raw: str) -> bytes:
         """Ids of a stretch without white space or special tokens."""
         ids = self._memo.get(raw)
         if ids is not None:
             return ids
-        if raw.isascii():
-            text = raw.lower()
-            words = [text] if text.isalpha() else self.pieces.findall(text)
-        else:
-            text = "".join(map(str.lower, unicodedata.normalize("NFC", raw)))
-            words = self.pieces.findall(text)
+        words = self.words(raw)
         found = []
         for w in words:
             ids = self._memo.get(w)

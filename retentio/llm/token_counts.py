@@ -37,8 +37,16 @@ def segments(text: str) -> list[str]:
 
 
 def count(model: WordBpe, segment: str) -> int:
+    """Tokens of a segment. A word of letters counts as the segment that is
+    this word and one space, which is often known already."""
     piece = segment.strip(SPACE)
-    return len(model.encode(piece)) // 4 if piece else 0
+    if "<|" in piece:
+        return len(model.encode(piece)) // 4
+    total = 0
+    for word in model.words(piece):
+        n = _KNOWN.get(word + " ") if word.isalpha() else None
+        total += len(model.word(word.encode("utf-8"))) if n is None else n
+    return total
 
 
 #: counts of recent segments, of one Python worker; KNOWN short entries take some 100 MB
