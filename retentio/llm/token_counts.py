@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,42 +150,65 @@ class SegmentTree:
         return np.concatenate([*out, self.leaves[at:]])
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    """One Arrow list of integers per array."""
+    ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+    values = np.concatenate(parts) if parts else np.empty(0)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32)))
+
+
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    """The integers of each list; a null list is empty."""
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] if known else values[:0]
+            for a, b, known in zip(ends, ends[1:], column.is_valid().to_pylist())]
+
+
 def state_column(tokenizer, text: Column) -> Column:
     """struct(text, seg_chars, seg_tokens, n_tokens) of a text."""
-    @F.pandas_udf(STATE)
-    def state(texts: pd.Series) -> pd.DataFrame:
-        model, rows = model_of(tokenizer.value), []
-        for text in texts:
-            parts = segments(text or "")
-            tokens = counts(model, parts)
-            rows.append((text or "", np.fromiter(map(len, parts), np.int32, len(parts)),
-                         np.array(tokens, dtype=np.int32), sum(tokens)))
-        return pd.DataFrame(rows, columns=["text", "seg_chars", "seg_tokens", "n_tokens"])
+    @F.arrow_udf(STATE)
+    def state(texts: pa.Array) -> pa.Array:
+        model, chars, tokens = model_of(tokenizer.value), [], []
+        texts = texts.fill_null("")
+        for text in texts.to_pylist():
+            parts = segments(text)
+            chars.append(np.fromiter(map(len, parts), np.int32, len(parts)))
+            tokens.append(np.array(counts(model, parts), dtype=np.int32))
+        totals = [int(t.sum()) for t in tokens]
+        return pa.StructArray.from_arrays(
+            [texts, _lists(chars), _lists(tokens), pa.array(totals, pa.int64())],
+            ["text", "seg_chars", "seg_tokens", "n_tokens"])
 
     return state(text)
 
 
 def edited_column(tokenizer, state: Column, edits: Column) -> Column:
     """The state after the edits, with how much was encoded for it."""
-    @F.pandas_udf(EDITED)
-    def edited(before: pd.DataFrame, edit_lists: pd.Series) -> pd.DataFrame:
-        model, rows = model_of(tokenizer.value), []
-        for text, chars, tokens, edit_list in zip(
-                before["text"], before["seg_chars"], before["seg_tokens"], edit_lists):
-            tree = SegmentTree(text or "", chars if chars is not None else [],
-                               tokens if tokens is not None else [])
+    @F.arrow_udf(EDITED)
+    def edited(before: pa.Array, edit_lists: pa.Array) -> pa.Array:
+        model, trees, chars, tokens, work = model_of(tokenizer.value), [], [], [], []
+        texts, seg_chars, seg_tokens, _ = before.flatten()
+        for text, c, t, edit_list in zip(texts.to_pylist(), _arrays(seg_chars),
+                                         _arrays(seg_tokens), edit_lists.to_pylist()):
+            tree = SegmentTree(text or "", c, t)
             made = done = 0
-            for e in (edit_list if edit_list is not None else []):
+            for e in edit_list or []:
                 if e is not None:
-                    made += tree.edit(model, int(e["start"] or 0), int(e["length"] or 0),
+                    made += tree.edit(model, e["start"] or 0, e["length"] or 0,
                                       e["replacement"] or "")
                     done += 1
-            parts = tree.segments().astype(np.int32)
-            rows.append((tree.text, np.ascontiguousarray(parts[:, 0]),
-                         np.ascontiguousarray(parts[:, 1]), int(tree.sums[1, 1]),
-                         done, made, len(parts)))
-        return pd.DataFrame(rows, columns=["text", "seg_chars", "seg_tokens", "n_tokens",
-                                           "n_edits", "segments_encoded", "n_segments"])
+            parts = tree.segments()
+            chars.append(parts[:, 0])
+            tokens.append(parts[:, 1])
+            trees.append(tree.text)
+            work.append((int(tree.sums[1, 1]), done, made, len(parts)))
+        total, done, made, size = zip(*work) if work else ((), (), (), ())
+        return pa.StructArray.from_arrays(
+            [pa.array(trees, pa.string()), _lists(chars), _lists(tokens),
+             pa.array(total, pa.int64()), pa.array(done, pa.int32()),
+             pa.array(made, pa.int64()), pa.array(size, pa.int64())],
+            ["text", "seg_chars", "seg_tokens", "n_tokens",
+             "n_edits", "segments_encoded", "n_segments"])
 
     return edited(state, edits)
 
