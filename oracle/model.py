@@ -1,12 +1,72 @@
 """Oracle fragments: split, window labels, scorecard, scores, reason codes,
 decision table."""
 
-from retentio.config import OFFER_COSTS
-from retentio.functions import rules as R
-from retentio.operators.scorecard import DEFAULT_FEATURES
+from collections import namedtuple
 
 from . import cte
 
+# ---- fixed values, spelled out here so that the gate can notice a typo in the library ----
+NO_SPLIT_NAMES = ("Avg_Historical_Charge", "Service_Count", "TotalCharges", "MonthlyCharges")
+
+BUCKET_RULES = (
+    ("Contract", "Contract & Commitment"),
+    ("PaymentMethod", "Billing & Payments"),
+    ("MonthlyCharges", "Pricing"),
+    ("TotalCharges", "Pricing"),
+    ("Avg_Historical_Charge", "Pricing"),
+    ("TechSupport", "Support Experience"),
+    ("OnlineSecurity", "Product Value"),
+    ("DeviceProtection", "Product Value"),
+    ("InternetService", "Product Value"),
+    ("Streaming", "Product Usage"),
+    ("tenure", "Tenure & Lifecycle"),
+    ("Tenure", "Tenure & Lifecycle"),
+    ("MultipleLines", "Plan Structure"),
+)
+OTHER_BUCKET = "Other"
+
+ACTION_RULES = (
+    ("Contract = Month-to-month", "Offer 12-month contract incentive"),
+    ("PaymentMethod = Electronic check", "Nudge to autopay + small credit"),
+    ("InternetService = Fiber optic", "Proactive service quality check"),
+    ("TechSupport = No", "Offer support onboarding / free month support"),
+    ("OnlineSecurity = No", "Bundle security add-on trial"),
+    ("MonthlyCharges", "Offer targeted discount / plan optimization"),
+    ("TotalCharges", "Offer plan reprice / discount review"),
+    ("tenure", "New customer onboarding campaign"),
+)
+DEFAULT_ACTION = "Review account for retention offer"
+
+# recommended action (lower-cased substring) -> offer type, first hit wins
+OFFER_RULES = (
+    (("contract",), "contract_incentive"),
+    (("autopay",), "autopay_nudge"),
+    (("support",), "support_intervention"),
+    (("service", "quality"), "service_quality_check"),
+)
+DEFAULT_OFFER = "discount_offer"
+LOW_VALUE_GATED = ("contract_incentive", "discount_offer")
+LOW_VALUE_OFFER = "support_intervention"
+OFFER_COSTS = {
+    "discount_offer": 40.0,
+    "contract_incentive": 60.0,
+    "support_intervention": 15.0,
+    "service_quality_check": 10.0,
+    "autopay_nudge": 5.0,
+}
+Feature = namedtuple("Feature", "name kind width", defaults=("cat", 1.0))
+FEATURES = (
+    Feature("InternetService"), Feature("PhoneService"), Feature("MultipleLines"),
+    Feature("OnlineSecurity"), Feature("OnlineBackup"), Feature("DeviceProtection"),
+    Feature("TechSupport"), Feature("StreamingTV"), Feature("StreamingMovies"), Feature("Partner"),
+    Feature("Dependents"), Feature("Contract"), Feature("PaymentMethod"), Feature("Tenure_Bucket"),
+    Feature("Payment_Simple"),
+    Feature("tenure", "num", 12.0), Feature("MonthlyCharges", "num", 20.0),
+    Feature("TotalCharges", "num", 500.0), Feature("Service_Count", "num", 1.0),
+    Feature("Avg_Historical_Charge", "num", 20.0),
+)
+# -----------------------------------------------------------------------------------------
+
 LABELS = (("c", "Churn_Target"), ("30", "y_30d"), ("60", "y_60d"), ("90", "y_90d"))
 RISK = {"c": "churn_prob", "30": "risk_30d", "60": "risk_60d", "90": "risk_90d"}
 
@@ -37,7 +97,7 @@ def _fname(f, value_sql: str) -> str:
 
 
 _feat_parts = []
-for i, f in enumerate(DEFAULT_FEATURES):
+for i, f in enumerate(FEATURES):
     v = _value(f)
     _feat_parts.append(
         f"SELECT customerID, is_test, Churn_Target, y_30d, y_60d, y_90d, {i} AS fpos, "
@@ -82,24 +142,24 @@ _probs = ", ".join(
 
 def clean_name(x: str) -> str:
     n = f"trim(replace(replace({x}, 'num__', ''), 'cat__', ''))"
-    names = ", ".join(q(s) for s in R.NO_SPLIT_NAMES)
+    names = ", ".join(q(s) for s in NO_SPLIT_NAMES)
     return (f"CASE WHEN {n} IN ({names}) THEN {n} "
             f"WHEN strpos({n}, '_') > 0 THEN trim(split_part({n}, '_', 1) || ' = ' || "
             f"substr({n}, strpos({n}, '_') + 1)) ELSE {n} END")
 
 
 def bucket(x: str) -> str:
-    whens = " ".join(f"WHEN contains({x}, {q(k)}) THEN {q(b)}" for k, b in R.BUCKET_RULES)
-    return f"CASE WHEN {x} IS NULL OR trim({x}) = '' THEN '' {whens} ELSE {q(R.OTHER_BUCKET)} END"
+    whens = " ".join(f"WHEN contains({x}, {q(k)}) THEN {q(b)}" for k, b in BUCKET_RULES)
+    return f"CASE WHEN {x} IS NULL OR trim({x}) = '' THEN '' {whens} ELSE {q(OTHER_BUCKET)} END"
 
 
 def action_match(x: str) -> str:
-    whens = " ".join(f"WHEN contains({x}, {q(k)}) THEN {q(a)}" for k, a in R.ACTION_RULES)
+    whens = " ".join(f"WHEN contains({x}, {q(k)}) THEN {q(a)}" for k, a in ACTION_RULES)
     return f"CASE {whens} END"
 
 
 def action(rs) -> str:
-    return "coalesce(" + ", ".join(action_match(r) for r in rs) + f", {q(R.DEFAULT_ACTION)})"
+    return "coalesce(" + ", ".join(action_match(r) for r in rs) + f", {q(DEFAULT_ACTION)})"
 
 
 _rc = ", ".join(
@@ -112,13 +172,13 @@ _rc = ", ".join(
 def offer(action_sql: str, seg_sql: str) -> str:
     a = f"lower(coalesce({action_sql}, ''))"
     whens = []
-    for keys, name in R.OFFER_RULES:
+    for keys, name in OFFER_RULES:
         cond = " OR ".join(f"contains({a}, {q(k)})" for k in keys)
         whens.append(f"WHEN {cond} THEN {q(name)}")
-    o = f"(CASE {' '.join(whens)} ELSE {q(R.DEFAULT_OFFER)} END)"
-    gated = ", ".join(q(x) for x in R.LOW_VALUE_GATED)
+    o = f"(CASE {' '.join(whens)} ELSE {q(DEFAULT_OFFER)} END)"
+    gated = ", ".join(q(x) for x in LOW_VALUE_GATED)
     return (f"CASE WHEN coalesce({seg_sql}, 'mid') = 'low' AND {o} IN ({gated}) "
-            f"THEN {q(R.LOW_VALUE_OFFER)} ELSE {o} END")
+            f"THEN {q(LOW_VALUE_OFFER)} ELSE {o} END")
 
 
 def cost(x: str, costs=OFFER_COSTS) -> str:

@@ -17,6 +17,8 @@ from ..functions import cleaning as C
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
                  T.FloatType, T.DoubleType, T.DecimalType)
 LEAK_COLUMNS = ("Churn", "Churn_Target", "days_to_churn", "y_30d", "y_60d", "y_90d")
+# columns of a labelled table that are no model input
+MODEL_EXCLUDE = ("customerID", "is_test") + LEAK_COLUMNS
 
 
 def basic_clean(df: DataFrame, case_sensitive: bool = False) -> DataFrame:

@@ -1,8 +1,6 @@
 """Distributed gradient-boosted churn models.
 
-Encoding (G2): numeric inputs imputed with their median (exact up to a
-row limit, approximate above it; computed by one aggregate), categorical
-inputs with NULL as its own category 'nan' -> StringIndexer(keep) ->
+Encoding (G2): numeric inputs imputed with their median (exact at every size), categorical inputs with NULL as its own category 'nan' -> StringIndexer(keep) ->
 OneHotEncoder(dropLast): the extra 'unseen' index is the dropped last
 slot, so an unseen category encodes to all zeros. Classifier (G3):
 MLlib GBT with a class weight column (pos_weight for churners).
@@ -19,12 +17,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import LEAK_COLUMNS, split_by_dtype
+from .features import MODEL_EXCLUDE, split_by_dtype
 from .profile import medians
 
 # xgboost-like defaults (100 trees, depth 6, learning rate 0.3)
 GBT_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.3, seed=42, maxBins=64)
-EXCLUDE = ("customerID", "is_test") + LEAK_COLUMNS
+EXCLUDE = MODEL_EXCLUDE
 
 
 @dataclass

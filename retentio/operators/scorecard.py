@@ -17,9 +17,11 @@ in the same pass. Per (feature, value) and label:
 For an additive model `woe - mean` is the exact Shapley value against the
 training distribution, so reason codes are exact, not sampled.
 
-Scoring is one narrow stage: each feature's weights are a lookup table,
-broadcast when its row count is under the limit (checked from the fitted
-model), else joined through a salted shuffle.
+The inputs are all text and numeric columns of the table. Scoring is one
+narrow stage: a small model's weights are literal maps in the expression;
+a larger one's are lookup tables, one per feature, broadcast when its row
+count is under the limit (known from the fitted model), else joined through
+a salted shuffle. The results are the same.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.lookup import MAX_BROADCAST_ROWS, lookup_join
+from .features import MODEL_EXCLUDE, split_by_dtype
 
 
 @dataclass(frozen=True)
@@ -52,14 +55,19 @@ class Feature:
         return F.concat(F.lit(f"cat__{self.name}_"), value)
 
 
-DEFAULT_FEATURES = (
-    Feature("Contract"), Feature("PaymentMethod"), Feature("InternetService"),
-    Feature("TechSupport"), Feature("OnlineSecurity"), Feature("StreamingTV"),
-    Feature("Tenure_Bucket"), Feature("Payment_Simple"),
-    Feature("tenure", "num", 12), Feature("MonthlyCharges", "num", 20),
-    Feature("TotalCharges", "num", 500), Feature("Avg_Historical_Charge", "num", 20),
-    Feature("Service_Count", "num", 1),
-)
+#: bin width of a numeric input; 1 for any other
+BIN_WIDTHS = {"tenure": 12.0, "MonthlyCharges": 20.0, "TotalCharges": 500.0,
+              "Avg_Historical_Charge": 20.0}
+#: up to this many weights in all are literals of the scoring expression
+MAX_LITERAL_VALUES = 2_000
+
+
+def features_by_dtype(df: DataFrame, exclude=MODEL_EXCLUDE, widths=BIN_WIDTHS) -> tuple[Feature, ...]:
+    """Every model input of a table: text and boolean columns as categories,
+    then numeric columns in bins; keys, split flag and labels are left out."""
+    num, cat = split_by_dtype(df, exclude)
+    return (tuple(Feature(c) for c in cat)
+            + tuple(Feature(c, "num", widths.get(c, 1.0)) for c in num))
 
 
 def _ln(x: Column) -> Column:
@@ -81,15 +89,17 @@ class Scorecard:
         """Adds one probability column per label (`outputs` maps label ->
         column name) and, optionally, an array<struct<name, contrib>> for
         `contrib_label` ordered as the features."""
-        out = df
-        for i, f in enumerate(self.features):
-            out = out.withColumn(f"_fv{i}", f.value())
-            small = (self.table.filter(F.col("feature") == f.name)
-                     .select(F.col("value").alias(f"_fv{i}"),
-                             *[F.col(f"c_{l}").alias(f"_c{i}_{l}") for l in self.labels]))
-            out = lookup_join(out, small, f"_fv{i}", "left",
-                              max_broadcast_rows=self.max_broadcast_rows,
-                              small_rows=self.sizes.get(f.name, 0))
+        out = df.withColumns({f"_fv{i}": f.value() for i, f in enumerate(self.features)})
+        if sum(self.sizes.values()) <= min(MAX_LITERAL_VALUES, self.max_broadcast_rows):
+            out = out.withColumns(self._literal_weights())
+        else:
+            for i, f in enumerate(self.features):
+                small = (self.table.filter(F.col("feature") == f.name)
+                         .select(F.col("value").alias(f"_fv{i}"),
+                                 *[F.col(f"c_{l}").alias(f"_c{i}_{l}") for l in self.labels]))
+                out = lookup_join(out, small, f"_fv{i}", "left",
+                                  max_broadcast_rows=self.max_broadcast_rows,
+                                  small_rows=self.sizes.get(f.name, 0))
 
         def contrib(i: int, f: Feature, label: str) -> Column:
             return F.coalesce(F.col(f"_c{i}_{label}"), F.lit(self.defaults[(f.name, label)]))
@@ -111,11 +121,27 @@ class Scorecard:
         return out.drop(*helpers)
 
 
-def fit_scorecard(train: DataFrame, labels, features=DEFAULT_FEATURES,
+    def _literal_weights(self) -> dict[str, Column]:
+        """The weight columns as look-ups in literal maps: no join. Reads the
+        model table once (at most MAX_LITERAL_VALUES rows)."""
+        entries: dict[str, list] = {f.name: [] for f in self.features}
+        for r in self.table.select("feature", "value", *[f"c_{l}" for l in self.labels]).collect():
+            entries[r["feature"]].append(r)
+        out = {}
+        for i, f in enumerate(self.features):
+            rows = sorted(entries[f.name], key=lambda r: r["value"])
+            for l in self.labels:
+                pairs = [F.lit(x) for r in rows for x in (r["value"], r[f"c_{l}"])]
+                out[f"_c{i}_{l}"] = (F.try_element_at(F.create_map(*pairs), F.col(f"_fv{i}"))
+                                     if pairs else F.lit(None).cast("double"))
+        return out
+
+
+def fit_scorecard(train: DataFrame, labels, features=None,
                   max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                   materialize: bool = True) -> Scorecard:
     labels = tuple(labels)
-    features = tuple(features)
+    features = features_by_dtype(train) if features is None else tuple(features)
     pairs = F.array(*[F.struct(F.lit(f.name).alias("feature"), f.value().alias("value"))
                       for f in features])
     long = (train.select(*[F.coalesce(F.col(l).cast("int"), F.lit(0)).alias(l) for l in labels],

@@ -15,7 +15,7 @@ from ..operators import features as B
 from ..operators import labels as L
 from ..operators import split as S
 from ..operators import value as V
-from ..operators.scorecard import DEFAULT_FEATURES, Scorecard, fit_scorecard
+from ..operators.scorecard import Scorecard, fit_scorecard
 
 CHURN_LABEL = "Churn_Target"
 WINDOW_LABELS = tuple(f"y_{w}d" for w in RISK_WINDOWS)
@@ -33,7 +33,7 @@ def labeled(raw: DataFrame, profile: str = "v2", test_size: float = 0.2, seed: i
     return S.with_split(eng, "customerID", test_size, seed)
 
 
-def fit_models(lab: DataFrame, features=DEFAULT_FEATURES) -> Scorecard:
+def fit_models(lab: DataFrame, features=None) -> Scorecard:
     """Churn model and the three horizon models in one aggregation pass."""
     labels = [CHURN_LABEL] + [l for l in WINDOW_LABELS if l in lab.columns]
     return fit_scorecard(lab.filter(~F.col("is_test")), labels, features)
