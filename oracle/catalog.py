@@ -522,3 +522,21 @@ SELECT fname AS feature,
   {r('sum(abs(c_c)) / (SELECT count(*) FROM scores)', 'mean_abs_contribution')}
 FROM contrib WHERE is_test GROUP BY fname
 ORDER BY sum(abs(c_c)) / (SELECT count(*) FROM scores) DESC, fname LIMIT 20""", "contrib", "scores")
+
+_RULE_NAMES = (
+    "cat__Contract_Month-to-month", "cat__Contract_Two year", "cat__PaymentMethod_Electronic check",
+    "cat__PaymentMethod_Mailed check", "num__MonthlyCharges", "num__TotalCharges",
+    "num__Avg_Historical_Charge", "cat__TechSupport_No", "cat__TechSupport_Yes",
+    "cat__OnlineSecurity_No", "cat__DeviceProtection_Yes", "cat__InternetService_Fiber optic",
+    "cat__StreamingTV_Yes", "num__tenure", "cat__Tenure_Bucket_0-1y", "cat__MultipleLines_Yes",
+    "cat__Partner_Yes", "num__Service_Count", "",
+)
+oracle("rule_chains", f"""
+SELECT *, {M.cost('offer')} AS offer_cost
+FROM (SELECT *, {M.offer('action', 'value_segment')} AS offer
+FROM (SELECT *, {M.bucket('reason')} AS bucket, {M.action(['reason'])} AS action
+FROM (SELECT *, {M.clean_name('name')} AS reason
+FROM (SELECT CAST(c_custkey AS VARCHAR) AS customerID,
+  list_extract([{', '.join(map(M.q, _RULE_NAMES))}], CAST(c_custkey % 19 AS INTEGER) + 1) AS name,
+  list_extract(['low', 'mid', 'high'], CAST((c_custkey // 19) % 3 AS INTEGER) + 1) AS value_segment
+FROM customer))))""")

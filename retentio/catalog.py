@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .config import LiveParams
+from .config import OFFER_COSTS, LiveParams
+from .functions import rules as R
 from .operators import evaluate as Ev
 from .operators import explain as X
 from .operators import features as B
@@ -605,6 +606,34 @@ def q_gbt_windows(spark, sf):
     return out.select("customerID", "risk_30d", "risk_60d", "risk_90d")
 
 
+# encoded names that reach every bucket, action and offer rule
+RULE_NAMES = (
+    "cat__Contract_Month-to-month", "cat__Contract_Two year", "cat__PaymentMethod_Electronic check",
+    "cat__PaymentMethod_Mailed check", "num__MonthlyCharges", "num__TotalCharges",
+    "num__Avg_Historical_Charge", "cat__TechSupport_No", "cat__TechSupport_Yes",
+    "cat__OnlineSecurity_No", "cat__DeviceProtection_Yes", "cat__InternetService_Fiber optic",
+    "cat__StreamingTV_Yes", "num__tenure", "cat__Tenure_Bucket_0-1y", "cat__MultipleLines_Yes",
+    "cat__Partner_Yes", "num__Service_Count", "",
+)
+
+
+@query("rule_chains")
+def q_rule_chains(spark, sf):
+    """Every rule, one name and value segment per customer."""
+    n = len(RULE_NAMES)
+    key = F.col("c_custkey")
+    rows = spark.read.parquet(f"{sf.rstrip('/')}/customer.parquet").select(
+        key.cast("string").alias("customerID"),
+        F.get(F.array(*map(F.lit, RULE_NAMES)), (key % n).cast("int")).alias("name"),
+        F.get(F.array(F.lit("low"), F.lit("mid"), F.lit("high")),
+              (F.floor(key / n) % 3).cast("int")).alias("value_segment"))
+    rows = rows.withColumn("reason", R.clean_feature_name(F.col("name")))
+    rows = rows.withColumns({"bucket": R.bucket_reason(F.col("reason")),
+                             "action": R.recommend_action([F.col("reason")])})
+    rows = rows.withColumn("offer", R.choose_intervention(F.col("action"), F.col("value_segment")))
+    return rows.withColumn("offer_cost", R.offer_cost(F.col("offer"), OFFER_COSTS))
+
+
 # ---- sources and sinks (round trips through the shared folder) ------------------------
 
 

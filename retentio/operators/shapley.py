@@ -9,10 +9,17 @@ chain the contributions add up exactly to margin(x) - margin(z); averaged
 over permutations they estimate the Shapley values in log-odds, the unit
 of the tree explainer upstream.
 
-Work is cohort x permutations x (F + 1) scored rows, partitioned like any
-other scoring job. Permutations and background picks come from hashes of
-(seed, key, m), so a recomputed task builds the same chains. The background
-sample is a bounded, deterministic set of rows (smallest hashes), broadcast.
+Each scored row adds its margin to the feature just switched and takes it
+from the next one, so a chain's contributions are sums of two signed rows:
+plain aggregation, no window. The rows of a key share a partition from
+before the chains are unrolled, so both aggregations need no further shuffle.
+
+The background rows of a chain come from the whole training set: rows get
+positions 0..n-1 and each chain joins the position its hash names (spread
+evenly, so no hot key). Work is cohort x permutations x (F + 1) scored rows.
+Permutations and picks are hashes of (seed, key, m), so a recomputed task
+builds the same chains. `permutations` sets the precision; `std_error` is
+the standard error of each contribution over its chains (NULL for one).
 """
 
 from __future__ import annotations
@@ -20,14 +27,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.prefix import position_in_group
 from .models import ChurnModel
 
-BACKGROUND_ROWS = 64
+#: chains per row: more give a smaller standard error
 PERMUTATIONS = 8
 EPS = 1e-12
 
 
-def background_sample(df: DataFrame, cols, n: int = BACKGROUND_ROWS, key: str = "customerID",
+def background_sample(df: DataFrame, cols, n: int, key: str = "customerID",
                       seed: int = 42) -> DataFrame:
     """n rows with the smallest hash of (seed, key): a per-task top-n and a
     merge of n rows per task; `_b` numbers them 0..n-1 (window over n rows)."""
@@ -38,22 +46,25 @@ def background_sample(df: DataFrame, cols, n: int = BACKGROUND_ROWS, key: str =
 
 def sampled_shapley(model: ChurnModel, cohort: DataFrame, background: DataFrame,
                     permutations: int = PERMUTATIONS, key: str = "customerID",
-                    seed: int = 42, background_rows: int = BACKGROUND_ROWS) -> DataFrame:
-    """Long table (key, feature, contribution) with encoded feature names
-    (`num__col`, `cat__col_value`)."""
+                    seed: int = 42, background_rows: int | None = None) -> DataFrame:
+    """Long table (key, feature, contribution, std_error) with encoded feature
+    names (`num__col`, `cat__col_value`). `background_rows` draws from that
+    many rows only; None: from all of them."""
     feats = list(model.numeric) + list(model.categorical)
     nf = len(feats)
-    bg = background_sample(background, feats, background_rows, key, seed)
+    if background_rows is None:
+        bg = position_in_group(background.select(key, *feats), [], [F.col(key)], "_b")
+    else:
+        bg = F.broadcast(background_sample(background, feats, background_rows, key, seed))
+    n_bg = max(bg.count(), 1)
     bg = bg.select("_b", *[F.col(f).alias(f"_z{j}") for j, f in enumerate(feats)])
-    n_bg = max(bg.count(), 1)          # <= background_rows (bounded)
 
     x = cohort.select(key, *feats)
     x = x.select(key, *[F.col(f).alias(f"_x{j}") for j, f in enumerate(feats)])
     chains = x.withColumn("_m", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
     chains = chains.withColumn("_b", F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("_m")),
-                                            F.lit(n_bg)).cast("int"))
-    # bounded background (<= n rows): broadcast
-    chains = chains.join(F.broadcast(bg), "_b", "inner")
+                                            F.lit(n_bg)))
+    chains = chains.join(bg, "_b", "inner").repartition(key)
     order = F.transform(
         F.sort_array(F.array(*[F.struct(F.xxhash64(F.lit(seed), F.col(key), F.col("_m"), F.lit(j)).alias("h"),
                                         F.lit(j).alias("j")) for j in range(nf)])),
@@ -66,17 +77,19 @@ def sampled_shapley(model: ChurnModel, cohort: DataFrame, background: DataFrame,
     scored = model.transform(steps, "_p")
     p = F.least(F.greatest(F.col("_p"), F.lit(EPS)), F.lit(1 - EPS))
     scored = scored.withColumn("_margin", F.log(p / (1 - p)))
-    w = Window.partitionBy(key, "_m").orderBy("_k")
-    diffs = (scored.withColumn("_d", F.col("_margin") - F.lag("_margin").over(w))
-             .filter(F.col("_k") >= 1)
-             .withColumn("_j", F.get(F.col("_order"), F.col("_k") - 1)))
+    switched = F.struct(F.get("_order", F.col("_k") - 1).alias("j"), F.col("_margin").alias("d"))
+    following = F.struct(F.get("_order", F.col("_k")).alias("j"), (-F.col("_margin")).alias("d"))
+    signed = (scored.withColumn("_s", F.explode(F.array(switched, following)))
+              .withColumn("_j", F.col("_s.j")).filter(F.col("_j").isNotNull()))
     name = None
     for j, f in enumerate(feats):
         nm = (F.lit(f"num__{f}") if f in model.numeric
               else F.concat(F.lit(f"cat__{f}_"), F.coalesce(F.col(f"_x{j}").cast("string"), F.lit("nan"))))
         name = F.when(F.col("_j") == j, nm) if name is None else name.when(F.col("_j") == j, nm)
-    return (diffs.groupBy(key, name.alias("feature"))
-            .agg(F.avg("_d").alias("contribution")))
+    steps = signed.groupBy(key, "_m", name.alias("feature")).agg(F.sum("_s.d").alias("_d"))
+    return steps.groupBy(key, "feature").agg(
+        F.avg("_d").alias("contribution"),
+        (F.stddev_samp("_d") / F.sqrt(F.count("_d"))).alias("std_error"))
 
 
 def contribution_arrays(long: DataFrame, key: str = "customerID") -> DataFrame:

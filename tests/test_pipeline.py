@@ -222,3 +222,43 @@ def test_sampled_shapley_is_deterministic(spark):
         return sorted((r[0], r[1], round(r[2], 12)) for r in long.collect())
 
     assert run() == run()
+
+
+def test_sampled_shapley_draws_from_all_training_rows(spark):
+    """Without a limit each chain joins one position of the whole training
+    set, and a customer's contributions add up to the mean over its chains."""
+    import math
+    from retentio.operators import models as ML
+    from retentio.operators import shapley as SH
+    lab = J.labeled(fixture.subscribers(spark, SF_SMALL))
+    train, test = lab.filter(~F.col("is_test")), lab.filter(F.col("is_test"))
+    m = ML.fit_churn_model(train, params=dict(maxIter=3, maxDepth=3))
+    long = SH.sampled_shapley(m, test, train, permutations=3)
+    sums = {r[0]: r[1] for r in long.groupBy("customerID").agg(F.sum("contribution")).collect()}
+    assert long.filter("std_error IS NULL OR std_error < 0").count() == 0
+    margin = lambda p: math.log(min(max(p, 1e-12), 1 - 1e-12) / (1 - min(max(p, 1e-12), 1 - 1e-12)))
+    p_of = lambda df: {r[0]: margin(r[1]) for r in m.transform(df).select("customerID", "churn_prob").collect()}
+    px, pz = p_of(test), p_of(train)
+    order = [r[0] for r in train.select("customerID").orderBy("customerID").collect()]
+    picks = (test.select("customerID", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("_m"))
+             .withColumn("_b", F.pmod(F.xxhash64(F.lit(42), "customerID", "_m"), F.lit(len(order)))).collect())
+    want = {}
+    for r in picks:
+        want.setdefault(r["customerID"], []).append(px[r["customerID"]] - pz[order[r["_b"]]])
+    assert sums.keys() == want.keys()
+    for key, values in want.items():
+        assert sums[key] == pytest.approx(sum(values) / len(values), abs=1e-9)
+
+
+def test_scorecard_lookup_paths_agree(spark, monkeypatch):
+    """Literal weights and broadcast look-ups give the same scores."""
+    from retentio.operators import scorecard as SC
+    lab = J.labeled(fixture.subscribers(spark, SF_SMALL))
+    model = J.fit_models(lab)
+    assert len(model.features) == 20
+    read = lambda: {r[0]: r[1] for r in J.scored(lab, model).select("customerID", "churn_prob").collect()}
+    literal = read()
+    monkeypatch.setattr(SC, "MAX_LITERAL_VALUES", 0)
+    joined = read()
+    assert literal.keys() == joined.keys()
+    assert all(literal[k] == pytest.approx(joined[k], abs=1e-12) for k in literal)
