@@ -17,7 +17,8 @@ Defined cases: a null text counts as empty; a text without words has the
 fingerprint zero and links like any other; rows that repeat a doc_id share
 its component if their texts do; null ids take the component of their
 fingerprint and never name one (a component of null ids alone has a null
-id); an empty table gives an empty table.
+id, and a doc_id on unlinked texts names several: `label`, the smallest
+fingerprint, tells components apart); an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -109,8 +110,9 @@ def links(prints: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> DataFram
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
                     blocks: int = BLOCKS, text: str = "text") -> DataFrame:
-    """doc_id, _k1, _k2, fp, component_id, n_links: one row per row of
-    `docs`; n_links counts the different fingerprints linked to its own."""
+    """doc_id, _k1, _k2, fp, label, component_id, n_links: one row per row
+    of `docs`; label (smallest fingerprint) is unique to its component,
+    n_links counts the different fingerprints linked to its own."""
     bounded_batches(docs.sparkSession)
     prints = materialize(
         docs.select("doc_id", *row_key(F.col("doc_id"), F.col(f"`{text}`")),
@@ -122,10 +124,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
     label = connected_components(pairs).withColumnRenamed("node", "fp")
     joined = nodes.join(label, "fp", "inner").join(degree, "fp")
     least = joined.groupBy("label").agg(F.min("first").alias("component_id"))
-    linked = joined.join(least, "label").select("fp", "component_id", "n_links")
+    linked = joined.join(least, "label").select("fp", "label", "component_id", "n_links")
     # written, so that the join reads a table and AQE can split a hot print
     known = materialize(nodes.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first").alias("component_id"),
+        "fp", F.coalesce("label", "fp").alias("label"),
+        F.when(F.col("label").isNull(), F.col("first")).otherwise(F.col("component_id"))
+        .alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "simhash_components")
     return prints.join(known, "fp")
 
@@ -135,7 +139,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS,
     """One row of each component of `docs`: the one with the smallest
     doc_id (null ids last, ties by row hash; of equal rows any one)."""
     found = near_duplicates(docs, shingle, bits, blocks, text)
-    kept = found.groupBy("component_id").agg(F.min(F.struct(
+    kept = found.groupBy("label").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("n"), "doc_id", *KEY)).alias("m")).select("m._k1", "m._k2")
     # equal rows share the key: one of them stays
     once = Window.partitionBy(*KEY).orderBy(*KEY)

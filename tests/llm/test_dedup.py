@@ -118,6 +118,24 @@ def test_keep_one_edges(docs):
     assert len(only_null) == 1
 
 
+def test_keep_one_tells_components_apart(docs):
+    """Null ids and a doc_id on unlinked texts name no component alone."""
+    apart = ["alpha beta gamma delta", "one two three four five", "red green blue"]
+    rows = [*[(None, t) for t in apart], (None, apart[0]), (4, "he said so to her"),
+            (4, "rain fell on the town"), (4, "rain fell on the town"), (3, "red green blue")]
+    assert len({brute_print(t) for _, t in rows}) == 5
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(docs(rows)).collect()),
+                 key=str)
+    assert got == sorted([(None, apart[0]), (None, apart[1]), (3, apart[2]),
+                          (4, "he said so to her"), (4, "rain fell on the town")], key=str)
+    # linked prints of null ids alone are one component, others stay apart
+    near = " ".join(f"w{i}" for i in range(80))
+    pair = [(None, near), (None, near + " w80"), (None, "far away")]
+    a, b, c = (brute_print(t) for _, t in pair)
+    assert 0 < (a ^ b).bit_count() <= simhash.BITS < (a ^ c).bit_count()
+    assert len(simhash.keep_one(docs(pair)).collect()) == 2
+
+
 def test_chain_of_links(spark):
     from retentio.llm.components import connected_components
     chain = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101)]
