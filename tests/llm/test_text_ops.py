@@ -1,5 +1,6 @@
 """Operators 5, 6, 8, 9, 10 and the pipeline."""
 
+import random
 import re
 from collections import Counter
 
@@ -147,6 +148,30 @@ def test_matches_equal_brute_force(spark, docs):
     assert decontaminate.decontaminate(docs(rows), df.limit(0)).count() == len(rows)
 
 
+def cut_passage(seed):
+    """An item, and prose that holds it without its first words: as many
+    are cut as similarity 0.8 allows."""
+    r = random.Random(seed)
+    size = r.randint(14, 40)
+    item = [f"w{r.randrange(1000)}" for _ in range(size)]
+    cut = next(c for c in range(size - 5, 0, -1) if size - 4 - c >= 0.8 * (size - 4 + c))
+    before, after = ([f"p{r.randrange(1000)}" for _ in range(30)] for _ in range(2))
+    return " ".join(item), " ".join(before + item[cut:] + after)
+
+
+def test_passages_cut_to_the_bound_equal_brute_force(spark, docs):
+    """The first seeds' windows are 16 to 18 bits from their items."""
+    seeds = [3006, 2473, 1700, 3940, 3863, 2989, *range(30)]
+    cuts = [cut_passage(s) for s in seeds]
+    bench = [(i, x) for i, (x, _) in enumerate(cuts)]
+    rows = [(i, t) for i, (_, t) in enumerate(cuts)]
+    want = brute_matches(rows, bench)
+    assert want >= {(i, i) for i in range(len(seeds))}
+    got = decontaminate.contamination_query(
+        docs(rows), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+
+
 # -- operator 10 -----------------------------------------------------------
 def test_url_edges(spark):
     urls = ["http://WWW.Example.com/en/a?b#c", "https://m.example.com/en/", "http://a.com",
