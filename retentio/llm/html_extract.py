@@ -61,8 +61,8 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)"
                     r"((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*"
-                        r"(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+#: a whole attribute: name, and a value if there is one
+_ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _SPACE = re.compile(r"\s+")
 
@@ -72,11 +72,22 @@ def _names(value: str) -> set[str]:
     return {w.lower() for w in _NAME_PART.findall(value)} | {w.lower() for w in value.split()}
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    """Value by name, read from left to right; of a repeated name the first
+    counts, as in browsers."""
+    found = {}
+    for name, value in _ATTRIBUTE.findall(raw):
+        if value[:1] in ("'", '"') and value[-1:] == value[0]:
+            value = value[1:-1]
+        found.setdefault(name.lower(), value)
+    return found
+
+
 def _role(tag: str, attributes: str, in_article: bool) -> str:
     """What an element says of its content: skip, bad, top, good or nothing."""
     if tag in SKIPPED:
         return "skip"
-    found = {m[0].lower(): m[1].strip("\"'") for m in _ATTRIBUTE.findall(attributes)}
+    found = _attributes(attributes)
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" \
             or "display:none" in found.get("style", "").replace(" ", "").lower():
         return "skip"

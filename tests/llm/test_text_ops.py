@@ -90,6 +90,25 @@ def test_article_text_of_other_page_forms(spark):
     assert html_extract.html_query(df.limit(0)).count() == 0
 
 
+def test_names_inside_other_attributes_do_not_hide(spark):
+    """`hidden`, id, role and style count as whole attribute names only."""
+    long = "The river rose again in the night and the lower road was closed by morning."
+    seen = ["href='/hidden-valley/'", 'title="The hidden lake"', "data-state='not hidden'",
+            'data-hidden="false"', "data-id=footer", "data-role='navigation'",
+            "title='my role=navigation'", 'data-style="display:none"', "title=a/hidden",
+            "class='x' data-class='ad'"]
+    gone = ["hidden", "HIDDEN=''", "title='a'hidden", "aria-hidden=true", "id=menu",
+            "style='display: none'", "data-role=x role='navigation'"]
+    pages = [(i, f"<article><p>{long}</p><section {a}><p>{long} <a {a}>It's here</a>.</p></section>"
+              f"<p>{long}</p></article>") for i, a in enumerate(seen + gone)]
+    got = {r["page_id"]: r["main_text"] for r in html_extract.extract(
+        spark.createDataFrame(pages, "page_id long, html string")).collect()}
+    full = f"{long}\n{long} It's here.\n{long}"
+    assert {a: got[i] for i, a in enumerate(seen)} == dict.fromkeys(seen, full)
+    assert {a: got[len(seen) + i] for i, a in enumerate(gone)} == dict.fromkeys(
+        gone, f"{long}\n{long}")
+
+
 def test_labelled_table_is_learned(spark):
     tree = html_extract.fit(spark)
     rows = html_extract.labelled_blocks(spark)
