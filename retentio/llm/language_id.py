@@ -7,10 +7,10 @@ text. Votes decide; ties go to the larger sum of margins. The score is the
 product of the two steps' mean logistic margins (0 to 1).
 
 The machines are fitted on a sample of the labelled rows: about
-SAMPLE_PER_LANGUAGE rows of each language, chosen by a hash of doc_id, and
-at most LANGUAGES languages (the most frequent). Training rows are those
-whose crc32(doc_id as text) mod 4 is not 2 and whose lang and text are not
-null. Only the text is an input of a prediction.
+SAMPLE_PER_LANGUAGE rows of each language, chosen by a hash of doc_id; every
+lang value is a class, so machines grow with the square of the families.
+Training rows are those whose crc32(doc_id as text) mod 4 is not 2 and whose
+lang and text are not null. Only the text is an input of a prediction.
 
 Defined cases: a text that is null or has no letter is `und` with score 0;
 with one known language every other text gets it with score 1; with no
@@ -34,7 +34,6 @@ from retentio.plans.tables import materialize
 from .common import bounded_batches
 
 SAMPLE_PER_LANGUAGE = 600
-LANGUAGES = 200
 FEATURES = 2048
 UNKNOWN = "und"
 
@@ -102,23 +101,20 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE,
-                    languages: int = LANGUAGES, text: str = "text",
-                    label: str = "lang") -> DataFrame:
+                    text: str = "text", label: str = "lang") -> DataFrame:
     """label, x: a bounded sample of the labelled rows. Each language is
     thinned by a hash to about `per_language` rows; a bound of twice the
     expected total holds whatever the ids are."""
     rows = docs.select("doc_id", F.col(f"`{text}`").alias("text"),
                        F.col(f"`{label}`").alias("label")).filter(
         F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
-    counts = (rows.groupBy("label").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "label").limit(languages).collect())
-    order = F.xxhash64("doc_id", "text")
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("label") == r["label"], per_language / r["n"]).otherwise(share)
-    chosen = (rows.withColumn("o", order)
+    # one row per language, as many as the model has classes
+    counts = materialize(rows.groupBy("label").agg(F.count("*").alias("n")), "language_counts")
+    share = F.lit(per_language) / F.col("n")
+    chosen = (rows.withColumn("o", F.xxhash64("doc_id", "text"))
+              .join(F.broadcast(counts), "label")
               .filter(F.pmod("o", F.lit(1 << 20)) < share * (1 << 20))
-              .orderBy("o", "label").limit(2 * per_language * max(1, len(counts))))
+              .orderBy("o", "label").limit(2 * per_language * max(1, counts.count())))
     return materialize(chosen.select("label", feature_column(F.col("text")).alias("x")), "language_sample")
 
 
@@ -162,10 +158,10 @@ class LanguageModel:
         return out
 
 
-def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, languages: int = LANGUAGES,
-        text: str = "text", label: str = "lang") -> LanguageModel:
+def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, text: str = "text",
+        label: str = "lang") -> LanguageModel:
     bounded_batches(docs.sparkSession)
-    sample = training_sample(docs, per_language, languages, text, label)
+    sample = training_sample(docs, per_language, text, label)
     known = sorted(r["label"] for r in sample.select("label").distinct().collect())
     family = F.create_map(*[F.lit(v) for x in known for v in (x, family_of(x))]) if known else None
     machines = {}

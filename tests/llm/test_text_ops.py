@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -65,6 +66,18 @@ def test_held_out_accuracy_and_edges(spark, docs):
     assert empty == []
 
 
+def test_every_language_is_sampled(spark):
+    """A frequent language is thinned; none is left out, however many."""
+    rows = [(i, f"word {i}", f"l{i % 230}") for i in range(230 * 6)]
+    rows += [(10_000 + i, f"more {i}", "l0") for i in range(2000)]
+    sample = language_id.training_sample(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=50)
+    got = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    known = {x for d, _, x in rows if zlib.crc32(str(d).encode()) % 4 != 2}
+    assert set(got) == known and len(known) > 200
+    assert 25 <= got["l0"] <= 100
+
+
 # -- operator 8 ------------------------------------------------------------
 def test_article_text_of_other_page_forms(spark):
     pages = [
