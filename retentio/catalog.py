@@ -586,11 +586,10 @@ def q_gbt_importance(spark, sf):
 
 @query("gbt_saved_model_scores")
 def q_gbt_saved(spark, sf):
-    """Save the pipeline to the shared folder, load it, score."""
-    m = gbt(spark, sf)
+    """Save the model to the shared folder, load it from there alone, score."""
     path = T_.scratch_path(spark, "gbt_model")
-    m.save(path)
-    loaded = ML.load_churn_model(path, m.numeric, m.categorical, m.fill, m.label)
+    gbt(spark, sf).save(path)
+    loaded = ML.load_churn_model(path)
     test = labeled(spark, sf).filter(F.col("is_test"))
     return loaded.transform(test).select("customerID", "churn_prob")
 

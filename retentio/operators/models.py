@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .features import MODEL_EXCLUDE, split_by_dtype
@@ -23,6 +23,11 @@ from .profile import medians
 # xgboost-like defaults (100 trees, depth 6, learning rate 0.3)
 GBT_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.3, seed=42, maxBins=64)
 EXCLUDE = MODEL_EXCLUDE
+INPUTS = "numeric array<string>, categorical array<string>, fill map<string,double>, label string"
+
+
+def _part(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}/{name}"
 
 
 @dataclass
@@ -63,8 +68,13 @@ class ChurnModel:
         return spark.createDataFrame(rows, "feature string, importance double")
 
     def save(self, path: str) -> None:
-        """A9."""
-        self.pipeline.write().overwrite().save(path)
+        """The pipeline and, beside it, what `prepare` needs."""
+        self.pipeline.write().overwrite().save(_part(path, "pipeline"))
+        spark = SparkSession.getActiveSession()
+        inputs = spark.createDataFrame(
+            [(self.numeric, self.categorical, {k: float(v) for k, v in self.fill.items()},
+              self.label)], INPUTS)
+        inputs.coalesce(1).write.mode("overwrite").parquet(_part(path, "inputs"))
 
 
 def fit_churn_model(train: DataFrame, label: str = "Churn_Target", params: dict | None = None,
@@ -95,9 +105,12 @@ def fit_churn_model(train: DataFrame, label: str = "Churn_Target", params: dict
     return model
 
 
-def load_churn_model(path: str, numeric, categorical, fill, label="Churn_Target") -> ChurnModel:
-    """A9."""
-    return ChurnModel(PipelineModel.load(path), list(numeric), list(categorical), dict(fill), label)
+def load_churn_model(path: str) -> ChurnModel:
+    """The model as saved; the folder alone is enough."""
+    pipeline = PipelineModel.load(_part(path, "pipeline"))
+    r = SparkSession.getActiveSession().read.parquet(_part(path, "inputs")).first()
+    return ChurnModel(pipeline, list(r["numeric"]), list(r["categorical"]), dict(r["fill"]),
+                      r["label"])
 
 
 def fit_window_models(train: DataFrame, windows=(30, 60, 90), params: dict | None = None) -> dict:

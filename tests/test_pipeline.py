@@ -262,3 +262,19 @@ def test_scorecard_lookup_paths_agree(spark, monkeypatch):
     joined = read()
     assert literal.keys() == joined.keys()
     assert all(literal[k] == pytest.approx(joined[k], abs=1e-12) for k in literal)
+
+
+def test_saved_model_loads_from_its_path_alone(spark, tmp_path):
+    """Columns, medians and label come with the saved model."""
+    from retentio.operators import models as ML
+    lab = J.labeled(fixture.subscribers(spark, SF_SMALL))
+    m = ML.fit_churn_model(lab.filter(~F.col("is_test")), "y_30d",
+                           params=dict(maxIter=2, maxDepth=2))
+    m.save(f"{tmp_path}/model/")
+    loaded = ML.load_churn_model(f"{tmp_path}/model")
+    assert (loaded.numeric, loaded.categorical, loaded.fill, loaded.label) == (
+        m.numeric, m.categorical, m.fill, "y_30d")
+    assert loaded.feature_names() == m.feature_names()
+    rows = [x.transform(lab).select("customerID", "churn_prob") for x in (m, loaded)]
+    assert sorted(rows[0].collect()) == sorted(rows[1].collect())
+    m.save(f"{tmp_path}/model")                 # overwrites
