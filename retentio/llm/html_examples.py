@@ -69,4 +69,15 @@ PAGES = [
     <h2>[[The frost</h2><p>[[{_LONG}</p><p>[[{_MID}</p><p>[[Gone.</p><p>[[{_LONG * 2}</p>
     <div><a href="/t">Terms</a></div><div>All rights reserved</div>
     <div><a href="/c">Contact</a></div>""",
+    # unwanted words as parts of the names around an article, and around the rest
+    f"""<body><div id="page" class="has-sidebar"><div class="site-nav"><p>Sections</p><p>{_MID}</p>
+    </div><div class="content with-sidebar"><h1>[[The ferry</h1>{_article(_LONG * 2, _MID, "No.",
+    _LONG)}</div><div class="page-footer"><p>{_MID}</p><p>{_LONG}</p></div></div>""",
+    f"""<body><div class="site-menu"><a href="/">Home</a></div><article
+    class="post category-social"><h1>[[The fair</h1>{_article(_MID, "It rained.", _LONG * 3, _LONG)}
+    </article><div class="site-cookie-bar"><p>{_LONG}</p><p>Accept</p></div>
+    <div class="our-newsletter"><p>{_MID}</p></div>""",
+    f"""<body><div class="wrap no-banner"><article class="tags-hidden">{_article(_LONG, _MID, "Gone.",
+    _LONG * 2)}</article><div class="user-comments"><p>{_LONG}</p><p>{_MID}</p><p>Nice.</p></div>
+    </div>""",
 ]

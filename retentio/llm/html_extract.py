@@ -32,7 +32,7 @@ from .common import bounded_batches
 from .html_examples import PAGES
 
 FEATURES = ["words", "link_density", "words_before", "density_before", "words_after",
-            "density_after", "unwanted", "in_article", "heading"]
+            "density_after", "unwanted", "in_article", "heading", "part_nearest", "part_above"]
 BLOCK = "struct<text:string,x:array<double>>"
 
 # HTML element names by the part they play.
@@ -72,6 +72,13 @@ def _names(value: str) -> set[str]:
     return {w.lower() for w in _NAME_PART.findall(value)} | {w.lower() for w in value.split()}
 
 
+def _all_unwanted(value: str) -> bool:
+    """A class or id of unwanted words alone: `cookie-notice`, not `with-sidebar`."""
+    return any(name.lower() in UNWANTED_WORDS or parts and parts <= UNWANTED_WORDS
+               for name, parts in ((name, {w.lower() for w in _NAME_PART.findall(name)})
+                                   for name in value.split()))
+
+
 def _attributes(raw: str) -> dict[str, str]:
     """Value by name, read from left to right; of a repeated name the first
     counts, as in browsers."""
@@ -84,7 +91,8 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def _role(tag: str, attributes: str, in_article: bool) -> str:
-    """What an element says of its content: skip, bad, top, good or nothing."""
+    """What an element says of its content: skip, bad, top, good, part (an
+    unwanted word is part of a name), both (and it is an article) or nothing."""
     if tag in SKIPPED:
         return "skip"
     found = _attributes(attributes)
@@ -96,25 +104,27 @@ def _role(tag: str, attributes: str, in_article: bool) -> str:
         return "bad"
     if tag in ("body", "html", "main"):
         return "good" if tag == "main" else ""
-    if names & UNWANTED_WORDS:
+    if _all_unwanted(found.get("class", "")) or _all_unwanted(found.get("id", "")):
         return "bad"
     if tag == "header" or "header" in names:
         return "" if in_article else "top"
+    part = names & UNWANTED_WORDS
     if tag == "article" or found.get("role", "").lower() in ("main", "article") \
             or names & ARTICLE_WORDS:
-        return "good"
-    return ""
+        return "both" if part else "good"
+    return "part" if part else ""
 
 
 class _Page:
     """Collects the flat blocks of one page."""
 
     def __init__(self):
-        self.blocks: list[list] = []       # text, link characters, unwanted, article, heading
+        # text, link characters, unwanted, article, heading, part nearest, part above
+        self.blocks: list[list] = []
         self.stack: list[tuple[str, str]] = []
         self.parts: list[str] = []
         self.linked = 0
-        self.bad = self.good = self.skip = self.links = self.heading = 0
+        self.bad = self.good = self.skip = self.links = self.heading = self.part = 0
 
     def text(self, raw: str) -> None:
         if self.skip or not raw:
@@ -129,12 +139,23 @@ class _Page:
             text = _SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
                 self.blocks.append([text, self.linked / max(1, len(text.replace(" ", ""))),
-                                    self.bad > 0, self.good > 0, self.heading > 0])
+                                    self.bad > 0, self.good > 0, self.heading > 0,
+                                    *self._parts()])
             self.parts, self.linked = [], 0
 
+    def _parts(self) -> tuple[bool, bool]:
+        """Is an unwanted word part of a name of the nearest element that says
+        anything; of one above it."""
+        if not self.part:
+            return False, False
+        nearest = next(role for _, role in reversed(self.stack) if role)
+        own = nearest in ("part", "both")
+        return own, self.part > own
+
     def _count(self, tag: str, role: str, step: int) -> None:
         self.bad += step * (role in ("bad", "top"))
-        self.good += step * (role == "good")
+        self.good += step * (role in ("good", "both"))
+        self.part += step * (role in ("part", "both"))
         self.skip += step * (role == "skip")
         self.links += step * (tag == "a")
         self.heading += step * (tag in HEADINGS)
@@ -148,7 +169,7 @@ class _Page:
         if tag in VOID or attributes.endswith("/") and tag in SKIPPED:
             return
         role = _role(tag, attributes, self.good > 0)
-        if tag in ("article", "main") and role == "good":
+        if tag in ("article", "main") and role in ("good", "both"):
             # an article does not stand in a menu or page header: those are unclosed
             while any(t in ("nav", "header") for t, _ in self.stack):
                 self._pop()
@@ -210,7 +231,7 @@ def blocks_of(page: str | None) -> list[tuple[str, list[float]]]:
                     words[i - 1] if i else 0.0, out.blocks[i - 1][1] if i else 0.0,
                     words[i + 1] if i + 1 < len(words) else 0.0,
                     out.blocks[i + 1][1] if i + 1 < len(words) else 0.0,
-                    float(b[2]), float(b[3]), float(b[4])])
+                    *map(float, b[2:])])
             for i, b in enumerate(out.blocks)]
 
 

@@ -122,6 +122,20 @@ def test_names_inside_other_attributes_do_not_hide(spark):
         gone, f"{long}\n{long}")
 
 
+def test_unwanted_words_in_an_articles_names(spark):
+    """A name with an unwanted part does not cost an article its text."""
+    long = "Rain fell on the town all day and the market closed two hours early for once."
+    kept = ["div class='content with-sidebar'", "article class='post category-social'",
+            "div id='main-content' class='no-sidebar'", "article class='has-share'"]
+    gone = ["div class='sidebar'", "div class='site-sidebar'", "article class='comment'",
+            "div class='cookie-notice'"]
+    pages = [(i, f"<body><{a}><p>{long}</p><p>{long}</p><p>{long}</p></{a.split()[0]}>")
+             for i, a in enumerate(kept + gone)]
+    got = [r["main_text"] for r in html_extract.extract(spark.createDataFrame(
+        pages, "page_id long, html string")).orderBy("page_id").collect()]
+    assert got == ["\n".join([long] * 3)] * len(kept) + [""] * len(gone)
+
+
 def test_labelled_table_is_learned(spark):
     tree = html_extract.fit(spark)
     rows = html_extract.labelled_blocks(spark)
