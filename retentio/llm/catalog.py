@@ -1,11 +1,11 @@
-"""The eleven queries of the training-data operators, and their SQL."""
+"""The queries of the training-data operators, and their SQL."""
 
 from __future__ import annotations
 
 import corpus_pipeline
 
-from . import (bpe, decontaminate, exact_dedup, html_extract, language_id, license_scan,
-               line_dedup, simhash, token_counts, url_filter)
+from . import (bpe, decontaminate, exact_dedup, html_extract, importance, language_id,
+               license_scan, line_dedup, simhash, token_counts, token_files, url_filter)
 from .common import table
 from .tokenizer_files import tokenizer_path
 
@@ -22,6 +22,10 @@ QUERIES = {
     "op9_decontamination": lambda spark, d: decontaminate.contamination_query(
         table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op10_url_filter": lambda spark, d: url_filter.url_query(table(spark, d, "pages")),
+    "op12_importance_resampling": lambda spark, d: importance.importance_query(
+        table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op13_token_files": lambda spark, d: token_files.token_file_query(
+        table(spark, d, "documents"), tokenizer_path()),
     "pipeline": corpus_pipeline.run,
 }
 
@@ -29,4 +33,5 @@ ORACLE = {
     "op3_line_dedup": line_dedup.LINE_SQL,
     "op7_exact_dedup": exact_dedup.EXACT_SQL,
     "op10_url_filter": url_filter.URL_SQL,
+    "op12_importance_resampling": importance.IMPORTANCE_SQL,
 }
