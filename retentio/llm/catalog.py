@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import (bpe, decontaminate, exact_dedup, html_extract, importance, language_id,
-               license_scan, line_dedup, simhash, token_counts, token_files, url_filter)
+from . import (bpe, decontaminate, exact_dedup, hard_negatives, html_extract, importance,
+               language_id, license_scan, line_dedup, simhash, token_counts, token_files, url_filter)
 from .common import table
 from .tokenizer_files import tokenizer_path
 
@@ -22,6 +22,8 @@ QUERIES = {
     "op9_decontamination": lambda spark, d: decontaminate.contamination_query(
         table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op10_url_filter": lambda spark, d: url_filter.url_query(table(spark, d, "pages")),
+    "op11_hard_negatives": lambda spark, d: hard_negatives.hard_negative_query(
+        table(spark, d, "embeddings")),
     "op12_importance_resampling": lambda spark, d: importance.importance_query(
         table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op13_token_files": lambda spark, d: token_files.token_file_query(

@@ -2,9 +2,11 @@
 
 Layout of a folder of token files (all numbers little-endian):
 
-* `data/*.ids`: raw unsigned 32-bit ids, documents one after another, each
-  with the end id. Documents stand in ascending key order over the files;
-  a file is closed at the first document border after SHARD_BYTES.
+* `data/*.ids`: raw unsigned ids, documents one after another, each with
+  the end id. An id has two bytes where the vocabulary and the end id fit,
+  else four (`width` in the shard table). Documents stand in ascending key
+  order over the files; a file is closed at the first document border after
+  SHARD_BYTES.
 * `data/*.off`: unsigned 64-bit offsets (in ids) of the file's documents,
   one more than there are documents.
 * `index/*.mph`: the keys of one hash bucket: a minimal perfect hash
@@ -41,10 +43,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from retentio.plans.lookup import lookup_join
 from retentio.plans.prefix import running_totals
@@ -96,15 +100,16 @@ def _write(path: str, data) -> None:
 class _Shard:
     """One file pair on its way; pieces are the keys in it."""
 
-    def __init__(self, folder: str, part: int, seq: int):
+    def __init__(self, folder: str, part: int, seq: int, width: int):
         self.name = f"{folder}/{part:08d}-{seq:06d}-{uuid.uuid4().hex}"
-        self.part, self.seq = part, seq
+        self.part, self.seq, self.width = part, seq, width
         fs, p = _fs(f"{self.name}.ids")
         self.out = fs.open_output_stream(p)
         self.offsets, self.pieces = [0], []
 
     def add(self, key: str | None, ids: bytes) -> None:
-        self.out.write(ids)
+        """`ids` have four bytes each."""
+        self.out.write(ids if self.width == 4 else np.frombuffer(ids, "<u4").astype("<u2"))
         n = len(ids) // 4
         self.offsets.append(self.offsets[-1] + n)
         if self.pieces and self.pieces[-1][0] == key:
@@ -114,7 +119,7 @@ class _Shard:
             self.pieces.append([key, len(self.offsets) - 2, 1, n])
 
     def full(self, size: int) -> bool:
-        return 4 * self.offsets[-1] >= size
+        return self.width * self.offsets[-1] >= size
 
     def close(self) -> pa.RecordBatch:
         self.out.close()
@@ -128,7 +133,7 @@ class _Shard:
             ["part", "seq", "file", "key", "first_doc", "n_docs", "n_ids"])
 
 
-def _writer(tokenizer, folder: str, end_id: int, shard_bytes: int):
+def _writer(tokenizer, folder: str, end_id: int, shard_bytes: int, width: int):
     end = end_id.to_bytes(4, "little")
 
     def write(batches):
@@ -136,7 +141,7 @@ def _writer(tokenizer, folder: str, end_id: int, shard_bytes: int):
         part = TaskContext.get().partitionId()
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                shard = shard or _Shard(folder, part, seq)
+                shard = shard or _Shard(folder, part, seq, width)
                 shard.add(key, encoder.encode(text) + end)
                 if shard.full(shard_bytes):
                     yield shard.close()
@@ -222,6 +227,11 @@ def _index_reader(batches):
                 ["key", *ENTRY.names[1:]])
 
 
+def _wide(raw: bytes, width: int) -> bytes:
+    """Stored ids as four bytes each."""
+    return raw if width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes()
+
+
 def _documents(key: str | None, offsets: np.ndarray, start: int, payload, at: int):
     """A record batch of neighbouring documents; `payload` holds their ids."""
     ids = [payload[4 * (a - at):4 * (b - at)] for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
@@ -233,12 +243,13 @@ def _documents(key: str | None, offsets: np.ndarray, start: int, payload, at: in
 
 
 def _payload_reader(batches):
-    """Rows (file, start, key, from_doc, to_doc), sorted by file, to documents."""
+    """Rows (file, start, width, key, from_doc, to_doc), sorted by file, to documents."""
     name = ids = offsets = None
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("file", "start", "key", "from_doc", "to_doc")]
+        columns = [batch.column(c).to_pylist() for c in
+                   ("file", "start", "width", "key", "from_doc", "to_doc")]
         ready, size = [], 0
-        for file, start, key, first, end in zip(*columns):
+        for file, start, width, key, first, end in zip(*columns):
             if file != name:
                 name, (fs, p) = file, _fs(file)
                 ids = fs.open_input_file(f"{p}.ids")
@@ -250,7 +261,7 @@ def _payload_reader(batches):
                 last = int(np.searchsorted(offsets, offsets[first] + READ_BYTES // 4, "right")) - 1
                 last = min(max(last, first + 1), end)
                 at, stop = int(offsets[first]), int(offsets[last])
-                raw = ids.read_at(4 * (stop - at), 4 * at)
+                raw = _wide(ids.read_at(width * (stop - at), width * at), width)
                 ready.append(_documents(key, offsets[first:last + 1], start, raw, at))
                 size, first = size + len(raw), last
                 if size >= READ_BYTES:
@@ -302,10 +313,10 @@ class TokenFiles:
     def read(self, keys: DataFrame, key: str = "key") -> DataFrame:
         """key (text form), start, n_tokens, token_ids of every document of
         the given keys."""
-        places = lookup_join(self.find(keys, key), self.shards.select("shard", "file", "start"),
+        places = lookup_join(self.find(keys, key), self.shards.select("shard", "file", "start", "width"),
                              "shard", "inner", ["key", "from_doc"])
         # a shard is bounded by SHARD_BYTES and one document
-        return (places.select("file", "start", "key", "from_doc", "to_doc", "shard")
+        return (places.select("file", "start", "width", "key", "from_doc", "to_doc", "shard")
                 .repartition("shard").sortWithinPartitions("shard", "from_doc")
                 .mapInArrow(_payload_reader, DOCUMENT))
 
@@ -326,24 +337,26 @@ class TokenFiles:
         return out
 
     @staticmethod
-    def _shard_documents(file: str, first: int, end: int | None) -> list[np.ndarray]:
+    def _shard_documents(shard: tuple[str, int], first: int, end: int | None) -> list[np.ndarray]:
+        file, width = shard
         fs, p = _fs(file)
         with fs.open_input_file(f"{p}.off") as f, fs.open_input_file(f"{p}.ids") as ids:
             end = f.size() // 8 - 1 if end is None else end
             at = np.frombuffer(f.read_at(8 * (end - first + 1), 8 * first), "<u8").tolist()
-            return [np.frombuffer(ids.read_at(4 * (b - a), 4 * a), "<u4") for a, b in zip(at, at[1:])]
+            return [np.frombuffer(ids.read_at(width * (b - a), width * a), f"<u{width}")
+                    for a, b in zip(at, at[1:])]
 
 
 @lru_cache(maxsize=4)
-def _manifest(path: str) -> tuple[list[str], list[str]]:
-    """Shard files and index files by number: one name per file."""
-    import pyarrow.parquet as pq
-    out = []
-    for table, number in (("shards", "shard"), ("buckets", "bucket")):
-        fs, p = _fs(f"{path}/{table}")
-        rows = pq.read_table(p, filesystem=fs, columns=[number, "file"]).sort_by(number)
-        out.append(rows["file"].to_pylist())
-    return out[0], out[1]
+def _manifest(path: str) -> tuple[list[tuple[str, int]], list[str]]:
+    """(file, width) of shards and index files, by number: one per file."""
+    def table(name: str, columns: list[str]) -> list[list]:
+        fs, p = _fs(f"{path}/{name}")
+        rows = pq.read_table(p, filesystem=fs, columns=columns).sort_by(columns[0])
+        return [rows[c].to_pylist() for c in columns[1:]]
+
+    return (list(zip(*table("shards", ["shard", "file", "width"]))),
+            table("buckets", ["bucket", "file"])[0])
 
 
 @lru_cache(maxsize=64)
@@ -366,6 +379,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, key: str
         fs, p = _fs(f"{path}/{name}")
         fs.create_dir(p, recursive=True)
     tokenizer = read_tokenizer(spark, tokenizer_path)
+    most = max(end_id, *Tokenizer.from_str(tokenizer.value).get_vocab().values())
+    width = 2 if most < 1 << 16 else 4
     k = F.col(f"`{key}`")
     order = [F.col("o").asc_nulls_first(), F.col("at")]
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -374,14 +389,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, key: str
             .repartitionByRange(ranges, *order).sortWithinPartitions(*order)
             .select(F.col("o").cast("string").alias("key"), "text"))
     pieces = materialize(
-        rows.mapInArrow(_writer(tokenizer, f"{path}/data", end_id, shard_bytes), PIECE),
+        rows.mapInArrow(_writer(tokenizer, f"{path}/data", end_id, shard_bytes, width), PIECE),
         "pieces", f"{path}/pieces")
     by_file = pieces.groupBy("part", "seq", "file").agg(
         F.sum("n_docs").alias("n_docs"), F.sum("n_ids").alias("n_ids"))
     placed = running_totals(by_file, [F.col("part"), F.col("seq")], ["n_ids"], index="shard")
     shards = materialize(placed.select(
         F.col("shard").cast("long").alias("shard"), "part", "seq", "file", "n_docs", "n_ids",
-        (F.col("cum_n_ids") - F.col("n_ids")).alias("start")), "shards", f"{path}/shards")
+        F.lit(width).alias("width"), (F.col("cum_n_ids") - F.col("n_ids")).alias("start")), "shards", f"{path}/shards")
     here = F.struct("shard", "first_doc")
     end = F.struct("shard", (F.col("first_doc") + F.col("n_docs")).alias("end_doc"))
     keyed = materialize(
