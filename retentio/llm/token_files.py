@@ -300,7 +300,8 @@ class TokenFiles:
         k = F.col(f"`{key}`").cast("string")
         asked = keys.select(k.alias("key")).distinct().select("key", *key_hashes(F.col("key")))
         asked = asked.withColumn("bucket", F.pmod("k1", F.lit(n)))
-        named = lookup_join(asked, self.buckets.select("bucket", "file"), "bucket", "inner", ["k2"])
+        named = lookup_join(asked, self.buckets.filter("file IS NOT NULL").select("bucket", "file"),
+                            "bucket", "inner", ["k2"])
         # one bucket holds about KEYS_PER_INDEX keys: no task gets many at once
         found = (named.repartition("bucket").sortWithinPartitions("bucket")
                  .mapInArrow(_index_reader, FOUND))
@@ -324,9 +325,8 @@ class TokenFiles:
         """Ids of one key's documents, read by this process alone."""
         k1, k2 = hashes_of(None if key is None else str(key))
         shards, buckets = _manifest(self.path)
-        if not buckets:
-            return []
-        entry = _open_index(buckets[k1 % len(buckets)]).entry(k1, k2)
+        file = buckets[k1 % len(buckets)] if buckets else None
+        entry = _open_index(file).entry(k1, k2) if file else None
         if entry is None:
             return []
         out = []
