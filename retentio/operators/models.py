@@ -1,29 +1,30 @@
 """Distributed gradient-boosted churn models.
 
-Encoding (G2): numeric inputs imputed with their median (exact at every size), categorical inputs with NULL as its own category 'nan' -> StringIndexer(keep) ->
-OneHotEncoder(dropLast): the extra 'unseen' index is the dropped last
-slot, so an unseen category encodes to all zeros. Classifier (G3):
-MLlib GBT with a class weight column (pos_weight for churners).
+Encoding (G2) is planned once on the training rows and bounded
+(`encoding`); the classifiers (G3) are MLlib GBTs with a class weight column
+(pos_weight for churners) that all fit from one written matrix. A fitted
+model is also a table of nodes and of leaves (`trees`), for scoring by join
+and for exact contributions.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .features import MODEL_EXCLUDE, split_by_dtype
-from .profile import medians
+from ..plans.tables import scratch_path
+from . import encoding as E
+from . import trees
+from .features import MODEL_EXCLUDE
 
 # xgboost-like defaults (100 trees, depth 6, learning rate 0.3)
 GBT_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.3, seed=42, maxBins=64)
 EXCLUDE = MODEL_EXCLUDE
-INPUTS = "numeric array<string>, categorical array<string>, fill map<string,double>, label string"
+WINDOWS = (30, 60, 90)
 
 
 def _part(path: str, name: str) -> str:
@@ -32,87 +33,110 @@ def _part(path: str, name: str) -> str:
 
 @dataclass
 class ChurnModel:
-    pipeline: PipelineModel
-    numeric: list
-    categorical: list
-    fill: dict           # numeric medians (bounded: one value per column)
+    encoding: E.Encoding
+    gbt: GBTClassificationModel
     label: str
+    path: str | None = None          # folder the classifier was saved in
 
-    def prepare(self, df: DataFrame) -> DataFrame:
-        cols = {c: F.coalesce(F.col(c).cast("double"), F.lit(self.fill[c])) for c in self.numeric}
-        cols.update({c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in self.categorical})
-        return df.withColumns(cols)
+    @property
+    def numeric(self) -> list[str]:
+        return self.encoding.numeric
+
+    @property
+    def categorical(self) -> list[str]:
+        return self.encoding.categorical
+
+    @property
+    def fill(self) -> dict[str, float]:
+        return self.encoding.fill
 
     def transform(self, df: DataFrame, out: str = "churn_prob") -> DataFrame:
         """P(class 1) as a double column; model columns dropped."""
-        scored = self.pipeline.transform(self.prepare(df))
+        rows = E.with_features(df.withColumn("_x", self.encoding.column()), "_x")
+        scored = self.gbt.transform(rows)
+        scored = scored.withColumn(out, vector_to_array(F.col("probability"))[1])
+        return scored.drop("_x", "features", "rawPrediction", "probability", "prediction")
+
+    def score_matrix(self, matrix: DataFrame, out: str = "churn_prob") -> DataFrame:
+        """As `transform`, from rows of the written matrix."""
+        scored = self.gbt.transform(E.with_features(matrix))
         scored = scored.withColumn(out, vector_to_array(F.col("probability"))[1])
-        drop = [c for c in scored.columns if c.startswith("_ix_") or c.startswith("_oh_")]
-        return scored.drop(*drop, "features", "rawPrediction", "probability", "prediction")
+        return scored.drop("features", "rawPrediction", "probability", "prediction")
 
     def feature_names(self) -> list[str]:
-        """Encoded names in vector order: num__col, cat__col_value."""
-        names = [f"num__{c}" for c in self.numeric]
-        for st in self.pipeline.stages:
-            if isinstance(st, StringIndexerModel):
-                for c, labels in zip(self.categorical, st.labelsArray):
-                    names += [f"cat__{c}_{v}" for v in labels]   # dropLast removes the unseen slot
-        return names
+        """Encoded names in vector order."""
+        return self.encoding.names()
 
     def feature_importance(self, spark, top: int = 20) -> DataFrame:
         """importances joined to names, top `top` (bounded by the
         number of encoded features)."""
-        gbt = self.pipeline.stages[-1]
-        imp = gbt.featureImportances.toArray().tolist()
+        imp = self.gbt.featureImportances.toArray().tolist()
         rows = sorted(zip(self.feature_names(), imp), key=lambda t: (-t[1], t[0]))[:top]
         return spark.createDataFrame(rows, "feature string, importance double")
 
     def save(self, path: str) -> None:
-        """The pipeline and, beside it, what `prepare` needs."""
-        self.pipeline.write().overwrite().save(_part(path, "pipeline"))
+        """The classifier and, beside it, how its inputs are encoded."""
+        self.gbt.write().overwrite().save(_part(path, "gbt"))
+        table = self.encoding.table(SparkSession.getActiveSession())
+        (table.withColumn("label", F.lit(self.label)).coalesce(1)
+         .write.mode("overwrite").parquet(_part(path, "inputs")))
+        self.path = path
+
+    def nodes(self) -> DataFrame:
+        """The fitted trees as a node table, cuts in raw values beside those
+        of the matrix (`raw_cut`, numeric inputs only)."""
         spark = SparkSession.getActiveSession()
-        inputs = spark.createDataFrame(
-            [(self.numeric, self.categorical, {k: float(v) for k, v in self.fill.items()},
-              self.label)], INPUTS)
-        inputs.coalesce(1).write.mode("overwrite").parquet(_part(path, "inputs"))
+        if self.path is None:
+            self.save(scratch_path(spark, "gbt"))
+        raw = F.array(*[F.array(*map(F.lit, self.encoding.cuts[c])).cast("array<double>")
+                        for c in self.numeric] or [F.array().cast("array<double>")])
+        nodes = trees.node_table(spark, _part(self.path, "gbt"), self.label)
+        # bin b holds the values up to the b-th cut
+        return nodes.withColumn("raw_cut", F.when(
+            F.col("feature").between(0, len(self.numeric) - 1),
+            F.get(F.get(raw, F.col("feature")), F.floor("cut").cast("int"))))
+
+    def leaves(self) -> DataFrame:
+        return trees.leaf_table(self.nodes().drop("raw_cut"))
+
+
+def fit_models(train: DataFrame, labels, params: dict | None = None, exclude=EXCLUDE,
+               encoding: E.Encoding | None = None, matrix: DataFrame | None = None) -> dict:
+    """G2 + G3 + G10: one model per label, all from one encoding and one
+    written matrix (+ D16 class weights, D17 medians)."""
+    labels = list(labels)
+    if encoding is None:
+        train = E.materialize(train, "train")
+        encoding = E.plan_encoding(train, exclude)
+    if matrix is None:
+        matrix = E.build_matrix(train, encoding, labels)
+    counts = matrix.agg(*[F.count_if(F.col(l) == v).alias(f"{l}_{v}")
+                          for l in labels for v in (0, 1)]).first()
+    p = {**GBT_PARAMS, **(params or {})}
+    out = {}
+    for label in labels:
+        weight = counts[f"{label}_0"] / max(counts[f"{label}_1"], 1)
+        rows = E.with_features(matrix.filter(F.col(label).isNotNull())).select(
+            "features", F.col(label).cast("double").alias("label"),
+            F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)).alias("weight"))
+        gbt = GBTClassifier(weightCol="weight", checkpointInterval=10, **p).fit(rows)
+        out[label] = ChurnModel(encoding, gbt, label)
+    return out
 
 
 def fit_churn_model(train: DataFrame, label: str = "Churn_Target", params: dict | None = None,
                     exclude=EXCLUDE) -> ChurnModel:
-    """G2 + G3 (+ D16 class weight, D17 medians)."""
-    num, cat = split_by_dtype(train.drop(*[c for c in exclude if c in train.columns]))
-    fill = {r["feature"]: (r["median"] if r["median"] is not None else 0.0)
-            for r in medians(train, num).collect()}
-    counts = train.agg(F.count_if(F.col(label) == 0).alias("n0"),
-                       F.count_if(F.col(label) == 1).alias("n1")).first()
-    pos_weight = counts["n0"] / max(counts["n1"], 1)
-    model = ChurnModel(None, num, cat, fill, label)
-    data = model.prepare(train).withColumn(
-        "_w", F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0)))
-    stages = []
-    if cat:
-        stages.append(StringIndexer(inputCols=cat, outputCols=[f"_ix_{c}" for c in cat],
-                                    handleInvalid="keep", stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=[f"_ix_{c}" for c in cat],
-                                    outputCols=[f"_oh_{c}" for c in cat], dropLast=True))
-    stages.append(VectorAssembler(inputCols=num + [f"_oh_{c}" for c in cat], outputCol="features",
-                                  handleInvalid="keep"))
-    p = dict(GBT_PARAMS)
-    p.update(params or {})
-    stages.append(GBTClassifier(featuresCol="features", labelCol=label, weightCol="_w",
-                                checkpointInterval=10, **p))
-    model.pipeline = Pipeline(stages=stages).fit(data.withColumn(label, F.col(label).cast("double")))
-    return model
+    return fit_models(train, [label], params, exclude)[label]
 
 
 def load_churn_model(path: str) -> ChurnModel:
     """The model as saved; the folder alone is enough."""
-    pipeline = PipelineModel.load(_part(path, "pipeline"))
-    r = SparkSession.getActiveSession().read.parquet(_part(path, "inputs")).first()
-    return ChurnModel(pipeline, list(r["numeric"]), list(r["categorical"]), dict(r["fill"]),
-                      r["label"])
+    gbt = GBTClassificationModel.load(_part(path, "gbt"))
+    inputs = SparkSession.getActiveSession().read.parquet(_part(path, "inputs"))
+    return ChurnModel(E.Encoding.from_table(inputs), gbt, inputs.first()["label"], path)
 
 
-def fit_window_models(train: DataFrame, windows=(30, 60, 90), params: dict | None = None) -> dict:
+def fit_window_models(train: DataFrame, windows=WINDOWS, params: dict | None = None) -> dict:
     """One model per horizon label y_{w}d on the same training rows."""
-    return {w: fit_churn_model(train, f"y_{w}d", params) for w in windows}
+    models = fit_models(train, [f"y_{w}d" for w in windows], params)
+    return {w: models[f"y_{w}d"] for w in windows}

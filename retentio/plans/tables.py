@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir, ensure_checkpoint_dir
+from .manifest import fingerprint, read_manifest, write_manifest
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -36,7 +37,9 @@ def bucketed(df: DataFrame, name: str, key: str = "customerID", buckets: int | N
     """Write `df` as a table bucketed (and sorted) by `key` in the shared
     folder. Two tables bucketed on the same key with the same bucket count
     join without a shuffle on either side (sort-merge join over matching
-    buckets), which is how the scored rows and the decision table meet."""
+    buckets), which is how the scored rows and the decision table meet. A
+    Bloom filter on the key lets a point look-up skip the row groups of its
+    bucket that lack it."""
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     p = path or scratch_path(spark, name)
@@ -44,14 +47,24 @@ def bucketed(df: DataFrame, name: str, key: str = "customerID", buckets: int | N
     # hash-partition on the key first (same hash as bucketing): one writer
     # per bucket, so 1000 tasks x n buckets do not become 1000 x n small files
     (df.repartition(n, key).write.bucketBy(n, key).sortBy(key).mode("overwrite")
-     .option("path", p).saveAsTable(table))
+     .option(f"parquet.bloom.filter.enabled#{key}", "true").option("path", p).saveAsTable(table))
     return spark.table(table)
 
 
-def ensure_table(spark: SparkSession, path: str, builder) -> DataFrame:
-    """A10: read the table at `path`; build and write it first when missing."""
-    if not _committed(spark, path):
+def ensure_table(spark: SparkSession, path: str, builder,
+                 inputs: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A10: read the table at `path`; build and write it first when missing,
+    or when the fingerprint of one of its `inputs` is no longer the one in
+    the table's manifest. The manifest is written last: a build that was cut
+    off is done again."""
+    seen = {name: fingerprint(df) for name, df in (inputs or {}).items()}
+    fresh = _committed(spark, path)
+    if fresh and inputs:
+        fresh = (read_manifest(spark, path) or {}).get("inputs") == seen
+    if not fresh:
         builder().write.mode("overwrite").parquet(path)
+        if inputs:
+            write_manifest(spark, path, {"inputs": seen})
     return spark.read.parquet(path)
 
 
