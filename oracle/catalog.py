@@ -419,10 +419,41 @@ for _name, _tier in (("critical_queue", CRIT), ("target_queue", TARGET)):
 SELECT customerID, {r('routing_score_live')}, {r('roi_proxy_live')} FROM live
 WHERE routing_tier_live = {_tier} ORDER BY routing_score_live DESC, customerID LIMIT 200""", "live")
 
-_CASE_TXT = ("customerID", "value_segment", "value_segment_live", "routing_tier_live", "reason_1",
+_live(False, "risk_30d", "mid", True, 15, "live_small")
+oracle("routing_queues_limited", " UNION ALL ".join(f"""
+SELECT * FROM (SELECT routing_tier_live, CAST(row_number() OVER (ORDER BY routing_score_live DESC, customerID)
+  AS INTEGER) AS position, customerID, {r('routing_score_live')}, {r('roi_proxy_live')}
+FROM live_small WHERE routing_tier_live = {t}) WHERE position <= 10""" for t in (CRIT, TARGET)), "live_small")
+_LIST_DBL = ("Churn_Prob", "churn_prob_v2", "risk_30d", "risk_60d", "risk_90d", "tenure",
+             "MonthlyCharges", "clv", "value_base_live", "expected_loss_30d_live", "offer_cost_live",
+             "roi_proxy_live", "routing_score_live")
+_LIST_TXT = ("customerID", "Segment", "Contract", "PaymentMethod", "value_segment",
+             "value_segment_live", "value_basis_live", "should_intervene_live", "routing_tier_live",
+             "reason_1", "recommended_action", "intervention_type")
+oracle("action_list_limited", f"""
+SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY roi_proxy_live DESC NULLS LAST, customerID)
+  AS INTEGER) AS position, {', '.join(_LIST_TXT)}, {', '.join(r(c) for c in _LIST_DBL)}
+FROM live_small) WHERE position <= 12""", "live_small")
+_OPS = "should_intervene DESC, priority_score DESC, expected_loss_30d DESC, customerID"
+oracle("ops_top_limited", f"""
+SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY {_OPS}) AS INTEGER) AS position, customerID,
+  should_intervene, {r('priority_score')}, {r('expected_loss_30d')} FROM decision) WHERE position <= 20""",
+       "decision")
+oracle("ops_positions", f"""
+SELECT customerID, row_number() OVER (ORDER BY {_OPS}) AS position FROM decision""", "decision")
+oracle("risk_positions", f"""
+SELECT customerID, {r('risk_30d')}, row_number() OVER (ORDER BY risk_30d DESC, customerID) AS position
+FROM scores""", "scores")
+oracle("action_list_v1_positions", f"""
+SELECT customerID, {r('Churn_Prob')}, row_number() OVER (ORDER BY Churn_Prob DESC, customerID) AS position
+FROM v1seg WHERE Segment IN ({CRIT}, {TARGET}) AND Contract IN ('Month-to-month')""", "v1seg")
+
+_CASE_TXT = ("customerID", "value_segment", "value_segment_live", "value_basis_live",
+             "routing_tier_live", "reason_1",
              "bucket_1", "reason_2", "bucket_2", "reason_3", "bucket_3", "recommended_action",
              "intervention_type", "should_intervene_live")
 _CASE_DBL = ("Churn_Prob", "churn_prob_v2", "risk_30d", "risk_60d", "risk_90d", "clv",
+             "value_base_live",
              "expected_loss_30d_live", "offer_cost_live", "roi_proxy_live", "impact_1", "impact_2",
              "impact_3")
 oracle("case_file", "SELECT " + ", ".join(list(_CASE_TXT) + [r(c) for c in _CASE_DBL]) + """
@@ -452,6 +483,9 @@ oracle("risk_value_points", f"""
 SELECT customerID, {r('risk_30d')}, {r('clv')}, {r('expected_loss_30d')}, intervention_type, reason_1,
   recommended_action FROM dec_f
 ORDER BY should_intervene DESC, priority_score DESC, expected_loss_30d DESC, customerID LIMIT 2000""", "dec_f")
+oracle("risk_value_limited", f"""
+SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY {_OPS}) AS INTEGER) AS position, customerID,
+  {r('risk_30d')}, {r('clv')}, {r('expected_loss_30d')} FROM dec_f) WHERE position <= 15""", "dec_f")
 oracle("ops_top", f"""
 SELECT customerID, should_intervene, {r('priority_score')}, {r('expected_loss_30d')}, value_segment,
   intervention_type FROM decision
@@ -540,3 +574,57 @@ FROM (SELECT CAST(c_custkey AS VARCHAR) AS customerID,
   list_extract([{', '.join(map(M.q, _RULE_NAMES))}], CAST(c_custkey % 19 AS INTEGER) + 1) AS name,
   list_extract(['low', 'mid', 'high'], CAST((c_custkey // 19) % 3 AS INTEGER) + 1) AS value_segment
 FROM customer))))""")
+
+# ---- quarantine, odd numbers, null labels, the fit matrix, model invariants --------------
+oracle("csv_quarantine", """
+SELECT count(*) AS engineered, count(customerID) AS with_key,
+  count_if(CAST(customerID AS BIGINT) % 10 = 0) AS quarantined,
+  min(CASE WHEN CAST(customerID AS BIGINT) % 10 = 0 THEN customerID || ',cut short' END) AS first_line,
+  count(*) AS rows_seen, count_if(CAST(customerID AS BIGINT) % 10 = 0) AS malformed_seen
+FROM subscribers""", "subscribers")
+oracle("odd_charges", f"""
+SELECT customerID, {r('charge', 'TotalCharges')},
+  {r('charge / (coalesce(tenure, 0.0) + 1)', 'Avg_Historical_Charge')}
+FROM (SELECT *, CASE WHEN CAST(customerID AS BIGINT) % 3 = 2 THEN TotalCharges END AS charge FROM eng)""", "eng")
+cte("nl_rows", """
+SELECT customerID, CASE WHEN CAST(customerID AS BIGINT) % 7 <> 0 THEN Churn_Target END AS label,
+    CAST('0x' || substr(md5('42-' || customerID), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM eng""", ("eng",))
+cte("nl_share", """
+SELECT label, count(*) AS n, ceil(0.2 * sum(count(*)) OVER ()) * count(*)
+    / sum(count(*)) OVER () AS share, ceil(0.2 * sum(count(*)) OVER ()) AS n_test FROM nl_rows GROUP BY label""", ("nl_rows",))
+cte("nl_take", """
+SELECT label, floor(share) + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, n DESC,
+    label NULLS LAST) <= n_test - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS take FROM nl_share""", ("nl_share",))
+oracle("split_exact_null_labels", """
+SELECT pos <= take AS is_test, p.label, count(*) AS customers
+FROM (SELECT label, row_number() OVER (PARTITION BY label ORDER BY u, customerID) AS pos FROM nl_rows) p
+JOIN nl_take a ON p.label IS NOT DISTINCT FROM a.label GROUP BY 1, 2""", "nl_rows", "nl_take")
+
+_MODEL_NUM = ("tenure", "MonthlyCharges", "TotalCharges", "Service_Count", "Avg_Historical_Charge")
+_MODEL_CAT = ("InternetService", "PhoneService", "MultipleLines", "OnlineSecurity", "OnlineBackup",
+              "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies", "Partner", "Dependents",
+              "Contract", "PaymentMethod", "Tenure_Bucket", "Payment_Simple")
+cte("m_num", " UNION ALL ".join(
+    f"SELECT customerID, is_test, '{c}' AS name, CAST({c} AS DOUBLE) AS v FROM lab" for c in _MODEL_NUM), ("lab",))
+cte("m_cat", " UNION ALL ".join(
+    f"SELECT customerID, is_test, '{c}' AS name, coalesce({c}, 'nan') AS v FROM lab" for c in _MODEL_CAT), ("lab",))
+cte("m_plan", """
+SELECT name, quantile_cont(v, 0.5) AS fill, list_distinct(list_transform(range(1, 64), lambda i:
+  list_extract(list(v ORDER BY v), CAST(floor((count(v) - 1) * (i / 64.0)) AS BIGINT) + 1))) AS cuts
+FROM m_num WHERE NOT is_test AND v IS NOT NULL GROUP BY name""", ("m_num",))
+oracle("model_inputs_plan", f"""
+SELECT name, 'numeric' AS kind, {r('fill')}, CAST(len(cuts) AS INTEGER) AS n_cuts, CAST(NULL AS INTEGER) AS n_values
+FROM m_plan UNION ALL
+SELECT name, 'dictionary', NULL, NULL, CAST(count(DISTINCT v) AS INTEGER) FROM m_cat WHERE NOT is_test GROUP BY name""",
+       "m_plan", "m_cat")
+oracle("model_matrix", """
+SELECT customerID, 'num__' || name AS feature, CAST(len(list_filter(cuts, lambda c: c < coalesce(v, fill))) AS INTEGER)
+  AS value FROM m_num JOIN m_plan USING (name)
+UNION ALL
+SELECT customerID, 'cat__' || name || '_' || v, CAST(1 AS INTEGER) FROM m_cat
+WHERE (name, v) IN (SELECT (name, v) FROM m_cat WHERE NOT is_test)""", "m_num", "m_plan", "m_cat")
+oracle("gbt_model_checks", " UNION ALL ".join(
+    f"SELECT '{c}' AS label, count(*) AS rows, count(*) AS in_unit, count(*) AS same_from_leaves, "
+    f"count(*) AS same_from_folder FROM lab WHERE is_test" for c in ("Churn_Target", "y_30d", "y_60d", "y_90d")),
+    "lab")
+oracle("gbt_shapley_checks", "SELECT count(*) AS rows, count(*) AS additive FROM lab WHERE is_test", "lab")

@@ -17,11 +17,13 @@ from pyspark.sql import types as T
 from .config import OFFER_COSTS, LiveParams
 from .functions import rules as R
 from .operators import evaluate as Ev
+from .operators import encoding as EN
 from .operators import explain as X
 from .operators import features as B
 from .operators import models as ML
 from .operators import policy as P
 from .operators import profile as D
+from .operators import trees as TR
 from .operators import value as H
 from .plans import jobs as J
 from .plans import tables as T_
@@ -491,8 +493,70 @@ def q_target_queue(spark, sf):
 def q_case_file(spark, sf):
     """B23 + H15: case file of the first customer of the action list."""
     lv = live(spark, sf)
-    first = P.action_list(lv, 1).select("customerID").scalar()
-    return rounded(P.case_file(lv, first))
+    first = P.action_list(lv, 1).select("customerID").first()
+    return rounded(P.case_file(lv, first["customerID"] if first else ""))
+
+
+# limits that lie below their inputs: what is beyond them is really left out
+SMALL = LiveParams(calls_per_week=15)
+
+
+@query("routing_queues_limited")
+def q_routing_queues(spark, sf):
+    """E7 + H14 with 15 calls a week and queues of 10: both tiers are filled
+    and both limits act; the order is a column."""
+    lv = live(spark, sf, SMALL)
+    cols = ("routing_tier_live", "position", "customerID", "routing_score_live", "roi_proxy_live")
+    return rounded(P.queue(lv, "🔴 Critical Risk", 10, position="position").select(*cols).union(
+        P.queue(lv, "🟡 Target Zone", 10, position="position").select(*cols)))
+
+
+@query("action_list_limited")
+def q_action_list_limited(spark, sf):
+    """E4 + B28: the first 12 by live ROI with all columns of the list."""
+    lv = live(spark, sf, SMALL)
+    return rounded(B.project_existing(P.action_list(lv, 12, position="position"),
+                                      P.ACTION_LIST_COLUMNS))
+
+
+@query("ops_top_limited")
+def q_ops_top_limited(spark, sf):
+    """E1 + E5: the first 20 of the ops order, with their places."""
+    d = decisions(spark, sf)
+    return rounded(P.top_rows(d, J.ops_order(d), 20, "position").select(
+        "position", "customerID", "should_intervene", "priority_score", "expected_loss_30d"))
+
+
+@query("risk_value_limited")
+def q_risk_value_limited(spark, sf):
+    """H16 + E5: the first 15 points of the filtered ops order."""
+    d = filtered_decisions(spark, sf)
+    return rounded(P.top_rows(d, J.ops_order(d), 15, "position").select(
+        "position", "customerID", "risk_30d", "clv", "expected_loss_30d"))
+
+
+@query("ops_positions")
+def q_ops_positions(spark, sf):
+    """Place of every customer in the ops order (a global order as data)."""
+    d = decisions(spark, sf)
+    return P.with_position(d, J.ops_order(d)).select("customerID", "position")
+
+
+@query("risk_positions")
+def q_risk_positions(spark, sf):
+    """Place of every customer by near-term risk."""
+    return rounded(P.with_position(
+        J.decision_table_v1(scored(spark, sf)).select("customerID", "risk_30d"),
+        [F.col("risk_30d").desc(), F.col("customerID").asc()]))
+
+
+@query("action_list_v1_positions")
+def q_action_list_positions(spark, sf):
+    """The filtered list by probability, with places."""
+    seg = P.v1_segments(results_v1(spark, sf), best_thr(spark, sf))
+    out = B.filter_in(seg, Segment=["🔴 Critical Risk", "🟡 Target Zone"],
+                      Contract=["Month-to-month"]).select("customerID", "Churn_Prob")
+    return rounded(P.with_position(out, [F.col("Churn_Prob").desc(), F.col("customerID").asc()]))
 
 
 @query("bucket_mix")
@@ -566,9 +630,106 @@ def q_clv_quantiles(spark, sf):
 # ---- MLlib gradient-boosted models (rows-only checks) -------------------------------
 
 
+LABELS = (J.CHURN_LABEL, *J.WINDOW_LABELS)
+
+
+def prepared(spark, sf):
+    """The labelled table, written once for everything that fits from it."""
+    return _cached("prepared", spark, sf, lambda: T_.materialize(labeled(spark, sf), "labeled"))
+
+
+def encoding(spark, sf):
+    return _cached("encoding", spark, sf, lambda: EN.plan_encoding(
+        prepared(spark, sf).filter(~F.col("is_test"))))
+
+
+def matrix(spark, sf):
+    """Binned inputs of every customer, with labels and split."""
+    return _cached("matrix", spark, sf, lambda: EN.build_matrix(
+        prepared(spark, sf), encoding(spark, sf), ["customerID", "is_test", *LABELS]))
+
+
+def gbt_models(spark, sf):
+    """The churn and the three horizon models, from one encoding and matrix."""
+    return _cached("gbt", spark, sf, lambda: ML.fit_models(
+        None, LABELS, encoding=encoding(spark, sf),
+        matrix=matrix(spark, sf).filter(~F.col("is_test"))))
+
+
 def gbt(spark, sf):
-    return _cached("gbt", spark, sf, lambda: ML.fit_churn_model(
-        labeled(spark, sf).filter(~F.col("is_test")), "Churn_Target"))
+    return gbt_models(spark, sf)[J.CHURN_LABEL]
+
+
+def gbt_leaves(spark, sf, label=J.CHURN_LABEL):
+    return _cached(f"leaves_{label}", spark, sf, lambda: T_.materialize(
+        gbt_models(spark, sf)[label].leaves(), "leaves"))
+
+
+@query("model_inputs_plan")
+def q_model_inputs_plan(spark, sf):
+    """G2 + D17: how each input column is encoded."""
+    t = encoding(spark, sf).table(spark)
+    return rounded(t.select("name", "kind", "fill", F.size("cuts").alias("n_cuts"),
+                            F.size("values").alias("n_values")))
+
+
+@query("model_matrix")
+def q_model_matrix(spark, sf):
+    """The written fit matrix, long: bins of numeric inputs and the slots
+    that are set, under their encoded names."""
+    enc = encoding(spark, sf)
+    names = F.array(*map(F.lit, enc.names()))
+    return (matrix(spark, sf).select("customerID", F.posexplode("x").alias("slot", "value"))
+            .filter((F.col("value") != 0) | (F.col("slot") < len(enc.numeric)))
+            .select("customerID", F.get(names, F.col("slot")).alias("feature"),
+                    F.col("value").cast("int").alias("value")))
+
+
+@query("gbt_model_checks")
+def q_gbt_model_checks(spark, sf):
+    """G3, G4, G10, A9 as invariants: of each model's hold-out rows, how many
+    have a score in [0, 1], the same score from the leaf table, and the same
+    score from the model as saved."""
+    hold = matrix(spark, sf).filter("is_test").select("customerID", "x")
+    out = None
+    for label, model in gbt_models(spark, sf).items():
+        leaves = gbt_leaves(spark, sf, label)
+        p = model.score_matrix(hold, "p").select("customerID", "x", "p")
+        again = ML.load_churn_model(model.path).score_matrix(p, "q").select("customerID", "p", "q")
+        both = again.join(TR.leaf_scores(hold, leaves), "customerID", "left")
+        near = F.abs(1 / (1 + F.exp(-F.col("margin"))) - F.col("p")) < 1e-9
+        one = both.agg(F.count("*").alias("rows"), F.count_if(F.col("p").between(0, 1)).alias("in_unit"),
+                       F.count_if(near).alias("same_from_leaves"),
+                       F.count_if(F.col("p") == F.col("q")).alias("same_from_folder"))
+        one = one.select(F.lit(label).alias("label"), "*")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query("gbt_shapley_checks")
+def q_gbt_shapley_checks(spark, sf):
+    """G7b as an invariant: of all hold-out rows, how many have contributions
+    that add up to the margin less the base value."""
+    leaves = gbt_leaves(spark, sf)
+    hold = matrix(spark, sf).filter("is_test")
+    total = gbt_contributions(spark, sf).groupBy("customerID").agg(
+        F.sum("contribution").alias("total"))
+    base = TR.base_value(leaves).first()["base"]
+    both = TR.leaf_scores(hold, leaves).join(total, "customerID")
+    return both.agg(F.count("*").alias("rows"), F.count_if(
+        F.abs(F.col("total") + base - F.col("margin")) < 1e-6).alias("additive"))
+
+
+def gbt_contributions(spark, sf):
+    return _cached("gbt_contributions", spark, sf, lambda: T_.materialize(TR.tree_shapley(
+        matrix(spark, sf).filter("is_test"), gbt_leaves(spark, sf),
+        encoding(spark, sf).names()), "gbt_contributions"))
+
+
+@query("gbt_node_table")
+def q_gbt_nodes(spark, sf):
+    """G3 + G4: the fitted trees as rows."""
+    return gbt(spark, sf).nodes()
 
 
 @query("gbt_scores")
@@ -597,11 +758,9 @@ def q_gbt_saved(spark, sf):
 @query("gbt_window_scores")
 def q_gbt_windows(spark, sf):
     """One model per horizon (30/60/90 days), hold-out risks."""
-    lab = labeled(spark, sf)
-    models = ML.fit_window_models(lab.filter(~F.col("is_test")))
-    out = lab.filter(F.col("is_test")).select(*[c for c in lab.columns])
-    for w, m in models.items():
-        out = m.transform(out, f"risk_{w}d")
+    out = matrix(spark, sf).filter("is_test").select("customerID", "x")
+    for label in J.WINDOW_LABELS:
+        out = gbt_models(spark, sf)[label].score_matrix(out, J.SCORE_COLUMNS[label])
     return out.select("customerID", "risk_30d", "risk_60d", "risk_90d")
 
 
@@ -647,6 +806,48 @@ def q_csv_roundtrip(spark, sf):
     return rounded(B.engineered(raw, "v2"))
 
 
+@query("csv_quarantine")
+def q_csv_quarantine(spark, sf):
+    """A2: a raw file in which some lines are cut short. Those are in the
+    quarantine and in no other table; the other customers are engineered."""
+    folder = T_.scratch_path(spark, "raw")
+    rows = subscribers(spark, sf).drop("days_to_churn")
+    T_.write_csv(rows, f"{folder}/Churn_Telco.csv")
+    head = spark.createDataFrame([(0, ",".join(rows.columns))], "o int, value string")
+    cut = rows.filter(F.col("customerID").cast("long") % 10 == 0).select(
+        F.lit(1).alias("o"), F.concat("customerID", F.lit(",cut short")).alias("value"))
+    (head.union(cut).coalesce(1).sortWithinPartitions("o").select("value")
+     .write.mode("append").text(f"{folder}/Churn_Telco.csv"))
+    got = SRC.ingest_raw(spark, folder, T_.scratch_path(spark, "ingested"), schema=rows.schema)
+    counted = B.engineered(got.rows, "v2").agg(
+        F.count("*").alias("engineered"), F.count("customerID").alias("with_key"))
+    lines = got.quarantine.agg(F.count("*").alias("quarantined"), F.min("line").alias("first_line"))
+    # two tables of one row
+    return counted.withColumn("k", F.lit(1)).join(lines.withColumn("k", F.lit(1)), "k").select(
+        "engineered", "with_key", "quarantined", "first_line",
+        F.lit(got.n_rows).cast("long").alias("rows_seen"),
+        F.lit(got.n_malformed).cast("long").alias("malformed_seen"))
+
+
+@query("odd_charges")
+def q_odd_charges(spark, sf):
+    """B1 + B10 on text that is no finite number: '1e999' is NULL as well."""
+    key = F.col("customerID").cast("long")
+    text = F.when(key % 3 == 0, "1e999").when(key % 3 == 1, "-1e400").otherwise(F.col("TotalCharges"))
+    eng = B.engineered(subscribers(spark, sf).withColumn("TotalCharges", text))
+    return rounded(eng.select("customerID", "TotalCharges", "Avg_Historical_Charge"))
+
+
+@query("split_exact_null_labels")
+def q_split_null_labels(spark, sf):
+    """G1, exact-count variant with rows that have no label: a class of its own."""
+    from .operators import split as S
+    eng = B.engineered(subscribers(spark, sf)).withColumn("label", F.when(
+        F.col("customerID").cast("long") % 7 != 0, F.col("Churn_Target")))
+    return S.with_exact_split(eng, "label").groupBy("is_test", "label").agg(
+        F.count(F.lit(1)).alias("customers"))
+
+
 @query("metrics_json_roundtrip")
 def q_metrics_json(spark, sf):
     """Model metric records written as JSON and read back (A3)."""
@@ -687,12 +888,10 @@ def q_export(spark, sf):
 
 @query("gbt_reason_codes")
 def q_gbt_reason_codes(spark, sf):
-    """G7b + G5 + G8 + G9: sampled Shapley contributions of the GBT model on
-    the hold-out (background: training rows), then reason codes."""
+    """G7b + G5 + G8 + G9: exact tree Shapley contributions of the GBT model
+    on the hold-out, then reason codes."""
     from .operators import shapley as SH
-    lab = labeled(spark, sf)
-    long = SH.sampled_shapley(gbt(spark, sf), lab.filter(F.col("is_test")),
-                              lab.filter(~F.col("is_test")))
+    long = gbt_contributions(spark, sf)
     rc = X.add_reason_codes(SH.contribution_arrays(long))
     return X.add_buckets_and_actions(rc)
 

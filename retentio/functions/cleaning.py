@@ -29,10 +29,11 @@ def col_or(c: str | Column) -> Column:
 
 
 def lenient_double(c: str | Column) -> Column:
-    """B1: text -> double, anything unparsable -> NULL (ANSI-safe)."""
+    """B1: text -> double, anything unparsable or beyond a double -> NULL (ANSI-safe)."""
     text = F.trim(col_or(c).cast("string"))
     number = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-    return F.when(text.rlike(number), text.try_cast("double"))
+    value = text.try_cast("double")
+    return F.when(text.rlike(number) & (F.abs(value) < float("inf")), value)
 
 
 def churn_target(c: str | Column = "Churn", case_sensitive: bool = False) -> Column:

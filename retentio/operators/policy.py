@@ -9,7 +9,7 @@ only when N is under the broadcast limit, salted shuffle otherwise).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import LiveParams
@@ -194,22 +194,45 @@ def top_reasons(df: DataFrame, k: int = 15) -> DataFrame:
 
 # ---- E1-E8 / H15 / H16 -------------------------------------------------------------------
 
-def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """First n rows in an order (per-task top-n + merge)."""
-    return df.orderBy(*order).limit(n)
+#: tasks whose first rows are merged by one task, before the last merge
+MERGED_TASKS = 64
 
 
-def queue(df: DataFrame, tier: str, n: int = 200, key: str = "customerID") -> DataFrame:
+def top_rows(df: DataFrame, order: list[Column], n: int, position: str | None = None) -> DataFrame:
+    """First n rows in an order. Every task keeps its first n;
+    with more than MERGED_TASKS shuffle partitions these are merged per group
+    of tasks first, so the last task reads n rows per group instead of per
+    task. `position`, when given, adds the 1-based place as a column."""
+    if int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) > MERGED_TASKS:
+        grouped = df.withColumn("_task", F.spark_partition_id()).withColumn(
+            "_group", F.floor(F.col("_task") / MERGED_TASKS))
+        place = F.row_number().over(Window.partitionBy("_group").orderBy(*order))
+        df = grouped.withColumn("_place", place).filter(F.col("_place") <= n).drop(
+            "_task", "_group", "_place")
+    out = df.orderBy(*order).limit(n)
+    # a window over n rows
+    return out.withColumn(position, F.row_number().over(Window.orderBy(*order))) if position else out
+
+
+def with_position(df: DataFrame, order: list[Column], out: str = "position") -> DataFrame:
+    """The 1-based place of every row in a total order, as a column:
+    the order survives a write. Range-partitioned, no single task."""
+    return position_in_group(df, [], order, out).withColumn(out, F.col(out) + 1)
+
+
+def queue(df: DataFrame, tier: str, n: int = 200, key: str = "customerID",
+          position: str | None = None) -> DataFrame:
     """One routing queue, by routing score desc."""
     return top_rows(df.filter(F.col("routing_tier_live") == tier),
-                    [F.col("routing_score_live").desc(), F.col(key).asc()], n)
+                    [F.col("routing_score_live").desc(), F.col(key).asc()], n, position)
 
 
-def action_list(df: DataFrame, n: int = 500, key: str = "customerID") -> DataFrame:
+def action_list(df: DataFrame, n: int = 500, key: str = "customerID",
+                position: str | None = None) -> DataFrame:
     """By live ROI, else stored ROI, else probability; first n."""
     for c in ("roi_proxy_live", "roi_proxy", "Churn_Prob"):
         if c in df.columns:
-            return top_rows(df, [F.col(c).desc_nulls_last(), F.col(key).asc()], n)
+            return top_rows(df, [F.col(c).desc_nulls_last(), F.col(key).asc()], n, position)
     raise ValueError("no sortable score column")
 
 
@@ -219,15 +242,26 @@ def sorted_positions(df: DataFrame, x: str, group: str = "Segment", key: str = "
     return position_in_group(df, [group], [F.col(x).asc_nulls_last(), F.col(key).asc()], out)
 
 
+# ---- fixed values: column names of the case file and the action list ------------
 CASE_FILE_COLUMNS = (
     "customerID", "Churn_Prob", "churn_prob_v2", "risk_30d", "risk_60d", "risk_90d", "clv",
-    "value_segment", "value_segment_live", "expected_loss_30d_live", "offer_cost_live",
+    "value_segment", "value_segment_live", "value_basis_live", "value_base_live",
+    "expected_loss_30d_live", "offer_cost_live",
     "roi_proxy_live", "should_intervene_live", "routing_tier_live",
     "reason_1", "impact_1", "bucket_1", "reason_2", "impact_2", "bucket_2",
     "reason_3", "impact_3", "bucket_3", "recommended_action", "intervention_type")
+ACTION_LIST_COLUMNS = (
+    "position", "customerID", "Churn_Prob", "churn_prob_v2", "risk_30d", "risk_60d", "risk_90d",
+    "Segment", "tenure", "MonthlyCharges", "Contract", "PaymentMethod", "clv", "value_segment",
+    "value_segment_live", "value_basis_live", "value_base_live", "expected_loss_30d_live",
+    "offer_cost_live", "should_intervene_live", "roi_proxy_live", "routing_score_live",
+    "routing_tier_live", "reason_1", "recommended_action", "intervention_type")
+# ---------------------------------------------------------------------------
 
 
 def case_file(df: DataFrame, customer, key: str = "customerID") -> DataFrame:
-    """B23 + H15: one customer's case file (key normalised, first match)."""
-    one = df.filter(F.trim(F.col(key).cast("string")) == customer).limit(1)
+    """B23 + H15: one customer's case file (first match). Keys are normalised
+    where they enter, so here the argument is: the plain equality reaches the
+    scan, which reads one bucket and skips by the key's Bloom filter."""
+    one = df.filter(F.col(key) == str(customer).strip()).limit(1)
     return one.select(*[c for c in CASE_FILE_COLUMNS if c in df.columns])

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TWO_POW_32 = 4294967296.0
+MAX_CLASSES = 1000
 
 
 def split_fraction(key: str | Column = "customerID", seed: int = 42) -> Column:
@@ -34,12 +35,6 @@ def with_split(df: DataFrame, key: str = "customerID", test_size: float = 0.2,
     return df.withColumn(out, is_test(key, test_size, seed))
 
 
-def train_test(df: DataFrame, key: str = "customerID", test_size: float = 0.2,
-               seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    t = is_test(key, test_size, seed)
-    return df.filter(~t), df.filter(t)
-
-
 def class_allocation(counts: dict, test_size: float = 0.2) -> dict:
     """Test rows per class for an exact stratified split: n_test =
     ceil(test_size * n); each class gets floor(n_test * n_c / n), and the
@@ -51,7 +46,7 @@ def class_allocation(counts: dict, test_size: float = 0.2) -> dict:
     share = {c: n_test * k / n for c, k in counts.items()}
     alloc = {c: math.floor(v) for c, v in share.items()}
     left = n_test - sum(alloc.values())
-    order = sorted(counts, key=lambda c: (-(share[c] - alloc[c]), -counts[c], c))
+    order = sorted(counts, key=lambda c: (-(share[c] - alloc[c]), -counts[c], c is None, c or 0))
     for c in order[:left]:
         alloc[c] += 1
     return alloc
@@ -62,14 +57,17 @@ def with_exact_split(df: DataFrame, label: str, key: str = "customerID", test_si
     """G1, exact-count variant: within each class, rows ordered by the same
     (seed, key) hash; the first allocation-many are the test rows. Positions
     come from range-partitioned running totals, so a class holding most rows
-    is not ranked in one task."""
+    is not ranked in one task. Rows without a label are a class of their own."""
     from ..plans.prefix import position_in_group
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
+    found = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()   # one row per class
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class")
+    counts = {r[0]: r[1] for r in found}
     alloc = class_allocation(counts, test_size)
     ranked = position_in_group(df.withColumn("_u", split_fraction(key, seed)), [label],
                                [F.col("_u").asc(), F.col(key).asc()], "_pos")
     cut = None
     for c, t in alloc.items():
-        cond = F.col(label) == F.lit(c)
+        cond = F.col(label).eqNullSafe(F.lit(c))
         cut = F.when(cond, F.lit(t)) if cut is None else cut.when(cond, F.lit(t))
     return ranked.withColumn(out, F.col("_pos") < cut).drop("_u", "_pos")
