@@ -218,6 +218,40 @@ def test_passages_cut_to_the_bound_equal_brute_force(spark, docs):
     assert {(r["doc_id"], r["item_id"]) for r in got} == want
 
 
+def changed_passage(seed):
+    """An item, and prose that holds it swapped, cut or edited."""
+    r = random.Random(seed)
+    size = r.randint(12, 60)
+    item = [f"w{r.randrange(3000)}" for _ in range(size)]
+    kind, a = seed % 4, r.randint(1, size - 1)
+    text = list(item)
+    if kind == 0:
+        text = item[a:] + item[:a]
+    elif kind == 1:
+        text = item[:-max(1, size // 10)]
+    elif kind == 2:
+        text[a] = "changed"
+    else:
+        b, c = sorted(r.sample(range(size), 2))
+        text = item[:b] + item[c:] + item[b:c]
+    prose = [f"p{r.randrange(1000)}" for _ in range(25)]
+    return " ".join(item), " ".join(prose + text + prose[::-1])
+
+
+def test_swapped_and_edited_passages_are_found(spark, docs):
+    """Recall 1 on 200 passages: every one that some window of the document
+    matches is returned, whatever the order of the item's parts."""
+    made = [changed_passage(s) for s in range(200)]
+    parts = [" ".join(f"{x}{i}" for i in range(30)) for x in "ab"]
+    made.append((" ".join(parts), f"prose {parts[1]} {parts[0]} prose"))
+    want = {(i, i) for i, (x, t) in enumerate(made) if brute_matches([(i, t)], [(i, x)])}
+    assert (200, 200) in want and len(want) > 80
+    got = decontaminate.contamination_query(
+        docs([(i, t) for i, (_, t) in enumerate(made)]),
+        spark.createDataFrame([(i, x) for i, (x, _) in enumerate(made)], "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+
+
 # -- operator 10 -----------------------------------------------------------
 def test_url_edges(spark):
     urls = ["http://WWW.Example.com/en/a?b#c", "https://m.example.com/en/", "http://a.com",
