@@ -1,83 +1,92 @@
-"""The labelled table of operator 8: example pages written for it. Blocks
-of article text start with [[ ; every other block is boilerplate."""
+"""The labelled table of operator 8: example pages made by rule from a few
+invented sentences. Blocks of article text start with [[ ; every other block
+is boilerplate. Most pages have neither telling elements nor names."""
 
 _LONG = ("The river rose again in the night and by morning the lower road was closed, so the "
-         "school bus went round by the mill and came an hour late to the village. ")
+         "school bus went round by the mill and came an hour late to the village.")
 _MID = "She had not expected an answer so soon, and read the letter twice."
+_LINKED = f'{_LONG} See <a href="/m">the map</a> of it. {_MID}'
 
-_MENU = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in
-                ("Home", "News", "Sport", "About us", "Contact"))
+#: article blocks: lengths as they follow each other
+_ARTICLES = [
+    [("h1", "The river"), ("p", _LONG), ("p", _LONG), ("p", _LONG)],
+    [("p", f"{_LONG} {_LONG}"), ("p", _LONG), ("p", _MID), ("p", f"{_LONG} {_LONG} {_LONG}")],
+    [("h1", "A letter for the miller"), ("p", _MID), ("p", "Rain."), ("p", _LONG), ("p", _MID)],
+    [("h2", "Ice"), ("p", _LINKED), ("p", "Nobody was hurt."), ("p", "Yes."), ("p", _LONG)],
+    [("h1", "Market day by the mill"), ("p", _LONG), ("h2", "What came then"), ("p", _LONG),
+     ("p", "It was late."), ("p", f"{_LONG} {_MID}")],
+    [("p", _LONG), ("blockquote", "It never ran better, he said."), ("p", _LONG),
+     ("li", "one wheel of oak"), ("li", "two stones from the quarry"), ("li", "a bell"), ("p", _MID)],
+]
+_LINKS = ["Home", "News", "Sport and games", "About us", "Contact"]
 
 
-def _article(*texts: str) -> str:
-    return "".join(f"<p>[[{t}</p>" for t in texts)
+def _article(blocks, tag: str | None = None) -> str:
+    return "".join(f"<{tag or t}>[[{x}</{tag or t}>" for t, x in blocks)
 
 
-PAGES = [
-    # a usual page: menu, advert, article, footer
-    f"""<html><head><title>River</title><style>p{{}}</style></head><body><nav><ul>{_MENU}</ul></nav>
-    <div class="ad">Buy two pairs of boots and get the third one free this week only.</div>
-    <article><h1>[[River closes road</h1>{_article(_LONG * 3, _LONG, "Nobody was hurt.", "Yes.",
-                                                  _MID, _LONG * 2)}</article>
-    <footer>&copy; Village News &middot; All rights reserved, no copying without leave.</footer>
-    </body></html>""",
-    # header, sidebar, comments, no article element
-    f"""<body><header><h2>Village News</h2><p>Your paper since 1902, every day</p></header>
-    <div id="menu"><a href="/a">Start</a> <a href="/b">Archive</a></div>
-    <div class="content"><h1>[[A letter</h1>{_article(_MID, _LONG * 2, "It was late.", _LONG)}
-    <h2>[[What came then</h2>{_article(_LONG * 4, "No.", _MID)}</div>
-    <div class="sidebar"><h3>Most read</h3><p><a href="/1">Mill sold to a buyer from town</a></p>
-    <p>{_LONG}</p></div>
-    <section id="comments"><h3>3 comments</h3><p>Great read, thank you for writing this up!</p>
-    <p>{_LONG}</p><p>{_MID}</p></section><div class="footer"><p>Imprint</p><p>{_MID}</p></div>""",
-    # cookie notice, form, related links, newsletter
-    f"""<body><div class="cookie-notice"><p>We use cookies to make this site work. {_MID}</p>
-    <button>Accept</button></div><form><label>Name</label> <input> <p>Send us your view here</p>
-    </form><main><h1>[[The mill</h1>{_article(_LONG, _MID, "Then it stopped.", _LONG * 2)}
-    <ul><li>[[one wheel of oak</li><li>[[two stones from the quarry</li><li>[[a bell</li></ul>
-    <blockquote>[[It never ran better, he said.</blockquote>
-    <aside><p>Sign up for our letter: {_LONG}</p></aside>
-    <div class="related"><h4>Read next</h4><a href="/x">The bridge that was never built</a></div>
-    {_article(_LONG * 2)}</main><div role="contentinfo"><p>Printed in the village</p></div>""",
-    # plain structure, nothing says what is what
-    f"""<body><div><a href="/">Start</a> | <a href="/n">News</a> | <a href="/s">Sport</a></div>
-    <div><p>[[{_LONG * 3}</p><p>[[{_LONG * 2}</p><p>[[{_MID}</p><p>[[{_LONG * 4}</p></div>
-    <div><a href="/p">Privacy</a> <a href="/t">Terms</a> <a href="/c">Contact</a></div></body>""",
-    f"""<body><p><a href="/login">Log in</a></p><h1>[[Ice on the lake</h1><p>[[{_LONG * 2}</p>
-    <p>[[{_LONG}<a href="/m">See the map</a> {_MID}</p><p>[[{_LONG * 3}</p>
-    <ul>{_MENU}</ul><p><a href="/next">Next story: the long winter of our fathers</a></p></body>""",
-    # an article with unclosed tags
-    f"""<body><nav><a href="/">Home</a></nav><article><h1>[[Snow</h1><p><b>[[{_MID}<br>
-    <p>[[{_LONG}</p><p>[[Cold.</p><p>[[{_MID}</p><p><b>[[{_LONG}<br><p>[[Still cold.</p></article>
-    <footer>Village News, the paper for all who live by the river and its many mills.</footer>""",
-    f"""<body><div class="breadcrumbs"><a href="/">Home</a> &gt; <a href="/n">News</a></div>
-    <article class="post"><header><h1>[[Market day</h1></header>
-    {_article(_MID, "Rain.", _LONG, _MID, _LONG * 2)}<p>[[Read <a href="/q">the whole report</a> on
-    it, which has all that was said.</p><div class="share">Share this with friends and family</div>
-    {_article("Good bread.", _LONG)}</article><article class="comment"><p>{_MID}</p><p>{_LONG}</p>
-    <p>Nice.</p></article><div class="banner"><p>{_LONG}</p><p>Only today!</p></div>""",
-    f"""<body><div class="popup"><p>{_MID}</p><p>Close</p></div><div role="navigation">
-    <p>Sections</p><a href="/1">One</a></div><div class="entry">{_article("Short.", "So it is.",
-    _MID, _LONG * 5, _LONG)}</div><div class="advertisement"><p>{_LONG}</p><p>Order now.</p></div>
-    <div class="newsletter"><p>{_MID}</p></div><div id="footer"><p>{_LONG}</p><p>2024</p></div>""",
-    # nothing says what is what, but short lines stand among links
-    f"""<body><div><a href="/">Start</a> <a href="/n">News</a></div><div>Tuesday, page three</div>
-    <div><a href="/s">Sport</a></div><h1>[[The well</h1><div>[[{_LONG * 2}</div>
-    <div>[[{_MID}</div><div>[[{_LONG * 3}</div><div><a href="/2">Page 2</a></div>
-    <div>Printed in the village</div><div><a href="/p">Privacy</a></div>""",
-    f"""<body><div><a href="/">Start</a></div><div>Weather: mild</div><div><a href="/n">News</a></div>
-    <h2>[[The frost</h2><p>[[{_LONG}</p><p>[[{_MID}</p><p>[[Gone.</p><p>[[{_LONG * 2}</p>
-    <div><a href="/t">Terms</a></div><div>All rights reserved</div>
-    <div><a href="/c">Contact</a></div>""",
-    # unwanted words as parts of the names around an article, and around the rest
-    f"""<body><div id="page" class="has-sidebar"><div class="site-nav"><p>Sections</p><p>{_MID}</p>
-    </div><div class="content with-sidebar"><h1>[[The ferry</h1>{_article(_LONG * 2, _MID, "No.",
-    _LONG)}</div><div class="page-footer"><p>{_MID}</p><p>{_LONG}</p></div></div>""",
-    f"""<body><div class="site-menu"><a href="/">Home</a></div><article
-    class="post category-social"><h1>[[The fair</h1>{_article(_MID, "It rained.", _LONG * 3, _LONG)}
-    </article><div class="site-cookie-bar"><p>{_LONG}</p><p>Accept</p></div>
-    <div class="our-newsletter"><p>{_MID}</p></div>""",
-    f"""<body><div class="wrap no-banner"><article class="tags-hidden">{_article(_LONG, _MID, "Gone.",
-    _LONG * 2)}</article><div class="user-comments"><p>{_LONG}</p><p>{_MID}</p><p>Nice.</p></div>
-    </div>""",
-]
+def _links(tag: str) -> str:
+    return "".join(f'<{tag}><a href="/{w}">{w}</a></{tag}>' for w in _LINKS)
+
+
+def _bare(blocks) -> list[str]:
+    """Nothing says what is what."""
+    one = "".join(f' <a href="/{w}">{w}</a> |' for w in _LINKS)
+    return [
+        f"<body>{_article(blocks)}</body>",
+        f"<body><div id=x1>{_article(blocks)}</div></body>",
+        f"<body><div>{one}</div>{_article(blocks)}<div>{one}</div></body>",
+        f"<body><ul>{_links('li')}</ul><div>{_article(blocks, 'div')}</div><p>Read next: <a href='/n'>"
+        f"the long winter of our fathers in the hills</a></p>{_links('p')}</body>",
+        f"<body>{_links('div')}<div>Tuesday, page three</div>{_links('div')}<div>{_article(blocks)}"
+        f"</div>{_links('p')}<div>Printed in the village</div>{_links('div')}</body>",
+        f"<body><p>{one}</p><table><tr><td>{_article(blocks)}</td></tr></table><p>{one}</p>"
+        "<p>All rights reserved</p></body>",
+    ]
+
+
+def _with_elements(blocks) -> list[str]:
+    """Furniture elements, with and without an article element."""
+    head = f"<header><h2>Village News</h2><p>Your paper since 1902, every day</p></header><nav>{_links('li')}</nav>"
+    foot = f"<footer><p>Imprint</p><p>{_MID}</p><p>Village News, all rights reserved.</p></footer>"
+    form = "<form><p>Send us your view here</p><label>Name</label></form>"
+    return [
+        f"<body>{head}{_article(blocks)}{foot}</body>",
+        f"<body>{head}<article><header>{_article(blocks[:1])}</header>{_article(blocks[1:])}</article>{foot}</body>",
+        f"<body>{head}<main>{_article(blocks)}<aside><p>Sign up for our letter: {_LONG}</p></aside>"
+        f"{_article(blocks[:2])}</main>{form}{foot}</body>",
+        f"<body><div role=navigation><p>Sections</p>{_links('p')}</div><article>{_article(blocks)}"
+        f"<p>[[<a href='/q'>The whole report</a></p></article><div role=contentinfo><p>{_LONG}</p></div></body>",
+        f"<body><dialog><p>{_LONG}</p><p>Close</p></dialog><article>{_article(blocks)}</article>{foot}</body>",
+    ]
+
+
+def _with_names(blocks) -> list[str]:
+    """Names around furniture, names around articles that only sound so."""
+    return [
+        f"<body><div class=ad>{_MID}</div><article>{_article(blocks)}</article><footer>{_MID}</footer></body>",
+        f"<body><div class=ad>Buy two pairs of boots today.</div>{_article(blocks)}"
+        f"<div class=newsletter><p>{_LONG}</p></div></body>",
+        f"<body><div class=cookie-notice><p>We use cookies. {_MID}</p></div><div class='content with-sidebar'>"
+        f"{_article(blocks)}</div><div class=sidebar><h3>Most read</h3><p>{_LONG}</p></div>"
+        f"<section id=comments><h3>3 comments</h3><p>{_LONG}</p><p>Nice.</p></section></body>",
+        f"<body><article class='post category-social'>{_article(blocks[:2])}<div class=ad>{_MID}</div>"
+        f"<section id=legal>{_article(blocks)}</section><div class=advert>Order now.</div>"
+        f"<section class=reply>{_article(blocks)}</section><div class=promo><p>{_MID}</p></div>"
+        f"<section class=comments><p>{_LONG}</p><p>{_MID}</p><p>Nice.</p></section></article></body>",
+        f"<body><div class=popup><p>{_MID}</p></div><div class=entry>{_article(blocks)}</div>"
+        f"<div class=user-comments><p>{_LONG}</p><p>{_MID}</p></div><div id=footer><p>{_LONG}</p></div></body>",
+        f"<body><div class=site-sidebar><p>{_LONG}</p><p>{_LONG}</p><p>{_MID}</p></div><div class='post tags-list'>"
+        f"{_article(blocks)}</div><div class=our-sharing><p>{_LONG}</p><p>{_MID}</p></div></body>",
+        f"<body><main class=has-sidebar>{_article(blocks)}<div class=related><h4>Read next</h4>{_links('p')}"
+        f"</div>{_article(blocks[-1:])}</main><div class=banner><p>{_LONG}</p><p>Only today!</p></div></body>",
+    ]
+
+
+PAGES = [page for blocks in _ARTICLES
+         for page in (*_bare(blocks), *_with_elements(blocks), *_with_names(blocks))]
+# plain text; an article whose tags are left open; a page that is nothing but furniture
+PAGES += [f"[[{_LONG}", f"[[{_LONG} {_MID}", f"[[{_MID}", "Not found", "Please log in",
+          f"<body><nav><a href=/>Home</a></nav><article><h1>[[Snow</h1><p><b>[[{_MID}<br><p>[[{_LONG}</p>"
+          f"<p>[[Cold.</p><p><b>[[{_LONG}<br><p>[[Still cold.</p></article><footer>{_MID}</footer>",
+          f"<body>{_links('li')}<p>Not found</p>{_links('p')}</body>"]

@@ -1,26 +1,35 @@
 """Operator 8: main text of HTML pages.
 
 A page is cut into flat text blocks at block-level tags. Each block has its
-word count, its link density (share of characters inside links), the same
-two of its neighbours, and what the elements around it say (navigation or
-advert names, article, heading). A decision tree (MLlib) trained on the
-small labelled table of `html_examples.py` tells article blocks from the
-rest. The tree becomes one column expression, so a page is parsed, judged
-and joined inside one narrow stage: no shuffle.
-
-Scripts, styles, the head, comments and other markup never make a block.
-Inside a block, white space becomes one space and character references are
-decoded; blocks are joined in page order by one line feed.
+word count and its link density (share of characters inside links), the
+same two of its neighbours, and weaker signs: is it a heading; does it stand
+in a furniture element (nav, footer, aside, form, ...) or in an article
+element; do class and id names around it speak of adverts and notices, of
+other furniture or of comments.
+A decision tree (MLlib) trained on the small labelled table of
+`html_examples.py`, most of whose pages have no telling element or name at
+all, tells article blocks from the rest. The tree becomes one column
+expression, so a page is parsed, judged and joined inside one narrow stage:
+no shuffle.
+
+The page is read once from left to right (`tokens`), so the cost is linear
+in its length however broken it is. Scripts, styles, the head, comments and
+other markup never make a block. Inside a block, white space becomes one
+space and character references are decoded; blocks are joined in page order
+by one line feed.
 
 Defined cases: a null or empty html gives an empty text; plain text without
 tags is one block and judged like any other; unclosed tags end with what
-holds them; rows that repeat a page are extracted one by one.
+holds them; an unclosed quote ends with its word; a `<` with no `>` after it
+is text, and a tag that the end of the page cuts off is none; rows that
+repeat a page are extracted one by one.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -31,208 +40,266 @@ from pyspark.sql import functions as F
 from .common import bounded_batches
 from .html_examples import PAGES
 
+#: signs of the elements around a block, as bits of an element's role
+SIGNS = ["furniture", "in_article", "advert", "named", "name_part", "comments"]
+FURNITURE, ARTICLE, ADVERT, NAMED, PART, COMMENTS, SKIP = (1 << i for i in range(7))
 FEATURES = ["words", "link_density", "words_before", "density_before", "words_after",
-            "density_after", "unwanted", "in_article", "heading", "part_nearest", "part_above"]
+            "density_after", "heading", *SIGNS]
 BLOCK = "struct<text:string,x:array<double>>"
 
 # HTML element names by the part they play.
-SKIPPED = {"script", "style", "head", "noscript", "template", "svg", "math", "iframe", "object",
-           "select", "textarea", "button", "canvas", "audio", "video", "title"}
-RAW = {"script", "style", "textarea", "title", "iframe", "noscript"}
+SKIPPED = {"script", "style", "head", "template", "svg", "iframe", "textarea", "button", "canvas",
+           "audio", "video", "title"}
+RAW = {"script", "style", "textarea", "title", "iframe"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del",
           "dfn", "em", "font", "i", "img", "input", "ins", "kbd", "label", "mark", "q", "rp", "rt",
           "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
           "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
-UNWANTED_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog"}
-UNWANTED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form",
-                  "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
-UNWANTED_WORDS = {"nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer",
-                  "sidebar", "aside", "ad", "ads", "advert", "adverts", "advertisement",
-                  "advertising", "banner", "sponsor", "sponsored", "promo", "promotion", "cookie",
-                  "cookies", "consent", "gdpr", "notice", "popup", "modal", "overlay", "alert",
-                  "comment", "comments", "disqus", "respond", "reply", "replies", "share",
-                  "sharing", "social", "related", "recommended", "recommendations", "newsletter",
-                  "subscribe", "signup", "login", "search", "widget", "pagination", "pager",
-                  "toolbar", "masthead", "topbar", "skip", "copyright", "legal", "tags", "toc"}
-ARTICLE_WORDS = {"article", "content", "post", "entry", "story", "main", "body"}
+FURNITURE_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog"}
+FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form",
+                   "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
+FURNITURE_WORDS = {"nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer",
+                   "sidebar", "aside", "login", "search", "pagination", "pager", "toolbar",
+                   "masthead", "topbar"}
+OTHER_WORDS = {"respond", "reply", "replies", "share", "sharing", "social", "related", "recommended",
+               "recommendations", "widget", "skip", "copyright", "legal", "tags", "toc"}
+ARTICLE_WORDS = {"article", "content", "post", "entry", "story", "main"}
+# a name with one of these tells of the layout, not of what the element holds
+QUALIFIERS = {"with", "without", "has", "no", "not"}
+ADVERT_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor",
+                "sponsored", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "notice",
+                "popup", "modal", "overlay", "alert", "newsletter", "subscribe", "signup"}
+COMMENT_WORDS = {"comment", "comments", "disqus"}
+_NAMES = FURNITURE_WORDS | ADVERT_WORDS | OTHER_WORDS
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)"
-                    r"((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-#: a whole attribute: name, and a value if there is one
-_ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+#: an attribute: white space and slashes, its name, and `=` where a value follows
+_ATTRIBUTE = re.compile(r"[\s/]*+([^\s/>][^\s/>=]*+)(\s*+=\s*+)?")
+_UNQUOTED = re.compile(r"[^\s>]*+")
+_GAP = re.compile(r"[\s/]*+")
 _NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _SPACE = re.compile(r"\s+")
 
 
-def _names(value: str) -> set[str]:
-    """Words of a class or id: `siteNav_main` has site, nav and main."""
-    return {w.lower() for w in _NAME_PART.findall(value)} | {w.lower() for w in value.split()}
-
-
-def _all_unwanted(value: str) -> bool:
-    """A class or id of unwanted words alone: `cookie-notice`, not `with-sidebar`."""
-    return any(name.lower() in UNWANTED_WORDS or parts and parts <= UNWANTED_WORDS
-               for name, parts in ((name, {w.lower() for w in _NAME_PART.findall(name)})
-                                   for name in value.split()))
-
-
-def _attributes(raw: str) -> dict[str, str]:
-    """Value by name, read from left to right; of a repeated name the first
-    counts, as in browsers."""
-    found = {}
-    for name, value in _ATTRIBUTE.findall(raw):
-        if value[:1] in ("'", '"') and value[-1:] == value[0]:
-            value = value[1:-1]
-        found.setdefault(name.lower(), value)
-    return found
-
-
-def _role(tag: str, attributes: str, in_article: bool) -> str:
-    """What an element says of its content: skip, bad, top, good, part (an
-    unwanted word is part of a name), both (and it is an article) or nothing."""
-    if tag in SKIPPED:
-        return "skip"
-    found = _attributes(attributes)
-    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" \
-            or "display:none" in found.get("style", "").replace(" ", "").lower():
-        return "skip"
-    names = _names(found.get("class", "")) | _names(found.get("id", ""))
-    if tag in UNWANTED_TAGS or found.get("role", "").lower() in UNWANTED_ROLES:
-        return "bad"
-    if tag in ("body", "html", "main"):
-        return "good" if tag == "main" else ""
-    if _all_unwanted(found.get("class", "")) or _all_unwanted(found.get("id", "")):
-        return "bad"
-    if tag == "header" or "header" in names:
-        return "" if in_article else "top"
-    part = names & UNWANTED_WORDS
-    if tag == "article" or found.get("role", "").lower() in ("main", "article") \
-            or names & ARTICLE_WORDS:
-        return "both" if part else "good"
-    return "part" if part else ""
+def _names_of(value: str) -> list[list[str]]:
+    """The words of each class or id: `siteNav_main` has site, nav and main."""
+    each = [[w.lower() for w in _NAME_PART.findall(name)] or [name.lower()] for name in value.split()]
+    return [words for words in each if not QUALIFIERS.intersection(words)]
+
+
+class Tag:
+    """A start or end tag; of a repeated attribute the first counts."""
+
+    def __init__(self, name: str, closing: bool):
+        self.name, self.closing = name, closing
+        self.attributes: dict[str, str] = {}
+        self.self_closing = False
+
+    def role(self, in_article: bool) -> int:
+        """What the element says of its content."""
+        get = self.attributes.get
+        if self.name in SKIPPED or "hidden" in self.attributes \
+                or get("aria-hidden", "").lower() == "true" \
+                or "display:none" in get("style", "").replace(" ", "").lower():
+            return SKIP
+        if not self.attributes and self.name not in FURNITURE_TAGS:
+            return ARTICLE if self.name in ("article", "main") else \
+                FURNITURE if self.name == "header" and not in_article else 0
+        names = _names_of(get("class", "")) + _names_of(get("id", ""))
+        words = set().union(*names)
+        role = get("role", "").lower()
+        out = 0
+        if self.name in FURNITURE_TAGS or role in FURNITURE_ROLES:
+            out |= FURNITURE
+        if (self.name == "header" or "header" in words) and not in_article:
+            out |= FURNITURE
+        if self.name in ("article", "main") or role in ("main", "article"):
+            out |= ARTICLE
+        elif self.name not in ("body", "html") and any(
+                ARTICLE_WORDS.intersection(n) and not _NAMES.intersection(n) for n in names):
+            out |= ARTICLE
+        if self.name not in ("body", "html"):
+            if words & COMMENT_WORDS:
+                out |= COMMENTS
+            # the last word of a name says what it is: a `site-sidebar`
+            last = {n[-1] for n in names}
+            if last & ADVERT_WORDS or any(ADVERT_WORDS.issuperset(n[:1]) and _NAMES.issuperset(n)
+                                          for n in names):
+                out |= ADVERT
+            elif last & FURNITURE_WORDS:
+                out |= FURNITURE
+            elif last & OTHER_WORDS:
+                out |= NAMED
+            elif words & _NAMES:
+                out |= PART
+        return out
+
+
+def tokens(page: str):
+    """Text (str) and tags of a page, in order. Nothing is read twice: the
+    search for a closing quote or comment end is not repeated where it once
+    found none."""
+    at, end, last_tag = 0, len(page), page.rfind(">")
+    unclosed: set[str] = set()
+    while at < end:
+        i = page.find("<", at)
+        if i < 0 or i > last_tag:
+            yield page[at:]
+            return
+        if page.startswith("<!", i) or page.startswith("<?", i):
+            if i > at:
+                yield page[at:i]
+            at = _after_comment(page, i)
+            continue
+        closing = page.startswith("/", i + 1)
+        name = _NAME.match(page, i + 1 + closing)
+        if name is None:
+            yield page[at:i + 1]
+            at = i + 1
+            continue
+        if i > at:
+            yield page[at:i]
+        tag = Tag(name[0].lower(), closing)
+        at = _attributes(page, name.end(), tag, unclosed)
+        if at < 0:
+            return
+        yield tag
+        if not closing and tag.name in RAW:          # its content is no markup
+            close = re.compile(f"</{re.escape(tag.name)}(?=[\\s/>])", re.I).search(page, at)
+            at = close.start() if close else end
+
+
+def _after_comment(page: str, i: int) -> int:
+    if not page.startswith("<!--", i):
+        return page.find(">", i) + 1 or len(page)
+    for short in ("<!-->", "<!--->"):
+        if page.startswith(short, i):
+            return i + len(short)
+    j = page.find("-->", i + 4)
+    return j + 3 if j >= 0 else len(page)
+
+
+def _attributes(page: str, at: int, tag: Tag, unclosed: set[str]) -> int:
+    """Read a tag's attributes; the place after its `>`, or -1 where the
+    page ends first."""
+    while True:
+        m = _ATTRIBUTE.match(page, at)
+        if m is None:
+            at = _GAP.match(page, at).end()
+            tag.self_closing = page.startswith("/", at - 1)
+            return at + 1 if at < len(page) else -1
+        at, value = m.end(), ""
+        if m[2]:
+            quote = page[at:at + 1]
+            if quote in ("'", '"') and quote and quote not in unclosed:
+                close = page.find(quote, at + 1)
+                if close >= 0:
+                    value, at = page[at + 1:close], close + 1
+                else:
+                    unclosed.add(quote)
+                    quote = ""
+            else:
+                quote = ""
+            if not quote:
+                value = _UNQUOTED.match(page, at)[0]
+                at += len(value)
+        tag.attributes.setdefault(m[1].lower(), value)
 
 
 class _Page:
-    """Collects the flat blocks of one page."""
+    """Collects the flat blocks of one page. Counts stand for the open
+    elements, so no step looks through all of them."""
 
     def __init__(self):
-        # text, link characters, unwanted, article, heading, part nearest, part above
-        self.blocks: list[list] = []
-        self.stack: list[tuple[str, str]] = []
+        self.blocks: list[tuple] = []                # text, link density, heading, signs
+        self.stack: list[tuple[str, int]] = []
+        self.open_tags: Counter = Counter()
+        self.inline: list[Counter] = [Counter()]     # open inline tags, per block element
+        self.signs = [0] * 7
         self.parts: list[str] = []
-        self.linked = 0
-        self.bad = self.good = self.skip = self.links = self.heading = self.part = 0
+        self.linked = self.headings = 0
 
     def text(self, raw: str) -> None:
-        if self.skip or not raw:
+        if self.signs[6] or not raw:
             return
         text = entities.unescape(raw) if "&" in raw else raw
         self.parts.append(text)
-        if self.links:
+        if self.open_tags["a"]:
             self.linked += len("".join(text.split()))
 
     def flush(self) -> None:
         if self.parts:
             text = _SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.blocks.append([text, self.linked / max(1, len(text.replace(" ", ""))),
-                                    self.bad > 0, self.good > 0, self.heading > 0,
-                                    *self._parts()])
+                self.blocks.append((text, self.linked / max(1, len(text.replace(" ", ""))),
+                                    self.headings > 0, [n > 0 for n in self.signs[:6]]))
             self.parts, self.linked = [], 0
 
-    def _parts(self) -> tuple[bool, bool]:
-        """Is an unwanted word part of a name of the nearest element that says
-        anything; of one above it."""
-        if not self.part:
-            return False, False
-        nearest = next(role for _, role in reversed(self.stack) if role)
-        own = nearest in ("part", "both")
-        return own, self.part > own
-
-    def _count(self, tag: str, role: str, step: int) -> None:
-        self.bad += step * (role in ("bad", "top"))
-        self.good += step * (role in ("good", "both"))
-        self.part += step * (role in ("part", "both"))
-        self.skip += step * (role == "skip")
-        self.links += step * (tag == "a")
-        self.heading += step * (tag in HEADINGS)
-
-    def open(self, tag: str, attributes: str) -> None:
-        if tag == "br":
+    def _count(self, name: str, role: int, step: int) -> None:
+        self.open_tags[name] += step
+        self.headings += step * (name in HEADINGS)
+        if role:
+            for i in range(7):
+                self.signs[i] += step * (role >> i & 1)
+
+    def open(self, tag: Tag) -> None:
+        name = tag.name
+        if name == "br":
             self.parts.append(" ")
             return
-        if tag not in INLINE:
+        if name not in INLINE:
             self.flush()
-        if tag in VOID or attributes.endswith("/") and tag in SKIPPED:
+        if name in VOID or tag.self_closing and name in SKIPPED:
             return
-        role = _role(tag, attributes, self.good > 0)
-        if tag in ("article", "main") and role in ("good", "both"):
+        if name in ("article", "main"):
             # an article does not stand in a menu or page header: those are unclosed
-            while any(t in ("nav", "header") for t, _ in self.stack):
+            while self.open_tags["nav"] or self.open_tags["header"]:
                 self._pop()
-        self.stack.append((tag, role))
-        self._count(tag, role, 1)
+        role = tag.role(self.signs[1] > 0)
+        self.stack.append((name, role))
+        if name in INLINE:
+            self.inline[-1][name] += 1
+        else:
+            self.inline.append(Counter())
+        self._count(name, role, 1)
 
     def _pop(self) -> str:
-        tag, role = self.stack.pop()
-        self._count(tag, role, -1)
-        return tag
-
-    def close(self, tag: str) -> None:
-        if tag not in INLINE:
+        name, role = self.stack.pop()
+        if name in INLINE:
+            self.inline[-1][name] -= 1
+        else:
+            self.inline.pop()
+        self._count(name, role, -1)
+        return name
+
+    def close(self, name: str) -> None:
+        if name not in INLINE:
             self.flush()
-        if any(t == tag for t, _ in self.stack):
-            if tag in INLINE and not self._near(tag):
-                return
-            while self._pop() != tag:
+            known = self.open_tags[name]
+        else:                                        # it closes within its block only
+            known = self.inline[-1][name]
+        if known:
+            while self._pop() != name:
                 pass
 
-    def _near(self, tag: str) -> bool:
-        """An inline end tag closes within its block only."""
-        for t, _ in reversed(self.stack):
-            if t == tag:
-                return True
-            if t not in INLINE:
-                return False
-        return False
-
 
 def blocks_of(page: str | None) -> list[tuple[str, list[float]]]:
     """(text, features) of every flat text block, in page order."""
-    page = page or ""
-    out, at, end = _Page(), 0, len(page)
-    while at < end:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            out.text(page[at:])
-            break
-        out.text(page[at:m.start()])
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
-            continue
-        tag, attributes = name.lower(), (m[3] if m[2] else m[6]) or ""
-        if m[1] or m[4]:
-            out.close(tag)
-            continue
-        out.open(tag, attributes)
-        if tag in RAW:                     # its content is no markup
-            close = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
-            inside = page[at:close.start()] if close else page[at:]
-            out.text(inside)
-            at = close.end() if close else end
-            out.close(tag)
+    out = _Page()
+    for token in tokens(page or ""):
+        if isinstance(token, str):
+            out.text(token)
+        elif token.closing:
+            out.close(token.name)
+        else:
+            out.open(token)
     out.flush()
-    words = [float(len(b[0].split())) for b in out.blocks]
-    return [(b[0], [words[i], b[1],
-                    words[i - 1] if i else 0.0, out.blocks[i - 1][1] if i else 0.0,
-                    words[i + 1] if i + 1 < len(words) else 0.0,
-                    out.blocks[i + 1][1] if i + 1 < len(words) else 0.0,
-                    *map(float, b[2:])])
-            for i, b in enumerate(out.blocks)]
+    around = [(0.0, 0.0), *((float(len(b[0].split())), b[1]) for b in out.blocks), (0.0, 0.0)]
+    return [(text, [*around[i], *around[i - 1], *around[i + 1], float(heading), *map(float, signs)])
+            for i, (text, _, heading, signs) in enumerate(out.blocks, 1)]
 
 
 def block_column(html: Column) -> Column:
