@@ -20,8 +20,9 @@
 
 Everything is DataFrame functions. The shingle index and the block index
 grow with the benchmark only; they are broadcast when they have at most
-MAX_BROADCAST_ROWS rows (counted first), else joined by shuffle. Texts do
-not move for windows: only documents that hold a shingle meet their windows.
+MAX_BROADCAST_ROWS rows (counted first), else joined by shuffle. So do the
+two-number keys of the documents that have windows: only those documents'
+texts move. With more of them than MAX_BROADCAST_ROWS all texts are shuffled.
 
 Words are runs of letters and digits, lower-cased. Defined cases: items and
 documents that are null or have no word match nothing; an item of fewer
@@ -149,7 +150,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFr
     placed = materialize(placed, "windows")
     t = F.col(f"`{text}`")
     # the words are a column used several times, so they are made once a row
+    # only documents with windows move: their keys are few
     held = (docs.select("doc_id", *row_key(F.col("doc_id"), t), t.alias("text"))
+            .join(_small(placed.select(*KEY)), KEY, "left_semi")
             .join(placed, KEY).dropDuplicates(KEY)
             .select("doc_id", *KEY, "windows", words(F.col("text")).alias("all")))
     windows = materialize(held.select("doc_id", *KEY, F.explode(F.transform(
