@@ -15,8 +15,10 @@ A document is cut at white space; each piece is normalised and cut into
 pre-tokens as the tokenizer file says, and its ids are kept in a bounded
 memo per Python worker (a cache only: a miss recomputes the same ids).
 
-Letters of Unicode versions newer than the tokenizers library's may be cut
-differently (some 170 code points of versions 16 and 17).
+Which code points are letters, which compose and what they lower to differs
+between Unicode versions. Below U+0250 Python and the tokenizers library
+agree; a piece with any other code point is normalised and cut into
+pre-tokens by the library's own tables. Its ids come from the method above.
 
 Nulls encode like the empty text. Special tokens in a text become their
 own ids, as the tokenizers library does by default.
@@ -26,7 +28,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from array import array
 from functools import lru_cache
 
@@ -36,6 +37,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import bounded_batches
 
@@ -46,6 +48,7 @@ MEMO = 200_000
 SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
          "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 _SPACES = re.compile(f"[{SPACE}]+")
+PLAIN = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
 _ODD = re.compile("[\x1c-\x1f]")     # Python splits at these, the tokenizer does not
 
 
@@ -96,8 +99,9 @@ class WordBpe:
         self.pieces = regex.compile(next(
             p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"]
             if p["type"] == "Split"))
+        self.library = Tokenizer.from_str(document)
         symbols = byte_symbols()
-        back = {c: b for b, c in enumerate(symbols)}
+        self.back = back = {c: b for b, c in enumerate(symbols)}
         # merges in order: rank of the token each makes, and its two parts
         self.rank_of_pair: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
@@ -171,7 +175,11 @@ class WordBpe:
         if raw.isascii():
             text = raw.lower()
             return [text] if text.isalpha() else self.pieces.findall(text)
-        return self.pieces.findall("".join(map(str.lower, unicodedata.normalize("NFC", raw))))
+        if PLAIN.fullmatch(raw):               # composed already
+            return self.pieces.findall(raw.lower())
+        normal = self.library.normalizer.normalize_str(raw)
+        cut = self.library.pre_tokenizer.pre_tokenize_str(normal)
+        return [bytes(map(self.back.__getitem__, symbols)).decode() for symbols, _ in cut]
 
     def piece(self, raw: str) -> bytes:
         """Ids of a stretch without white space or special tokens."""

@@ -15,7 +15,7 @@ from functools import lru_cache
 
 from tokenizers import Tokenizer
 
-from .bpe import _ODD, _SPACES, byte_symbols
+from .bpe import _ODD, _SPACES, PLAIN, byte_symbols
 
 #: entries of a worker's memo, in two generations; some 200 bytes each
 MEMO = 1_000_000
@@ -27,7 +27,6 @@ SEEN = (1 << 23) - 1
 # Fixed value: the words of the tokenizer file's Split pattern, written for
 # code points below U+0250, where Python and the library know the same letters.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\s\w]|_)+")
-_PLAIN = re.compile("[\x21-\x7e\xa1-įı-ɏ]+")
 _BYTES = dict(enumerate(byte_symbols()))
 
 
@@ -70,7 +69,7 @@ class TokenEncoder:
         """Ids of a stretch without white space."""
         ids = self.older.get(piece)
         if ids is None:
-            if "<|" in piece or not _PLAIN.fullmatch(piece):
+            if "<|" in piece or not PLAIN.fullmatch(piece):
                 ids = array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
             else:
                 lower = piece.lower()

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import unicodedata
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -32,6 +34,24 @@ def test_random_strings_equal_the_library(tokenizer):
         assert own.decode(own.encode(s)) == lib.decode(ids, skip_special_tokens=False)
 
 
+def test_every_code_point_and_mark_equals_the_library(tokenizer):
+    """Each code point between letters, and each after a letter that an
+    accent follows."""
+    library = Tokenizer.from_file(tokenizer)
+    with open(tokenizer, encoding="utf-8") as f:
+        own = bpe.WordBpe(f.read())
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}B" for c in points[i:i + 2000]) for i in range(0, len(points), 2000)]
+    marks = [c for c in points if unicodedata.combining(c) or 0x300 <= ord(c) < 0x1B00 or "\u1dc0" <= c < "\u2100"]
+    texts += [" ".join(f"a{c}\u0301e\u0327{c}" for c in marks[i:i + 2000]) for i in range(0, len(marks), 2000)]
+    for text in texts:
+        want = array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
+        if own.encode(text) != want:
+            bad = [w for w in text.split(" ") if own.encode(w) != array(
+                "I", library.encode(w, add_special_tokens=False).ids).tobytes()]
+            assert not bad, [hex(ord(w[1])) for w in bad[:20]]
+
+
 def test_every_token_encodes_to_itself(tokenizer):
     own = bpe.model_of(open(tokenizer, encoding="utf-8").read())
     back = {c: b for b, c in enumerate(bpe.byte_symbols())}
