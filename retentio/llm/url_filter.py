@@ -1,7 +1,8 @@
 """Operator 10: URL filters by host-suffix and path-prefix expressions.
 
 Each URL is expanded into expressions: every suffix of its host at a dot,
-with every prefix of its path that ends in a slash (and the empty one). A
+with every prefix of its path that ends in a slash (and the empty one), no
+deeper than the deepest rule, so a long path costs no more than a short one. A
 rule (host, path) is filed under its host and its path up to the last
 slash. Expressions and rules meet in an equi-join on the first 32 bits of
 a SHA-256 digest; the full digest and the rest of the rule's path are then
@@ -66,14 +67,24 @@ def filed_rules(rules: DataFrame) -> DataFrame:
                     F.col("verdict").alias("rule_verdict")).distinct())
 
 
-def expressions(places: DataFrame) -> DataFrame:
-    """host, path, prefix, digest: the expressions of every place."""
-    labels, steps = F.split("host", r"\.", -1), F.split("path", "/", -1)
+def rule_depths(rules: DataFrame) -> tuple[int, int]:
+    """Labels of the longest rule host and steps of the longest rule path:
+    no longer expression can be filed."""
+    r = rules.agg(F.max(F.size(F.split("host", r"\.", -1))).alias("labels"),
+                  F.max(F.size(F.split(F.coalesce("path", F.lit("")), "/", -1)) - 1).alias("steps")).first()
+    return max(r["labels"] or 0, 0), max(r["steps"] or 0, 0)
+
+
+def expressions(places: DataFrame, most_labels: int, most_steps: int) -> DataFrame:
+    """host, path, prefix, digest: the expressions of every place, as deep
+    as the rules are (`rule_depths`)."""
+    labels, steps = F.split("host", r"\.", -1), F.split("path", "/", most_steps + 2)
     n = F.size(labels)
-    hosts = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(
+    hosts = F.transform(F.sequence(F.greatest(n - most_labels + 1, F.lit(1)), n), lambda i: F.array_join(
         F.slice(labels, i, n - i + 1), "."))
-    paths = F.concat(F.array(F.lit("")), F.when(F.size(steps) > 1, F.transform(
-        F.sequence(F.lit(1), F.size(steps) - 1),
+    deepest = F.least(F.size(steps) - 1, F.lit(most_steps))
+    paths = F.concat(F.array(F.lit("")), F.when(deepest > 0, F.transform(
+        F.sequence(F.lit(1), deepest),
         lambda i: F.concat(F.array_join(F.slice(steps, F.lit(1), i), "/"), F.lit("/"))))
         .otherwise(F.array().cast("array<string>")))
     each = (places.filter(F.col("host") != "")
@@ -91,7 +102,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url",
     read = pages.select(F.struct(*own).alias(ROW), host_of(u).alias("host"),
                         path_of(u).alias("path"))
     places = read.select("host", "path").distinct()
-    fits = (expressions(places).join(filed_rules(rules), "prefix")
+    fits = (expressions(places, *rule_depths(rules)).join(filed_rules(rules), "prefix")
             .filter((F.col("digest") == F.col("rule_digest"))
                     & F.col("path").startswith(F.col("rule_path"))))
     size = F.length("rule_host") + F.length("rule_path")
