@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentio.plans.tables import materialize
@@ -103,8 +103,10 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE,
                     text: str = "text", label: str = "lang") -> DataFrame:
     """label, x: a bounded sample of the labelled rows. Each language is
-    thinned by a hash to about `per_language` rows; a bound of twice the
-    expected total holds whatever the ids are."""
+    thinned by a hash of (doc_id, text) to about `per_language` rows; rows
+    that repeat both are one row, so the hash spreads whatever repeats. The
+    texts become vectors in the tasks that hold them: no task or driver gets
+    them all."""
     rows = docs.select("doc_id", F.col(f"`{text}`").alias("text"),
                        F.col(f"`{label}`").alias("label")).filter(
         F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
@@ -114,7 +116,7 @@ def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE,
     chosen = (rows.withColumn("o", F.xxhash64("doc_id", "text"))
               .join(F.broadcast(counts), "label")
               .filter(F.pmod("o", F.lit(1 << 20)) < share * (1 << 20))
-              .orderBy("o", "label").limit(2 * per_language * max(1, counts.count())))
+              .dropDuplicates(["o", "label"]))
     return materialize(chosen.select("label", feature_column(F.col("text")).alias("x")), "language_sample")
 
 
@@ -183,10 +185,13 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, text: str = "t
 
 
 def language_column(model: LanguageModel, text: Column) -> Column:
-    """struct(lang_pred, score) of a text."""
+    """struct(lang_pred, score) of a text. The machines are broadcast once:
+    two numbers per feature and pair, whatever the corpus."""
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
+
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(model.predict(texts), columns=["lang_pred", "score"])
+        return pd.DataFrame(shared.value.predict(texts), columns=["lang_pred", "score"])
 
     return predict(text)
 
@@ -199,10 +204,14 @@ def identify(docs: DataFrame, model: LanguageModel | None = None, text: str = "t
     return docs.withColumn(out, language_column(model, F.col(f"`{text}`")))
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """`docs` without the rows whose language can't be told."""
-    found = language_column(fit(docs), F.col("text"))
-    return docs.filter(found["lang_pred"] != UNKNOWN)
+def keep_identified(docs: DataFrame, model: LanguageModel | None = None,
+                    label: str = "lang") -> DataFrame:
+    """`docs` without the rows whose language can't be told; a row that has
+    no `label` gets the predicted one. Rows that had one keep it: the score
+    decides nothing, so that no clean document goes."""
+    found = identify(docs, model, out="_language").filter(F.col("_language.lang_pred") != UNKNOWN)
+    return found.withColumn(label, F.coalesce(F.col(f"`{label}`"), F.col("_language.lang_pred"))).select(
+        *[f"`{c}`" for c in docs.columns])
 
 
 def language_query(docs: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from retentio.llm import (decontaminate, html_extract, language_id, license_scan, simhash,
                           url_filter)
@@ -68,6 +69,28 @@ def test_held_out_accuracy_and_edges(spark, docs):
     assert empty == []
 
 
+def test_repeated_rows_are_sampled_once(spark):
+    rows = [(1, "the same words", "en")] * 3000 + [(i, f"le mot {i}", "fr") for i in range(2, 400)]
+    sample = language_id.training_sample(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=5000)
+    assert {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}["en"] == 1
+
+
+def test_predictions_reach_the_kept_rows(docs, spark):
+    """A document without a language gets the model's; another model changes it."""
+    fr = "le chat et la souris dans la maison avec les enfants"
+    rows = [(i, f"the cat and the mouse in the house with them {i}", "en") for i in range(40)]
+    rows += [(100 + i, f"{fr} {i}", "fr") for i in range(40)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(known)
+    new = spark.createDataFrame([(1, fr, None), (2, fr, "xx"), (3, "12", None), (4, None, "fr")],
+                                "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang"] for r in language_id.keep_identified(new, model).collect()}
+    assert got == {1: "fr", 2: "xx"}
+    other = language_id.fit(known.withColumn("lang", F.when(F.col("lang") == "fr", "es").otherwise("de")))
+    assert language_id.keep_identified(new, other).filter("doc_id = 1").first()["lang"] == "es"
+
+
 def test_every_language_is_sampled(spark):
     """A frequent language is thinned; none is left out, however many."""
     rows = [(i, f"word {i}", f"l{i % 230}") for i in range(230 * 6)]
@@ -352,6 +375,21 @@ def test_url_edges(spark):
         1: "a.com/x", 2: "a.com", 3: "a.com"}
 
 
+def test_long_urls_and_deep_rules(spark):
+    """Paths of thousands of steps; rules deeper than most URLs."""
+    deep = "/" + "x/" * 40
+    rules = [("com", "/", "allow"), ("a.b.c.d.com", deep, "block"), ("com", "/x/x/", "block"), ("net", None, "block")]
+    urls = ["http://com" + "/s" * 60_000, "http://z.a.b.c.d.com" + deep + "y", "http://" + "h." * 3000 + "com/q",
+            "http://a.b.c.d.com" + deep[:-1], "http://e.net", "http://com/x/x/y", "http://com/x/xy/"] + [
+            "http://com/" + "p/" * i for i in range(300, 400)]
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(
+        spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"),
+        spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+    want = [("com/", "allow"), (f"a.b.c.d.com{deep}", "block"), ("com/", "allow"), ("com/x/x/", "block"),
+            ("net", "block"), ("com/x/x/", "block"), ("com/", "allow")] + [("com/", "allow")] * 100
+    assert got == dict(enumerate(want))
+
+
 # -- pipeline --------------------------------------------------------------
 def test_pipeline_equals_brute_force(spark):
     import corpus_pipeline
