@@ -13,7 +13,8 @@ from retentio.plans.tables import materialize
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told (`und` goes)."""
+    """Documents whose language can be told (`und` goes); one without a lang
+    gets the predicted one."""
     return language_id.keep_identified(docs)
 
 
