@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import textwrap
 import time
 import zlib
 from collections import Counter
@@ -43,6 +44,55 @@ def test_licence_lines_are_found(docs, licences):
     assert license_scan.scan(docs([]), licences).count() == 0
 
 
+def wrapped(text, width, lead=""):
+    return "\n".join(lead + x for x in textwrap.wrap(text, width))
+
+
+def test_wrapped_licence_texts_are_found(docs, licences):
+    from retentio.llm.license_examples import EXAMPLES
+    long = {f: max(EXAMPLES[f], key=len) for f in ("mit", "apache", "bsd", "gpl") if f in EXAMPLES}
+    prose = "She had not expected an answer so soon, and read the letter twice."
+    rows, want = [], {}
+    for i, (family, text) in enumerate(long.items()):
+        for j, (width, lead) in enumerate(((72, ""), (60, " * "), (50, "# "))):
+            body = wrapped(text, width, lead)
+            rows.append((10 * i + j, f"{prose}\n\n{body}\n\n{prose}\n{prose}"))
+            want[10 * i + j] = (family, 2, 1 + len(body.split("\n")))
+    got = license_scan.scan(docs(rows + [(99, f"{prose}\n{prose}\n{prose}")]), licences).collect()
+    known = {r["doc_id"]: (r["family"], r["line"], r["last_line"]) for r in got if r["family"] != "unknown"}
+    assert known == want
+    assert len([r for r in got if r["family"] != "unknown"]) == len(want)
+
+
+def brute_score(model, text):
+    """Family and probability by hand, from the fitted numbers."""
+    import math
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    grams = spark.createDataFrame([(text,)], "t string").select(
+        license_scan._grams(license_scan.words(F.col("t")))).first()[0]
+    place = {g: i for i, g in enumerate(model.vectors.vocabulary)}
+    at = [place[str(g)] for g in grams if str(g) in place]
+    w, b = model.regression.coefficientMatrix.toArray(), model.regression.interceptVector.toArray()
+    z = [math.exp(b[c] + sum(w[c][i] for i in at)) for c in range(len(model.classes))]
+    best = max(range(len(z)), key=lambda c: (z[c], model.classes[c]))
+    return model.classes[best], z[best] / sum(z)
+
+
+def test_scores_equal_a_computation_by_hand(docs, licences):
+    texts = ["Released under the MIT License.", "Licensed under CC BY-NC 3.0 by the house.",
+             "GNU General Public License, some version", "the software is provided by us"]
+    got = {r["doc_id"]: r for r in license_scan.scan(docs(list(enumerate(texts))), licences).collect()}
+    for i, text in enumerate(texts):
+        family, p = brute_score(licences, text)
+        if family == "none":
+            assert i not in got
+        else:
+            assert got[i]["probability"] == pytest.approx(p)
+            assert got[i]["family"] in (family, "unknown")
+    assert 0 < licences.threshold < 1
+
+
 def test_every_planted_licence_line(spark, licences):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     want = {(r["doc_id"], i) for r in rows.collect() for i, x in enumerate(r["text"].split("\n"))
