@@ -139,11 +139,6 @@ def cohort(df: DataFrame, score: str, threshold, side: str = "at_risk") -> DataF
     return df.filter(cond)
 
 
-def lookup(df: DataFrame, key_value: str, key: str = "customerID") -> DataFrame:
-    """One customer's row (equality predicate reaches the Parquet scan)."""
-    return df.filter(F.col(key) == key_value).limit(1)
-
-
 def drop_null(df: DataFrame, col: str) -> DataFrame:
     """B24."""
     return df.dropna(subset=[col])
