@@ -99,7 +99,9 @@ class WordBpe:
         self.pieces = regex.compile(next(
             p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"]
             if p["type"] == "Split"))
-        self.library = Tokenizer.from_str(document)
+        # the library's own normaliser and cutter, without its vocabulary
+        self.library = Tokenizer.from_str(json.dumps(
+            {**spec, "added_tokens": [], "model": {**model, "vocab": {}, "merges": []}}))
         symbols = byte_symbols()
         self.back = back = {c: b for b, c in enumerate(symbols)}
         # merges in order: rank of the token each makes, and its two parts

@@ -193,7 +193,8 @@ def language_column(model: LanguageModel, text: Column) -> Column:
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(shared.value.predict(texts), columns=["lang_pred", "score"])
 
-    return predict(text)
+    # so that a filter on the prediction does not compute it once more
+    return predict.asNondeterministic()(text)
 
 
 def identify(docs: DataFrame, model: LanguageModel | None = None, text: str = "text",
