@@ -12,9 +12,10 @@ told of among them, and when the paragraph's five-word shingles (digits as
 0) are found in the family's templates to 0.8 or more; else the paragraph
 is `unknown`.
 
-A paragraph is a line, or a wrapped text: a run of lines without a blank
-one whose grams speak more for a licence than no gram at all would, with up
-to EDGE others between them or at either end. Such lines are few; only they
+A paragraph is a line, or a wrapped text: a run of lines of at most WIDTH
+characters, without a blank one, whose grams speak clearly more for a licence
+than no gram at all would, with up to EDGE others between them or at either
+end. Such lines are few; only they
 (and their neighbours' texts) cross the network, are joined and judged once
 more as one paragraph; of a run's variants the one most like a template
 counts. A wrapped text of a known family stands for its lines. Comment
@@ -50,6 +51,10 @@ SIMILARITY = 0.8
 NONE, UNKNOWN = "none", "unknown"
 #: lines that a wrapped text may have beside those that speak for a licence
 EDGE = 3
+#: longer lines are not wrapped; a line of a wrapped text lowers the probability
+#: of no licence below this share of what a paragraph without known grams has
+WIDTH = 200
+HINT = 0.9
 #: share of right ones among held-out examples that the threshold must reach
 PRECISION = 0.95
 
@@ -161,12 +166,13 @@ def fit(spark: SparkSession) -> LicenseModel:
 def paragraphs(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, _k1, _k2, line, paragraph, behind, ahead: every line that is
     not blank, with up to EDGE lines before and after it (none beyond a
-    blank one), nearest first."""
+    blank or long one), nearest first."""
     t = F.col(f"`{text}`")
     lines = F.split(t, "\n", -1)
 
     def up_to_blank(near: Column) -> Column:
-        blank = F.array_position(F.transform(near, lambda x: F.trim(x) == ""), True).cast("int")
+        blank = F.array_position(F.transform(
+            near, lambda x: (F.trim(x) == "") | (F.length(x) > WIDTH)), True).cast("int")
         return F.when(blank > 0, F.slice(near, F.lit(1), blank - 1)).otherwise(near)
 
     listed = docs.select("doc_id", *row_key(F.col("doc_id"), t), lines.alias("lines"))
@@ -186,7 +192,7 @@ def _wrapped(hints: DataFrame, model: LicenseModel) -> DataFrame:
     starts = F.coalesce((F.lag(F.col("line") + F.size("ahead")).over(by) < F.col("line")), F.lit(True))
     gap = F.lead("line").over(by) - F.col("line") - 1
     between = F.when(gap <= F.size("ahead"), F.slice("ahead", F.lit(1), F.greatest(gap, F.lit(0))))
-    runs = (hints.withColumn("start", starts.cast("int")).withColumn("between", F.coalesce(
+    runs = (hints.filter(F.length("paragraph") <= WIDTH).withColumn("start", starts.cast("int")).withColumn("between", F.coalesce(
                 between, F.array().cast("array<string>")))
             .withColumn("run", F.sum("start").over(by))
             .groupBy(*KEY, "run").agg(
@@ -222,7 +228,8 @@ def scan(docs: DataFrame, model: LicenseModel | None = None, text: str = "text")
     kept = ["doc_id", *place, "run", "paragraph", "probability", "family"]
     graded = model.scored(paragraphs(docs, text).withColumn("grams", _paragraph_grams()))
     # only lines that speak for a licence cross the network
-    hints = materialize(graded.filter(F.col("none") < model.base_none)
+    speaks = (F.col("none") < HINT * model.base_none) & (F.length("paragraph") <= WIDTH)
+    hints = materialize(graded.filter((F.col("family") != NONE) | speaks)
                         .withColumn("last_line", F.col("line"))
                         .dropDuplicates([*KEY, "line"]), "license_lines")
     one = hints.filter(F.col("family") != NONE).withColumn("run", F.lit(None).cast("long"))
