@@ -19,14 +19,20 @@
   2^d answers of each leaf are tabled once; a row then looks them up and
   sums. Values and margins are log-odds (MLlib's margin twice).
 
-Both are joins of the rows with the leaves of one model. These are bounded
-by trees x 2^depth, checked before they are broadcast.
+Both meet every row with every leaf of one model. The leaves are bounded by
+trees x 2^depth, checked before they are broadcast; a task takes its rows a
+batch at a time and a leaf as one step over the batch's columns, so no row
+of a row and a leaf is ever made.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.lookup import MAX_BROADCAST_ROWS
 from ..plans.tables import materialize
@@ -125,31 +131,85 @@ def leaf_contributions(leaves: DataFrame) -> DataFrame:
     return leaves.withColumn("d", d).withColumn("places", places).withColumn("phi", phi).drop("places")
 
 
-def _small(leaves: DataFrame) -> DataFrame:
+def _collected(leaves: DataFrame, *columns: str):
+    """The leaves of one model as a broadcast list, tree by tree. A leaf is
+    the slots of its path, low and high (nan: no bound) and `columns`."""
     n = leaves.count()
     if n > MAX_BROADCAST_ROWS:
         raise ValueError(f"a model of {n} leaves is more than the {MAX_BROADCAST_ROWS} that are broadcast")
-    return F.broadcast(leaves)
+    table = leaves.select("tree", "leaf", "features", "low", "high", *columns).toArrow()
+    table = table.sort_by([("tree", "ascending"), ("leaf", "ascending")])
 
+    def array(cell, kind=float) -> np.ndarray:
+        return np.array(cell.as_py(), dtype=kind)
 
-def _met(rows: DataFrame, leaves: DataFrame, key: str, x: str) -> DataFrame:
-    """key, leaf columns and `mask`: bit k tells that the row's value of the
-    path's feature k lies in its interval."""
-    held = F.transform("features", lambda f, k: F.when(
-        (F.coalesce(F.get(x, f) > F.get("low", k), F.lit(True)))
-        & (F.coalesce(F.get(x, f) <= F.get("high", k), F.lit(True))),
-        _power(k)).otherwise(0))
-    return (rows.select(key, F.col(x).cast("array<double>").alias(x), F.lit(1).alias("_one"))
-            .join(_small(leaves.withColumn("_one", F.lit(1))), "_one")
-            .withColumn("mask", F.aggregate(held, F.lit(0), lambda a, b: a + b)))
+    trees: dict[int, list] = {}
+    for i, tree in enumerate(table["tree"].to_pylist()):
+        trees.setdefault(tree, []).append((
+            array(table["features"][i], int), array(table["low"][i]), array(table["high"][i]),
+            *[array(table[c][i]) for c in columns]))
+    return leaves.sparkSession.sparkContext.broadcast(list(trees.values()))
+
+
+def _used(model) -> list[int]:
+    """The slots that stand in some tree."""
+    return sorted({int(f) for tree in model.value for leaf in tree for f in leaf[0]})
+
+
+def _rows(rows: DataFrame, slots: list[int], key: str, x: str) -> DataFrame:
+    """key and `x` as the values of `slots`, spread over the tasks: a written
+    table of few bytes is read by few. Nan counts as larger than any number."""
+    spread = rows.select(key, F.col(x).alias("x")).repartition(F.xxhash64(F.col(key), F.col("x")))
+    at = F.array(*map(F.lit, slots)) if slots else F.array().cast("array<int>")
+    value = F.col("x").cast("array<double>")
+    return spread.select(key, F.transform(F.transform(at, lambda f: F.get(value, f)), lambda v: F.when(
+        F.isnan(v), F.lit(float("inf"))).otherwise(v)).alias("x"))
+
+
+def _values(batch: pa.RecordBatch, n_slots: int) -> np.ndarray:
+    """One line per slot; a missing value is nan."""
+    flat = pc.list_flatten(batch.column(1)).to_numpy(zero_copy_only=False)
+    return np.ascontiguousarray(flat.reshape(batch.num_rows, n_slots).T, dtype=float)
+
+
+def _held(values: np.ndarray, place: dict[int, int], leaf, seen: dict) -> list[np.ndarray]:
+    """For each slot of a leaf's path, which rows lie in its interval (no
+    bound and a missing value hold). `seen` keeps the intervals of a tree."""
+    out = []
+    for f, low, high in zip(*(part.tolist() for part in leaf[:3])):
+        name = (f, str(low), str(high))
+        if name not in seen:
+            v = values[place[f]]
+            seen[name] = ~(v <= low) & ~(v > high)
+        out.append(seen[name])
+    return out
 
 
 def leaf_scores(rows: DataFrame, leaves: DataFrame, key: str = "customerID", x: str = "x",
                 out: str = "margin") -> DataFrame:
     """key, `out` (log-odds): the sum of the leaves that a row reaches."""
-    full = _power(F.size("features")) - 1
-    met = _met(rows, leaves.select("tree", "leaf", "value", "features", "low", "high"), key, x)
-    return met.filter(F.col("mask") == full).groupBy(key).agg(F.sum("value").alias(out))
+    model = _collected(leaves, "value")
+    slots = _used(model)
+    place = {f: i for i, f in enumerate(slots)}
+
+    def score(batches):
+        for b in batches:
+            values, n = _values(b, len(slots)), b.num_rows
+            margin, met = np.zeros(n), np.zeros(n, dtype=bool)
+            for tree in model.value:
+                seen: dict = {}
+                for leaf in tree:
+                    hit = np.logical_and.reduce([np.ones(n, dtype=bool), *_held(values, place, leaf, seen)])
+                    margin[hit] += leaf[3]
+                    met |= hit
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(margin, mask=~met)], ["key", "margin"])
+
+    rows = _rows(rows, slots, key, x)
+    found = rows.mapInArrow(score, T.StructType([
+        T.StructField("key", rows.schema[key].dataType), T.StructField("margin", T.DoubleType())]))
+    return (found.filter(F.col("margin").isNotNull()).groupBy(F.col("key").alias(key))
+            .agg(F.sum("margin").alias(out)))
 
 
 def base_value(leaves: DataFrame) -> DataFrame:
@@ -164,9 +224,34 @@ def tree_shapley(rows: DataFrame, leaves: DataFrame, names: list[str], key: str
     model's encoded features (those that stand in some tree)."""
     table = materialize(leaf_contributions(leaves).select(
         "tree", "leaf", "features", "low", "high", "phi"), "leaf_contributions")
-    share = F.explode(F.arrays_zip(F.col("features"), F.get("phi", F.col("mask")).alias("phi")))
-    summed = (_met(rows, table, key, x).select(key, share.alias("s"))
-              .groupBy(key, F.col("s.features").alias("slot"))
-              .agg(F.sum("s.phi").alias("contribution")))
-    named = F.get(F.array(*map(F.lit, names)), F.col("slot"))
-    return summed.select(key, named.alias("feature"), "contribution")
+    model = _collected(table, "phi")
+    slots = _used(model)
+    place = {f: i for i, f in enumerate(slots)}
+
+    def share(batches):
+        for b in batches:
+            values, n = _values(b, len(slots)), b.num_rows
+            total = np.zeros((len(slots), n))
+            for tree in model.value:
+                seen: dict = {}
+                for leaf in tree:
+                    mask = np.zeros(n, dtype=np.intp)
+                    for k, held in enumerate(_held(values, place, leaf, seen)):
+                        mask += held.astype(np.intp) << k
+                    for k, f in enumerate(leaf[0].tolist()):
+                        total[place[f]] += leaf[3][:, k].take(mask)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.FixedSizeListArray.from_arrays(total.T.ravel(), len(slots))
+                 .cast(pa.list_(pa.float64()))], ["key", "total"])
+
+    rows = _rows(rows, slots, key, x)
+    if not slots:                       # every tree is one leaf
+        return rows.limit(0).select(key, F.lit("").alias("feature"), F.lit(0.0).alias("contribution"))
+    found = rows.mapInArrow(share, T.StructType([
+        T.StructField("key", rows.schema[key].dataType),
+        T.StructField("total", T.ArrayType(T.DoubleType()))]))
+    named = F.array(*[F.lit(names[f]) for f in slots])
+    # rows of one key add up
+    return (found.select("key", F.posexplode("total").alias("slot", "share"))
+            .groupBy("key", "slot").agg(F.sum("share").alias("contribution"))
+            .select(F.col("key").alias(key), F.get(named, F.col("slot")).alias("feature"), "contribution"))

@@ -236,3 +236,42 @@ def test_two_level_top_rows_equal_one_level(spark, monkeypatch):
     assert two.collect() == one and [r["position"] for r in one] == list(range(1, 41))
     places = P.with_position(df, order).orderBy("position").limit(40).collect()
     assert [r["id"] for r in places] == [r["id"] for r in one]
+
+
+def test_leaf_steps_make_no_row_per_row_and_leaf(lab, model, spark):
+    """Scores and contributions meet the leaves inside tasks: no join of rows
+    with leaves. Missing values, nan and repeated keys count as before."""
+    leaves = materialize(model.leaves(), "leaves")
+    matrix = EN.build_matrix(lab, model.encoding, ["customerID"])
+    for made in (TR.leaf_scores(matrix, leaves), TR.tree_shapley(matrix, leaves, model.feature_names())):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "MapInArrow" in plan
+    one = spark.createDataFrame(
+        [(0, 0, 1.0, [0, 1], [None, 2.0], [3.0, None]), (0, 1, 10.0, [0], [3.0], [None])],
+        "tree int, leaf int, value double, features array<int>, low array<double>, high array<double>")
+    rows = spark.createDataFrame(
+        [("a", [3.0, 3.0]), ("a", [4.0, 0.0]), (None, [4.0, 0.0]), ("n", [float("nan"), 0.0]),
+         ("m", [None, 5.0]), ("none", [3.0, 2.0]), ("short", [1.0])], "customerID string, x array<double>")
+    got = {r[0]: r[1] for r in TR.leaf_scores(rows, one).collect()}
+    assert got == {"a": 11.0, None: 10.0, "n": 10.0, "m": 11.0, "short": 1.0}
+
+
+def test_training_rows_are_spread_over_the_cores(spark):
+    """A small file is read by one task; a fit of many rows takes all cores."""
+    matrix = spark.range(0, 50_000, 1, 1).select(F.array("id").alias("x"))
+    sizes = ML.spread_rows(matrix, 50_000).rdd.glom().map(len).collect()
+    assert len(sizes) == 3 and max(sizes) - min(sizes) < 1000
+    assert ML.spread_rows(matrix, 20_000) is matrix
+
+
+def test_a_query_fits_the_labels_it_names(spark, monkeypatch):
+    from retentio import catalog as C
+    asked = []
+    monkeypatch.setattr(C, "_MODELS", {})
+    monkeypatch.setattr(C, "matrix", lambda spark, sf: spark.createDataFrame([(False,)], "is_test boolean"))
+    monkeypatch.setattr(C, "encoding", lambda spark, sf: None)
+    monkeypatch.setattr(ML, "fit_models", lambda train, labels, **kw: asked.append(list(labels)) or {y: y for y in labels})
+    assert C.gbt(spark, "at") == "Churn_Target"
+    assert list(C.gbt_models(spark, "at")) == list(C.LABELS)
+    C.gbt_models(spark, "at", C.LABELS[1:])
+    assert asked == [["Churn_Target"], ["y_30d", "y_60d", "y_90d"]]
