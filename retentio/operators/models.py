@@ -9,8 +9,11 @@ and for exact contributions.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +28,9 @@ from .features import MODEL_EXCLUDE
 GBT_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.3, seed=42, maxBins=64)
 EXCLUDE = MODEL_EXCLUDE
 WINDOWS = (30, 60, 90)
+#: fits that run at a time; training rows of one task, at least and about at most
+PARALLEL_FITS = 4
+TASK_ROWS = (20_000, 1_000_000)
 
 
 def _part(path: str, name: str) -> str:
@@ -110,18 +116,32 @@ def fit_models(train: DataFrame, labels, params: dict | None = None, exclude=EXC
         encoding = E.plan_encoding(train, exclude)
     if matrix is None:
         matrix = E.build_matrix(train, encoding, labels)
-    counts = matrix.agg(*[F.count_if(F.col(l) == v).alias(f"{l}_{v}")
-                          for l in labels for v in (0, 1)]).first()
+    counts = matrix.agg(F.count("*").alias("rows"), *[
+        F.count_if(F.col(l) == v).alias(f"{l}_{v}") for l in labels for v in (0, 1)]).first()
     p = {**GBT_PARAMS, **(params or {})}
-    out = {}
-    for label in labels:
+    spread = spread_rows(matrix.select("x", *labels), counts["rows"])
+
+    def fit(label: str) -> ChurnModel:
         weight = counts[f"{label}_0"] / max(counts[f"{label}_1"], 1)
-        rows = E.with_features(matrix.filter(F.col(label).isNotNull())).select(
+        rows = E.with_features(spread.filter(F.col(label).isNotNull())).select(
             "features", F.col(label).cast("double").alias("label"),
             F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)).alias("weight"))
         gbt = GBTClassifier(weightCol="weight", checkpointInterval=10, **p).fit(rows)
-        out[label] = ChurnModel(encoding, gbt, label)
-    return out
+        return ChurnModel(encoding, gbt, label)
+
+    # a level of a tree is a short job: fits side by side fill each other's gaps
+    with ThreadPool(max(min(PARALLEL_FITS, len(labels)), 1)) as pool:
+        return dict(zip(labels, pool.map(inheritable_thread_target(matrix.sparkSession)(fit), labels)))
+
+
+def spread_rows(matrix: DataFrame, n_rows: int) -> DataFrame:
+    """The training rows in even tasks for all cores. The matrix is a table
+    of few bytes, so few tasks read it, and a fit would keep to those."""
+    least, most = TASK_ROWS
+    if n_rows <= least:
+        return matrix
+    cores = matrix.sparkSession.sparkContext.defaultParallelism
+    return matrix.repartition(max(min(cores, math.ceil(n_rows / least)), math.ceil(n_rows / most)))
 
 
 def fit_churn_model(train: DataFrame, label: str = "Churn_Target", params: dict | None = None,
