@@ -42,7 +42,7 @@ from tokenizers import Tokenizer
 from .common import bounded_batches
 
 #: entries of each worker's memo (in two generations), and of its known pairs
-MEMO = 200_000
+MEMO = 400_000
 
 # Fixed value: white space as the tokenizer's patterns see it.
 SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
@@ -94,6 +94,9 @@ class WordBpe:
         self.text = {i: t for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text.update({i: t for t, i in self.special.items()})
+        # by id, for whole documents at once
+        self.by_id = np.empty(max(self.text) + 1, dtype=object)
+        self.by_id[list(self.text)] = list(self.text.values())
         self.special_re = re.compile("(" + "|".join(
             re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")")
         self.pieces = regex.compile(next(
@@ -227,7 +230,7 @@ class WordBpe:
         """The file names no decoder: tokens are joined by one space."""
         if not ids:
             return ""
-        return " ".join(map(self.text.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        return " ".join(self.by_id[np.frombuffer(ids, dtype="<u4")].tolist())
 
 
 @lru_cache(maxsize=2)
