@@ -13,7 +13,8 @@ meets a merge across their border that would have come first.
 
 A document is cut at white space; each piece is normalised and cut into
 pre-tokens as the tokenizer file says, and its ids are kept in a bounded
-memo per Python worker (a cache only: a miss recomputes the same ids).
+memo (a cache only: a miss recomputes the same ids). Tables and memo live as
+long as a task: an idle Python worker, which later stages keep, holds none.
 
 Which code points are letters, which compose and what they lower to differs
 between Unicode versions. Below U+0250 Python and the tokenizers library
@@ -29,6 +30,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -41,8 +43,10 @@ from tokenizers import Tokenizer
 
 from .common import bounded_batches
 
-#: entries of each worker's memo (in two generations), and of its known pairs
-MEMO = 400_000
+#: entries of a task's memo (in two generations), some 200 bytes each
+MEMO = 200_000
+#: token pairs known to be compatible or not; forgotten when full
+PAIRS = 400_000
 
 # Fixed value: white space as the tokenizer's patterns see it.
 SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
@@ -163,7 +167,7 @@ class WordBpe:
                 pair = left << 20 | token
                 good = known.get(pair)
                 if good is None:
-                    if len(known) >= MEMO:
+                    if len(known) >= PAIRS:
                         known.clear()
                     good = known[pair] = self.compatible(left, token)
                 if not good:
@@ -246,25 +250,22 @@ def read_tokenizer(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode_column(tokenizer, text: Column) -> Column:
-    """Ids of a text column as binary: little-endian unsigned 32-bit."""
-    @F.pandas_udf("binary")
-    def encode(texts: pd.Series) -> pd.Series:
-        model = model_of(tokenizer.value)
-        return pd.Series([model.encode(t) for t in texts], dtype=object)
+def encode_column(tokenizer, text: Column, decoded: bool = True) -> Column:
+    """struct(ids, decoded) of a text column: ids as binary (little-endian
+    unsigned 32-bit) and the text they decode to (null if not asked for)."""
+    @F.pandas_udf("ids binary, decoded string")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = None
+        for texts in batches:
+            model = model or WordBpe(tokenizer.value)
+            ids = [model.encode(t) for t in texts]
+            back = [model.decode(b) if decoded else None for b in ids]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object),
+                                "decoded": pd.Series(back, dtype=object)})
 
     return encode(text)
 
 
-def decode_column(tokenizer, ids: Column) -> Column:
-    @F.pandas_udf("string")
-    def decode(batch: pd.Series) -> pd.Series:
-        model = model_of(tokenizer.value)
-        return pd.Series([model.decode(b) for b in batch], dtype=object)
-
-    return decode(ids)
-
-
 def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids",
                      decoded: str | None = "decoded_text") -> DataFrame:
     """`docs` with `ids` (binary, 4 bytes per token) and the decoded text.
@@ -274,8 +275,14 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", ids: str =
     and an empty decoded text; an empty table gives an empty table.
     """
     tokenizer = read_tokenizer(docs.sparkSession, path)
-    out = docs.withColumn(ids, encode_column(tokenizer, F.col(f"`{text}`")))
-    return out.withColumn(decoded, decode_column(tokenizer, F.col(ids))) if decoded else out
+    held = "_coded"
+    while held in map(str.lower, docs.columns):
+        held += "_"
+    out = (docs.withColumn(held, encode_column(tokenizer, F.col(f"`{text}`"), bool(decoded)))
+           .withColumn(ids, F.col(held)["ids"]))
+    if decoded:
+        out = out.withColumn(decoded, F.col(held)["decoded"])
+    return out.drop(held)
 
 
 def digest_query(docs: DataFrame, path: str) -> DataFrame:

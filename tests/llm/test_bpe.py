@@ -1,6 +1,7 @@
 """Operators 1 and 2 against the tokenizers library and full recounts."""
 
 import hashlib
+import json
 import random
 import unicodedata
 from array import array
@@ -136,3 +137,40 @@ def test_count_query(spark, docs, tokenizer):
                                    tokenizer).collect()
     assert len(odd) == len(ODD) + 1
     assert token_counts.count_query(docs([]), tokenizer).count() == 0
+
+
+def test_idle_workers_hold_no_tables(spark, docs, tokenizer, tmp_path):
+    """Later stages run beside the Python workers that encoded."""
+    with open(tokenizer, encoding="utf-8") as f:
+        spec = json.load(f)
+    mark = "<|only here|>"
+    spec["added_tokens"].append({**spec["added_tokens"][0], "content": mark, "id": 60_000})
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    rows = docs([(i, f"word{i} of {mark}") for i in range(64)]).repartition(8)
+    out = bpe.encode_documents(rows, str(path)).collect()
+    assert len(out) == 64 and all(r["decoded_text"].endswith(mark) for r in out)
+
+    def held(batches):
+        import gc
+
+        gc.collect()
+        n = sum(isinstance(x, bpe.WordBpe) and mark in x.special for x in gc.get_objects())
+        for batch in batches:
+            yield batch.assign(n=n)
+
+    found = spark.range(0, 64, 1, 16).mapInPandas(held, "id long, n long").collect()
+    assert len(found) == 64 and not any(r["n"] for r in found)
+
+
+def test_encoding_keeps_the_input_columns(spark, tokenizer):
+    rows = spark.createDataFrame([(1, "a b", "x", "y"), (2, None, None, "z")],
+                                 "doc_id long, text string, _coded string, token_ids string")
+    for decoded in ("decoded_text", None):
+        out = bpe.encode_documents(rows, tokenizer, decoded=decoded)
+        assert out.columns == rows.columns + ([decoded] if decoded else [])
+        got = {r["doc_id"]: r for r in out.collect()}
+        assert [got[i]["_coded"] for i in (1, 2)] == ["x", None]
+        assert len(got[1]["token_ids"]) == 8 and len(got[2]["token_ids"]) == 0
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
