@@ -19,7 +19,8 @@ of the positive's (negatives).
 * Anchors stand in blocks too. Row blocks and anchor blocks meet in an
   equi-join on a grid of chunks x groups (`_grid`), whose shuffle grows with
   the root of the cluster, and each task keeps the best few rows per anchor:
-  what leaves it does not grow with a label or a group of equal vectors.
+  what leaves it does not grow with a label or a group of equal vectors. No
+  join is broadcast, so neither rows nor anchors pass through the driver.
 
 Nothing is capped: a block is a unit of work, all rows are in one, and
 ties go by smaller id, then by a hash of the row.
@@ -307,7 +308,9 @@ def _searched(blocks: DataFrame, anchors: DataFrame, same: bool, k: int,
     rows = blocks.select(F.pmod("part", F.lit(chunks)).alias("chunk"),
                          F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
                          "part", "seq", "block")
-    met = (rows.join(asked, ["chunk", "group"])
+    # merged, never broadcast: the copies of anchor blocks are as many as chunks,
+    # and Spark's estimate of their size, by which it broadcasts, leaves that out
+    met = (rows.join(asked.hint("merge"), ["chunk", "group"])
            .select("part", "seq", "block", "a_part", "a_seq", "a_block")
            .mapInArrow(_meeting(same, k, low, high), BEST))
     by = Window.partitionBy("anchor_id", "anchor_hash", "want").orderBy(
@@ -348,9 +351,10 @@ def mine(rows: DataFrame, is_anchor: Column, id: str = "vec_id", label: str = "l
     # at most `positives` of them for each anchor
     wants = F.transform("wants", lambda w: F.struct(w["id"].alias("id"), w["hash"].alias("hash"),
                                                     w["score"].alias("score")))
-    asking = materialize(anchors.join(wanted.select(
-        F.col("anchor_id").alias("id"), F.col("anchor_hash").alias("hash"), wants.alias("wants")),
-        ["id", "hash"]).select("id", "hash", "label", "vec", "wants"), "asking")
+    wanted = wanted.select(F.col("anchor_id").alias("id"), F.col("anchor_hash").alias("hash"),
+                           wants.alias("wants"))
+    asking = materialize(anchors.join(wanted.hint("merge"), ["id", "hash"])
+                         .select("id", "hash", "label", "vec", "wants"), "asking")
     return _searched(blocks, asking, False, negatives, low, high).select(
         "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"),
         F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

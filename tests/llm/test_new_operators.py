@@ -278,6 +278,27 @@ def test_hard_negatives_defined_cases(spark):
     assert [r["negative_id"] for r in hard_negatives.mine(huge, F.col("vec_id") == 0).collect()] == [2]
 
 
+def test_hard_negatives_send_nothing_through_the_driver(spark):
+    """Anchor blocks are copied once per chunk: however small Spark takes the
+    two sides for, no join is broadcast."""
+    rows = _clusters(300, 6, 3, 11, 0.2)
+    table = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
+    own = {"spark.sql.autoBroadcastJoinThreshold": "1g", "spark.sql.maxBroadcastTableSize": "1b",
+           "spark.sql.shuffle.partitions": "40"}
+    old = {k: spark.conf.get(k) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        with pytest.raises(Exception, match="(?i)broadcast"):      # the limit holds
+            table.join(table.select("vec_id"), "vec_id").collect()
+        got = hard_negatives.mine(table, F.col("vec_id") % 20 == 0).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = brute_negatives(rows, lambda i: i % 20 == 0)
+    assert sorted(map(tuple, got)) == want and len(want) > 50
+
+
 def test_hot_vector_stays_whole(spark):
     """A third of the rows share one vector: ties go by id, none is lost."""
     rows = [(i, i % 2, [1.0, 0.5] if i % 3 == 0 else [0.9, (i % 7) / 7]) for i in range(900)]
